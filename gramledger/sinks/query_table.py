@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from gramledger.operators.counts import newest_exports, published_rows
 
@@ -13,7 +14,8 @@ EXPORT_SCHEMA = "phrase string, seq bigint, doc_count bigint, total_count bigint
 
 def append_record(spark: SparkSession, path: str, record: dict, schema: str, mode: str = "append") -> None:
     """Adds one row to a small log of commits. The new file appears whole or not at all."""
-    row = spark.createDataFrame([record], schema)
+    types = {f.name: f.dataType for f in StructType.fromDDL(schema)}
+    row = spark.range(1).select(*(F.lit(v).cast(types[k]).alias(k) for k, v in record.items()))
     row.coalesce(1).write.mode(mode).json(path)
 
 

@@ -21,13 +21,10 @@ def read_text_directory(spark: SparkSession, folder: str, recursive: bool = Fals
 
     The suffix is case-sensitive. Text is UTF-8; invalid bytes become separators.
     """
-    return (
-        spark.read.option("wholetext", True)
-        .option("pathGlobFilter", TEXT_FILE_GLOB)
-        .option("recursiveFileLookup", recursive)
-        .text(folder)
-        .select(*_columns())
+    files = spark.read.text(
+        folder, wholetext=True, pathGlobFilter=TEXT_FILE_GLOB, recursiveFileLookup=recursive
     )
+    return files.select(*_columns())
 
 
 def stream_text_directory(
