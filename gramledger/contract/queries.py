@@ -95,7 +95,7 @@ def doc_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def doc_phrase_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return O.document_phrase_counts(O.unique_texts(documents(spark, sf_dir)))
+    return O.document_phrase_counts(O.with_normalized(O.unique_docs(documents(spark, sf_dir))))
 
 
 def phrase_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -113,7 +113,7 @@ def page_phrase_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def conversation_phrase_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The phrases of what each conversation holds after its last turn."""
     docs = O.with_normalized(O.current_docs(conversation_feed(spark, sf_dir)))
-    return C.text_counts(docs.withColumn("n_chars", F.length("text")))
+    return C.text_counts(docs)
 
 
 def feed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

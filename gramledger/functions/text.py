@@ -30,11 +30,6 @@ def tokens(content: Column) -> Column:
     )
 
 
-def normalized_hash(text: Column) -> Column:
-    """Document identity of a normalized text: SHA-1 of its letters and digits."""
-    return F.sha1(F.encode(F.replace(text, F.lit(" "), F.lit("")), HASH_CHARSET))
-
-
 def content_hash(content: Column) -> Column:
     """Document identity: case, punctuation and word boundaries do not count."""
     return F.sha1(F.encode(F.regexp_replace(F.lower(content), SEPARATORS, ""), HASH_CHARSET))

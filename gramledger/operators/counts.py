@@ -11,9 +11,11 @@ from gramledger.config import PHRASE_LENGTH, REPORT_LINE, STATS_LINES
 from gramledger.functions.text import phrases
 from gramledger.operators.documents import (
     LONG_TEXT_CHARS,
-    document_phrase_counts,
+    document_phrases,
+    exploded,
     text_pieces,
-    unique_texts,
+    unique_docs,
+    with_normalized,
 )
 
 
@@ -28,8 +30,8 @@ def signed_counts(
     `sign` names a column of +1 / -1 that adds or takes back a document.
     Shuffles once, by phrase, after a map-side sum. A document of ordinary size
     is counted within its row: its distinct phrases each bring one document,
-    its phrases by position one occurrence each. A longer one is cut up and its
-    phrases are counted by (hash, phrase) over as many tasks as it takes.
+    its phrases by position one occurrence each. A longer one is cut into pieces
+    that are spread over tasks, and its phrases are counted by (hash, phrase).
     """
     m = F.col(sign).cast("bigint") if sign else F.lit(1).cast("bigint")
     texts = texts.select("hash", "text", "n_chars", m.alias("m"))
@@ -39,12 +41,9 @@ def signed_counts(
         texts.where(~is_long)
         .select("m", phrases(F.col("text"), length).alias("found"))
         .withColumn("kinds", F.array_distinct("found"))
+        .select("m", F.size("kinds").alias("n_kinds"), F.concat("kinds", "found").alias("both"))
     )
-    short = found.select(
-        "m",
-        F.size("kinds").alias("n_kinds"),
-        F.posexplode_outer(F.concat("kinds", "found")).alias("pos", "phrase"),
-    ).where(F.col("phrase").isNotNull())
+    short = exploded(found, "both", "phrase", "m", "n_kinds")
     is_kind = F.col("pos") < F.col("n_kinds")
     short = short.select(
         "phrase",
@@ -52,10 +51,9 @@ def signed_counts(
         F.when(is_kind, 0).otherwise(F.col("m")).alias("d_total"),
     )
 
-    pieces = text_pieces(texts.where(is_long), length).withColumn("found", phrases(F.col("text"), length))
+    pieces = text_pieces(texts.where(is_long), length).repartition("hash", "piece")
     long = (
-        pieces.select("hash", "m", F.explode_outer("found").alias("phrase"))
-        .where(F.col("phrase").isNotNull())
+        document_phrases(pieces, length, "hash", "m")
         .groupBy("hash", "m", "phrase")
         .agg(F.count("*").alias("n"))
         .select("phrase", F.col("m").alias("d_doc"), (F.col("m") * F.col("n")).alias("d_total"))
@@ -81,12 +79,16 @@ def as_counts(deltas: DataFrame) -> DataFrame:
 
 def text_counts(texts: DataFrame, length: int = PHRASE_LENGTH, **options) -> DataFrame:
     """(phrase, doc_count, total_count) of distinct documents (hash, text, n_chars)."""
-    return as_counts(signed_counts(texts, length=length, **options))
+    # Nothing is taken back here, so no count is zero; without a filter on them a
+    # semi-join with a few phrases can move below the aggregation.
+    return signed_counts(texts, length=length, **options).select(
+        "phrase", F.col("d_doc").alias("doc_count"), F.col("d_total").alias("total_count")
+    )
 
 
 def phrase_counts(docs: DataFrame, length: int = PHRASE_LENGTH, **options) -> DataFrame:
     """(phrase, doc_count, total_count) where every row of `docs` is a URI of its own."""
-    return text_counts(unique_texts(docs), length, **options)
+    return text_counts(with_normalized(unique_docs(docs)), length, **options)
 
 
 def combine(*deltas: DataFrame) -> DataFrame:

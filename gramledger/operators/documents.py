@@ -6,12 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gramledger.config import PHRASE_LENGTH
-from gramledger.functions.text import (
-    content_hash,
-    normalized,
-    normalized_hash,
-    phrases,
-)
+from gramledger.functions.text import content_hash, normalized, phrases
 
 LONG_TEXT_CHARS = 1_000_000
 PIECE_TOKENS = 50_000
@@ -83,19 +78,11 @@ def current_docs(feed: DataFrame) -> DataFrame:
     return found.select("hash", "content", "ref_count")
 
 
-def unique_texts(docs: DataFrame) -> DataFrame:
-    """(hash, text, n_chars): as unique_docs, but only the normalized text travels."""
-    return (
-        docs.select("uri", "seq", normalized(F.col("content")).alias("text"))
-        .withColumn("hash", normalized_hash(F.col("text")))
-        .groupBy("hash")
-        .agg(F.min_by("text", F.struct("seq", "uri")).alias("text"))
-        .withColumn("n_chars", F.length("text").cast("bigint"))
-    )
-
-
 def with_normalized(docs: DataFrame) -> DataFrame:
-    """Replaces `content` by the normalized `text`."""
+    """Replaces `content` by the normalized `text` and its size before, `n_chars`."""
+    size = F.length("content").cast("bigint")
+    if "n_chars" not in docs.columns:
+        docs = docs.withColumn("n_chars", size)
     return docs.withColumn("text", normalized(F.col("content"))).drop("content")
 
 
@@ -129,8 +116,9 @@ def text_pieces(texts: DataFrame, length: int = PHRASE_LENGTH, tokens: int = PIE
 
     Neighbouring pieces share length - 1 tokens.
     """
-    words = F.split("text", " ")
+    words = F.col("words")
     starts = F.sequence(F.lit(1), F.size(words), F.lit(tokens))
     pieces = F.transform(starts, lambda s: F.array_join(F.slice(words, s, tokens + length - 1), " "))
     keep = [c for c in texts.columns if c != "text"]
-    return exploded(texts.withColumn("pieces", pieces), "pieces", "text", *keep).drop("pos")
+    cut = texts.withColumn("words", F.split("text", " ")).withColumn("pieces", pieces)
+    return exploded(cut, "pieces", "text", *keep).withColumnRenamed("pos", "piece")

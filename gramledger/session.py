@@ -13,6 +13,9 @@ RECOMMENDED = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Most four-word phrases are rare: the small first-level map of an
+    # aggregation fills up at once and is then only a probe too many.
+    "spark.sql.codegen.aggregate.map.twolevel.enabled": "false",
     # Lets a large list of retracted hashes cut the stored texts down before
     # they are shuffled.
     "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1g",
