@@ -14,7 +14,7 @@ from gramledger.operators import counts as C
 from gramledger.operators import documents as O
 from gramledger.plans import delta as D
 from gramledger.plans.ledger import Ledger
-from gramledger.session import new_folder
+from gramledger.session import new_folder, tune
 from gramledger.sinks.query_table import ExportSink, QueryTable
 from gramledger.sources.change_feed import FEED_SCHEMA, change_feed
 from gramledger.sources.text_directory import read_text_directory
@@ -28,7 +28,7 @@ ROUNDS = 3
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return tune(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,7 +40,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def document_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document as a write to a URI that up to three documents share."""
     docs = table(spark, sf_dir, "documents")
-    uri = F.floor(F.col("doc_id") / ROUNDS)
+    uri = F.expr(f"doc_id DIV {ROUNDS}")
     return change_feed(docs, uri, "text", F.col("doc_id") % ROUNDS)
 
 

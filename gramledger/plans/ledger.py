@@ -27,6 +27,7 @@ from gramledger.config import TOKENIZER_VERSION, LedgerOptions
 from gramledger.operators import counts as C
 from gramledger.operators.documents import latest_by_uri, with_normalized, with_text
 from gramledger.plans import delta as D
+from gramledger.session import tune
 from gramledger.sinks.query_table import QueryTable, append_record
 from gramledger.sources.change_feed import change_feed
 
@@ -53,7 +54,7 @@ BASES = {
 
 class Ledger:
     def __init__(self, spark: SparkSession, root: str, options: LedgerOptions):
-        self.spark = spark
+        self.spark = tune(spark)
         self.root = root.rstrip("/")
         self.options = options
 

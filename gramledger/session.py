@@ -7,12 +7,15 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# What the jobs here profit from; all of it is runtime configuration a cluster
-# may override.
+# What the jobs here count on. Applied where the session says nothing else.
 RECOMMENDED = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.session.timeZone": "UTC",
+    # One write delivered a million times makes one partition of the text join
+    # huge. Split it even if that costs a shuffle; none is added without skew.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Compacted tables have one sorted file per bucket: joins need not sort them.
+    "spark.sql.legacy.bucketedTableScan.outputOrdering": "true",
     # Most four-word phrases are rare: the small first-level map of an
     # aggregation fills up at once and is then only a probe too many.
     "spark.sql.codegen.aggregate.map.twolevel.enabled": "false",
@@ -23,13 +26,20 @@ RECOMMENDED = {
 }
 
 
+def tune(spark: SparkSession) -> SparkSession:
+    for key, value in RECOMMENDED.items():
+        if spark.conf.get(key, None) is None:
+            spark.conf.set(key, value)
+    return spark
+
+
 def build_session(app: str = "gramledger", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**RECOMMENDED, **conf}.items():
+    for key, value in conf.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return tune(builder.getOrCreate())
 
 
 def shared_folder(spark: SparkSession) -> str:
