@@ -29,7 +29,7 @@ from gramledger.operators.documents import latest_by_uri, with_normalized, with_
 from gramledger.plans import delta as D
 from gramledger.session import tune
 from gramledger.sinks.query_table import QueryTable, append_record
-from gramledger.sources.change_feed import change_feed
+from gramledger.sources.change_feed import change_feed, complete
 
 COMMIT_SCHEMA = (
     "batch_id bigint, base bigint, source string, source_batch bigint, "
@@ -155,15 +155,20 @@ class Ledger:
 
     # -- state --------------------------------------------------------------
     # Each state is the base joined with the summary of the logs behind it. With
-    # `keys`, both are first reduced to the keys of a batch.
+    # `keys`, both are first reduced to the keys of a batch. Whatever the session's
+    # number of shuffle partitions, logs and keys come to the buckets of the base
+    # and not the base to them. A log has one row per key and batch, so sending
+    # its rows without summing them first overloads no bucket.
 
     def _parts(self, name: str, at: tuple[int, int], keys: DataFrame | None):
         last, base = at
         key, _ = BASES[name]
+        buckets = self.options.buckets
         parts = self._base(name, base), self._log(name, base, last)
         if keys is not None:
+            keys = keys.select(key).repartition(buckets, key)
             parts = tuple(D.state_of(keys, part, key) for part in parts)
-        return parts
+        return parts[0], parts[1].repartition(buckets, key)
 
     def uri_state(self, keys: DataFrame | None = None, at: tuple[int, int] | None = None) -> DataFrame:
         """(uri, hash) of every URI seen."""
@@ -225,7 +230,7 @@ class Ledger:
             if done:
                 return done["batch_id"]
         batch = at[0] + 1
-        feed = change_feed(changes)
+        feed = complete(change_feed(changes))
 
         # Keys and hashes only: the text of unchanged documents goes nowhere. Each
         # step is written once and read back by all that need it, with its size

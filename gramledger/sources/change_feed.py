@@ -8,20 +8,26 @@ from pyspark.sql import functions as F
 FEED_SCHEMA = "uri string, content string, seq bigint"
 
 
-def _required(column: Column, name: str) -> Column:
-    return F.coalesce(column.cast("string"), F.raise_error(F.lit(f"change feed row without {name}")))
-
-
 def change_feed(
     rows: DataFrame, uri: Column | str = "uri", content: Column | str = "content", seq: Column | str = "seq"
 ) -> DataFrame:
-    """Projects any DataFrame to a change feed. A later `seq` of a URI replaces an earlier one.
-
-    A row without URI or content stops the job instead of being lost.
-    """
+    """Projects any DataFrame to a change feed. A later `seq` of a URI replaces an earlier one."""
     uri, content, seq = (F.col(c) if isinstance(c, str) else c for c in (uri, content, seq))
     return rows.select(
-        _required(uri, "uri").alias("uri"),
-        _required(content, "content").alias("content"),
+        uri.cast("string").alias("uri"),
+        content.cast("string").alias("content"),
         seq.cast("bigint").alias("seq"),
     )
+
+
+def complete(feed: DataFrame) -> DataFrame:
+    """The feed, where a row without URI or content stops the job instead of being lost.
+
+    Not part of change_feed, so that filters on a feed still reach its scan.
+    """
+
+    def required(name: str) -> Column:
+        message = F.lit(f"change feed row without {name}")
+        return F.coalesce(name, F.raise_error(message).cast("string")).alias(name)
+
+    return feed.select(required("uri"), required("content"), "seq")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from gramledger import Ledger, LedgerOptions
 from gramledger.operators.documents import current_docs, ref_counts, latest_by_uri
 from gramledger.plans import delta as D
-from gramledger.sources.change_feed import change_feed
+from gramledger.sources.change_feed import change_feed, complete
 
 OPTIONS = LedgerOptions(buckets=2)
 
@@ -184,7 +184,7 @@ def test_phrase_length_option(spark, feed, tmp_path):
 def test_feed_rows_without_uri_or_content_stop_the_job(spark, feed):
     for row in [(None, "text", 0), ("uri", None, 0)]:
         with pytest.raises(Exception, match="change feed row without"):
-            change_feed(feed([row])).collect()
+            complete(change_feed(feed([row]))).collect()
 
 
 def test_same_hash_at_the_same_uri_is_no_change(spark, feed):
