@@ -41,14 +41,14 @@ def history(rng, batches, uris=6, variants=True):
         yield rows
 
 
-@pytest.mark.parametrize("seed", range(3))
+@pytest.mark.parametrize("seed", range(2))
 def test_random_histories_give_the_model_state(spark, feed, tmp_path, seed):
     rng = random.Random(seed)
     ledger, want = Ledger.create(spark, str(tmp_path), OPTIONS), model.Model()
-    for k, rows in enumerate(history(rng, 5)):
+    for k, rows in enumerate(history(rng, 4)):
         ledger.load(feed(rows))
         want.apply(rows)
-        if k == 2:
+        if k == 1:
             ledger.compact()
             assert_like(ledger, want)
     assert_like(ledger, want)
@@ -58,9 +58,9 @@ def test_random_histories_give_the_model_state(spark, feed, tmp_path, seed):
 
 
 def test_result_does_not_depend_on_the_cut(spark, feed, tmp_path):
-    rows = [r for batch in history(random.Random(9), 6, variants=False) for r in batch]
+    rows = [r for batch in history(random.Random(9), 4, variants=False) for r in batch]
     results = []
-    for cut in (len(rows), 7):
+    for cut in (len(rows), -(-len(rows) // 3)):
         ledger = Ledger.create(spark, str(tmp_path / str(cut)), OPTIONS)
         for i in range(0, len(rows), cut):
             ledger.load(feed(rows[i : i + cut]))
@@ -95,7 +95,7 @@ def test_repeated_and_interrupted_batches(spark, feed, tmp_path):
 
 def test_document_that_dies_and_returns_with_another_text(spark, feed, tmp_path):
     ledger, want = Ledger.create(spark, str(tmp_path), OPTIONS), model.Model()
-    for k, text in enumerate(["a b c d e", "x y z w", "A, B C-D e!", ", a b c d e", "x y z w"]):
+    for k, text in enumerate(["a b c d e", "x y z w", ", A, B C-D e!", "x y z w"]):
         rows = [("u", text, k)]
         ledger.load(feed(rows))
         want.apply(rows)
