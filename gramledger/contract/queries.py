@@ -175,50 +175,47 @@ def doc_transitions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @cache
-def _ledger(app: str, spark: SparkSession, sf_dir: str) -> tuple[Ledger, ExportSink]:
-    """A ledger after all rounds, with the exports of each round; built once per session.
+def _ledger(app: str, spark: SparkSession, sf_dir: str) -> Ledger:
+    """A ledger after all rounds; built once per session.
 
     It is compacted after the first round, so later rounds work on a base and logs.
     """
     ledger = Ledger.create(spark, new_folder(spark, "ledger"), LedgerOptions())
-    sink = ExportSink(spark, new_folder(spark, "exports"))
     for k, changes in enumerate(rounds(document_feed(spark, sf_dir))):
-        batch = ledger.load(changes)
-        sink.apply(ledger.changed_values(batch), batch)
+        ledger.load(changes)
         if k == 0:
             ledger.compact()
-    return ledger, sink
+    return ledger
 
 
-def ledger_of(spark: SparkSession, sf_dir: str) -> tuple[Ledger, ExportSink]:
+def ledger_of(spark: SparkSession, sf_dir: str) -> Ledger:
     return _ledger(spark.sparkContext.applicationId, spark, sf_dir)
 
 
 def phrase_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the last round added to and took from the counts."""
-    ledger, _ = ledger_of(spark, sf_dir)
-    return ledger.batch_deltas(ROUNDS - 1).select("phrase", "d_doc", "d_total")
+    return ledger_of(spark, sf_dir).batch_deltas(ROUNDS - 1).select("phrase", "d_doc", "d_total")
 
 
 def incremental_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ledger_of(spark, sf_dir)[0].phrase_counts()
+    return ledger_of(spark, sf_dir).phrase_counts()
 
 
 def live_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ledger_of(spark, sf_dir)[0].documents()
+    return ledger_of(spark, sf_dir).documents()
 
 
 def uri_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ledger_of(spark, sf_dir)[0].uri_state()
+    return ledger_of(spark, sf_dir).uri_state()
 
 
 def ledger_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = table(spark, sf_dir, "benchmark").select(normalized(F.col("text")).alias("text"))
-    return ledger_of(spark, sf_dir)[0].lookup(O.document_phrases(items, 4))
+    return ledger_of(spark, sf_dir).lookup(O.document_phrases(items, 4))
 
 
 def corpus_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ledger_of(spark, sf_dir)[0].corpus_stats()
+    return ledger_of(spark, sf_dir).corpus_stats()
 
 
 def corpus_stats_report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -227,16 +224,15 @@ def corpus_stats_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def export_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """New totals of the phrases the last round changed."""
-    return ledger_of(spark, sf_dir)[0].changed_values(ROUNDS - 1)
+    return ledger_of(spark, sf_dir).changed_values(ROUNDS - 1)
 
 
 def export_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All exports, delivered twice and newest first, as a reader of the sink sees them."""
-    _, first = ledger_of(spark, sf_dir)
-    sink = ExportSink(spark, new_folder(spark, "exports-again"))
-    rows = spark.read.parquet(first.root)
+    """The exports of all rounds, newest first and then again, as a reader of the sink sees them."""
+    ledger = ledger_of(spark, sf_dir)
+    sink = ExportSink(spark, new_folder(spark, "exports"))
     for delivery, seq in enumerate([*reversed(range(ROUNDS)), *range(ROUNDS)]):
-        sink.apply(rows.where(F.col("seq") == seq), delivery)
+        sink.apply(ledger.changed_values(seq), delivery)
     return sink.scan()
 
 
