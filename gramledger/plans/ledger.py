@@ -348,12 +348,15 @@ class Ledger:
     def corpus_stats(self) -> DataFrame:
         """One row (uris, unique_docs, processed_docs)."""
         at = self._position()
-        uris = self.uri_state(at=at).agg(F.count("*").alias("uris"))
-        docs = self.doc_state(at=at).agg(
-            F.count("*").alias("unique_docs"),
-            F.coalesce(F.sum("indexed"), F.lit(0)).cast("bigint").alias("processed_docs"),
+        one, none = F.lit(1), F.lit(0)
+        uris = self.uri_state(at=at).select(
+            one.alias("uris"), none.alias("unique_docs"), none.alias("processed_docs")
         )
-        return uris.join(docs)
+        docs = self.doc_state(at=at).select(
+            none.alias("uris"), one.alias("unique_docs"), F.col("indexed").alias("processed_docs")
+        )
+        rows = uris.unionByName(docs)
+        return rows.agg(*(F.coalesce(F.sum(c), none).cast("bigint").alias(c) for c in rows.columns))
 
     def create_views(self, prefix: str = "") -> None:
         """Temporary views for SQL: phrases, uris and documents."""
