@@ -1,7 +1,7 @@
 """Times the headline queries and prints one JSON line.
 
 BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8), BENCH_RUNS
-(default 2; the best run counts). Every result is computed in full into the
+(default 3; the best run counts). Every result is computed in full into the
 no-op sink.
 """
 
