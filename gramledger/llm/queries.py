@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gramledger.llm import decontaminate, licenses
+from gramledger.llm import decontaminate, licenses, minhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,13 +19,18 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return decontaminate.judged(found)
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_license_scan, op10_decontamination)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_license_scan, op2_near_duplicates, op10_decontamination)}
 ORACLES: dict[str, str] = {
     "op1_license_scan": licenses.oracle_sql(),
+    "op2_near_duplicates": minhash.oracle_sql(),
     "op10_decontamination": decontaminate.oracle_sql(),
 }
