@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gramledger.llm import decontaminate, licenses, minhash
+from gramledger.llm import decontaminate, licenses, minhash, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,12 +23,17 @@ def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.scores(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return decontaminate.judged(found)
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_license_scan, op2_near_duplicates, op10_decontamination)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_license_scan, op2_near_duplicates, op3_toxicity, op10_decontamination)}
 ORACLES: dict[str, str] = {
     "op1_license_scan": licenses.oracle_sql(),
     "op2_near_duplicates": minhash.oracle_sql(),
