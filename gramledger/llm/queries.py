@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gramledger.llm import decontaminate, licenses, minhash, toxicity
+from gramledger.llm import decontaminate, licenses, minhash, piece_bpe, toxicity
+
+PIECES = "piece_bpe_32k.model"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,12 +31,16 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scores(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
 
 
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return decontaminate.judged(found)
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_license_scan, op2_near_duplicates, op3_toxicity, op10_decontamination)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_license_scan, op2_near_duplicates, op3_toxicity, op8_sentencepiece, op10_decontamination)}
 ORACLES: dict[str, str] = {
     "op1_license_scan": licenses.oracle_sql(),
     "op2_near_duplicates": minhash.oracle_sql(),
