@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gramledger.llm import decontaminate, licenses, minhash, piece_bpe, toxicity
+from gramledger.llm import decontaminate, licenses, minhash, piece_bpe, toxicity, warc
 
 PIECES = "piece_bpe_32k.model"
 
@@ -31,6 +31,13 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scores(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = warc.deduplicated_archives(table(spark, sf_dir, "pages"))
+    # One file per task: an archive is the unit of reading.
+    files = files.repartition(max(1, files.count()), "file")
+    return warc.read_archives(files).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
 
@@ -40,9 +47,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.judged(found)
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_license_scan, op2_near_duplicates, op3_toxicity, op8_sentencepiece, op10_decontamination)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_license_scan, op2_near_duplicates, op3_toxicity, op4_warc, op8_sentencepiece, op10_decontamination)}
 ORACLES: dict[str, str] = {
     "op1_license_scan": licenses.oracle_sql(),
     "op2_near_duplicates": minhash.oracle_sql(),
+    "op4_warc": warc.oracle_sql(),
     "op10_decontamination": decontaminate.oracle_sql(),
 }
