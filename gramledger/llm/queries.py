@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gramledger.llm import decontaminate, licenses, minhash, piece_bpe, toxicity, warc
+from gramledger.llm import decontaminate, licenses, minhash, piece_bpe, quality, toxicity, warc
 
 PIECES = "piece_bpe_32k.model"
 
@@ -38,6 +38,10 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(files).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents")).drop("class_distance", "common_distance")
+
+
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
 
@@ -47,10 +51,11 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.judged(found)
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_license_scan, op2_near_duplicates, op3_toxicity, op4_warc, op8_sentencepiece, op10_decontamination)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_license_scan, op2_near_duplicates, op3_toxicity, op4_warc, op7_quality_rules, op8_sentencepiece, op10_decontamination)}
 ORACLES: dict[str, str] = {
     "op1_license_scan": licenses.oracle_sql(),
     "op2_near_duplicates": minhash.oracle_sql(),
     "op4_warc": warc.oracle_sql(),
+    "op7_quality_rules": quality.oracle_sql(),
     "op10_decontamination": decontaminate.oracle_sql(),
 }
