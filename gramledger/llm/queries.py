@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gramledger.llm import decontaminate, licenses, minhash, piece_bpe, quality, toxicity, warc
+from gramledger.llm import decontaminate, licenses, minhash, piece_bpe, quality, toxicity, url_filter, warc
 
 PIECES = "piece_bpe_32k.model"
 
@@ -46,16 +46,21 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
 
 
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge_urls(table(spark, sf_dir, "pages")).drop("ratio")
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return decontaminate.judged(found)
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_license_scan, op2_near_duplicates, op3_toxicity, op4_warc, op7_quality_rules, op8_sentencepiece, op10_decontamination)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_license_scan, op2_near_duplicates, op3_toxicity, op4_warc, op7_quality_rules, op8_sentencepiece, op9_url_filter, op10_decontamination)}
 ORACLES: dict[str, str] = {
     "op1_license_scan": licenses.oracle_sql(),
     "op2_near_duplicates": minhash.oracle_sql(),
     "op4_warc": warc.oracle_sql(),
     "op7_quality_rules": quality.oracle_sql(),
+    "op9_url_filter": url_filter.oracle_sql(),
     "op10_decontamination": decontaminate.oracle_sql(),
 }
