@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gramledger.llm import decontaminate, html_extract, licenses, minhash, piece_bpe, quality, toxicity, url_filter, warc
+from gramledger.llm import decontaminate, html_extract, licenses, lm_score, minhash, piece_bpe, quality, toxicity, url_filter, warc
 
 PIECES = "piece_bpe_32k.model"
 
@@ -38,6 +38,11 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(files).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return lm_score.scores(docs, lm_score.fit(docs))
+
+
 def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(table(spark, sf_dir, "pages"))
 
@@ -59,7 +64,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.judged(found)
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_license_scan, op2_near_duplicates, op3_toxicity, op4_warc, op6_html_extraction, op7_quality_rules, op8_sentencepiece, op9_url_filter, op10_decontamination)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_license_scan, op2_near_duplicates, op3_toxicity, op4_warc, op5_lm_score, op6_html_extraction, op7_quality_rules, op8_sentencepiece, op9_url_filter, op10_decontamination)}
 ORACLES: dict[str, str] = {
     "op1_license_scan": licenses.oracle_sql(),
     "op2_near_duplicates": minhash.oracle_sql(),
