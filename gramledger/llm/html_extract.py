@@ -352,7 +352,8 @@ def learn(pages: DataFrame, *, page_id: str = "page_id", page_html: str = "html"
         weights = train(texts)
         yield batch(pa.schema([("f", pa.string()), ("w", pa.float64())]), [list(weights), list(weights.values())])
 
-    return {r.f: r.w for r in rows.mapInArrow(fit, "f string, w double").collect()}  # names in a bounded sample
+    weights = {r.f: r.w for r in rows.mapInArrow(fit, "f string, w double").collect()}  # names in a bounded sample
+    return weights or train([])
 
 
 def extract(pages: DataFrame, *, page_id: str = "page_id", url: str = "url", page_html: str = "html", weights: dict[str, float] | None = None) -> DataFrame:

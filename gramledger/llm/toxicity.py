@@ -162,6 +162,8 @@ def learn(
         yield batch(pa.schema([("at", pa.int64()), ("w", pa.float64())]), [at, [*model.weights.tolist(), model.intercept]])
 
     found = {r.at: r.w for r in rows.mapInArrow(fit, "at bigint, w double").collect()}  # 2^bits rows at most
+    if not found:
+        return train([], options)
     intercept = found.pop(-1)
     at = np.array(sorted(found), np.int64)
     return Model(at, np.array([found[i] for i in at.tolist()]), intercept, options.bits)

@@ -1,0 +1,24 @@
+"""Tables for test_contract."""
+
+from __future__ import annotations
+
+from conftest import DOCS, messy_rows
+from pyspark.sql import DataFrame, SparkSession
+
+
+def documents(spark: SparkSession) -> DataFrame:
+    rows = [r for r in messy_rows()[:24]]
+    rows += [(100 + i, t, "en", None, None, None, None, None, None, None, None, None) for i, t in enumerate([
+        "b a é d c b a a b c d e a b tail", "the gnu general public license mit license MIT LICENSE apache-license",
+        "License MIT", "a b c d e a b c d e\na b c d e\n\na b c d e", rows[7][1].upper(), rows[7][1] + " x", "x " + rows[7][1],
+        "the of and to in " * 30, "the### of*** and$$$ " * 30, "a short one here"])]
+    return spark.createDataFrame(rows, DOCS).repartition(3)
+
+
+def pages(spark: SparkSession) -> DataFrame:
+    body = "<html><body><nav>menu</nav><article><h1>T</h1><p>One &amp; two</p></article></body></html>" + "<!-- x -->" * 20
+    urls = [None, "", "no scheme", "http://Example.ORG/es/1?q#f", "http://a.example.org/en/12", "https://x.com/fr/", "https://x.com/de/1",
+            "http://org", "http://notexample.org/es/", "HTTP://COM/de/?", "ftp://user@h.net:80/p a/é?x=://y", "x://y://z/a", "http://a.net#f",
+            "http://b.example.com/en/7"]
+    rows = [(i, u, [body, None, "", "short", body + str(i)][i % 5], None, 1) for i, u in enumerate(urls)]
+    return spark.createDataFrame(rows, "page_id bigint, url string, html string, file string, place bigint").repartition(2)
