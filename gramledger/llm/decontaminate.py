@@ -269,29 +269,27 @@ def find_matches(
     # Several blocks: what each found in a text, put together. Texts do not move.
     found = stored(found, "benchmark-matches")
     return found.groupBy("row", "id", "n_words").agg(
-        _merged(F.flatten(F.collect_list("hits"))).alias("hits"),
+        F.flatten(F.collect_list("hits")).alias("hits"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
-        F.max("longest").alias("longest"),
-    )
+    ).withColumn("hits", _merged(F.col("hits"))).withColumn("longest", _longest(F.col("hits")))
 
 
 def _merged(hits):
     """Stretches of several blocks as one list of stretches that do not touch."""
-    pairs = F.array_sort(
-        F.transform(
-            F.sequence(F.lit(0), F.size(hits).cast("int") / 2 - 1).cast("array<int>"),
-            lambda i: F.struct(hits[i * 2].alias("b"), hits[i * 2 + 1].alias("e")),
-        )
-    )
+    begins = F.filter(F.transform(hits, lambda x, i: F.when(i % 2 == 0, F.struct(x.alias("b"), F.get(hits, i + 1).alias("e")))), lambda p: p.isNotNull())
     empty = F.array().cast("array<bigint>")
-    joined = F.aggregate(
-        pairs, empty,
-        lambda out, p: F.when((F.size(out) > 0) & (F.element_at(out, -1) >= p.b),
-                              F.concat(F.slice(out, 1, F.size(out) - 1),
-                                       F.array(F.greatest(F.element_at(out, -1), p.e))))
-        .otherwise(F.concat(out, F.array(p.b, p.e))),
-    )
-    return F.when(F.size(hits) > 0, joined).otherwise(empty)
+
+    def join(out, p):
+        last = F.element_at(out, -1)
+        longer = F.concat(F.slice(out, 1, F.size(out) - 1), F.array(F.greatest(last, p["e"])))
+        return F.when((F.size(out) > 0) & (F.try_element_at(out, F.lit(-1)) >= p["b"]), longer).otherwise(F.concat(out, F.array(p["b"], p["e"])))
+
+    return F.aggregate(F.array_sort(begins), empty, join)
+
+
+def _longest(hits):
+    sizes = F.transform(hits, lambda x, i: F.when(i % 2 == 0, F.get(hits, i + 1) - x))
+    return F.coalesce(F.array_max(sizes), F.lit(0).cast("bigint"))
 
 
 def n_hit(hits: str = "hits"):

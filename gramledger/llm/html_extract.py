@@ -244,7 +244,7 @@ TEXT = "content article post entry story body main text article-body post-conten
 ROLES = "navigation banner contentinfo complementary search dialog alert".split()
 
 
-def layouts(seed: int = 7, n: int = 400) -> Iterator[tuple[list[list[str]], list[int]]]:
+def layouts(seed: int = 7, n: int = 1000) -> Iterator[tuple[list[list[str]], list[int]]]:
     """Labelled pages: layouts drawn at random of parts that are text and parts that are not."""
     draw = random.Random(seed)
 
@@ -274,12 +274,12 @@ def layouts(seed: int = 7, n: int = 400) -> Iterator[tuple[list[list[str]], list
             if draw.random() < 0.2:
                 inner = f"<b>{inner}</b><br>" if draw.random() < 0.5 else f"{inner} <a href='#'>{words(1, 3, False)}</a>"
             parts.append(f"<ul><li>{inner}</li></ul>" if tag == "li" else f"<{tag}>{inner}</{tag}>")
-            if draw.random() < 0.12:
+            if draw.random() < 0.3:
                 parts.append(aside())
         return "".join(parts)
 
     for _ in range(n):
-        tag, attrs = draw.choice((("article", ""), ("article", ""), ("main", ""), ("div", f' class="{draw.choice(TEXT)}"'), ("section", f' id="{draw.choice(TEXT)}"')))
+        tag, attrs = draw.choice((("article", ""), ("main", ""), *[("div", f' class="{draw.choice(TEXT)}"')] * 3, ("section", f' id="{draw.choice(TEXT)}"')))
         inner = f"<{tag}{attrs}>{body()}</{tag}>"
         if draw.random() < 0.3:
             inner = f'<div class="{draw.choice(("page", "wrap", "container"))}">{inner}</div>'

@@ -1,0 +1,261 @@
+"""Toxicity, language model, page extraction and archives."""
+
+from __future__ import annotations
+
+import gzip
+import hashlib
+import itertools
+import math
+import random
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from gramledger.llm import html_extract, lm_score, toxicity, warc
+from gramledger.session import new_folder
+
+# -- toxicity -------------------------------------------------------------------
+
+
+def scalar_ftrl(rows, o):
+    """The update rule, a coordinate at a time."""
+    coordinates = toxicity.Hashing(o.bits)
+    z, n = defaultdict(float), defaultdict(float)
+    prior = (sum(y for _, y in rows) + 0.5) / (len(rows) + 10)
+    intercept, seen = math.log(prior / (1 - prior)), 0.0
+
+    def weight(i):
+        if abs(z[i]) <= o.l1:
+            return 0.0
+        return (math.copysign(o.l1, z[i]) - z[i]) / ((o.beta + math.sqrt(n[i])) / o.alpha + o.l2)
+
+    for _ in range(o.epochs):
+        for text, y in rows:
+            at = sorted(set(coordinates(text).tolist()))
+            g = 1 / (1 + math.exp(-(sum(map(weight, at)) + intercept))) - y
+            for i, w in [(i, weight(i)) for i in at]:
+                z[i] += g - (math.sqrt(n[i] + g * g) - math.sqrt(n[i])) / o.alpha * w
+                n[i] += g * g
+            seen += g * g
+            intercept -= o.alpha / (o.beta + math.sqrt(seen)) * g
+    return {i: weight(i) for i in z if weight(i)}, intercept
+
+
+def test_training_equals_the_rule_coordinate_by_coordinate():
+    draw = random.Random(1)
+    rows = [(" ".join(draw.choice("abcdefgh") for _ in range(9)).encode(), draw.randint(0, 1)) for _ in range(80)]
+    options = toxicity.Ftrl(l1=0.3, epochs=2, bits=12)
+    model = toxicity.train(rows, options)
+    weights, intercept = scalar_ftrl(rows, options)
+    assert model.intercept == pytest.approx(intercept)
+    assert dict(zip(model.at.tolist(), model.weights.tolist(), strict=True)) == pytest.approx(weights)
+
+
+@pytest.fixture(scope="module")
+def toxic(spark):
+    draw = random.Random(2)
+    bad = "vile scum trash".split()
+    rows = []
+    for i in range(1500):
+        words = [f"w{draw.randrange(300)}" for _ in range(40)]
+        label = int(draw.random() < 0.2)
+        for _ in range(3 * label):
+            words[draw.randrange(40)] = draw.choice(bad)
+        rows.append((i, " ".join(words), label))
+    docs = spark.createDataFrame([(i, t, "x", 1) for i, t, _ in rows], "doc_id bigint, text string, label string, key int")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows if i % 4], "doc_id bigint, toxic int")
+    return rows, docs, labels
+
+
+def test_held_out_documents_are_told_apart(toxic):
+    rows, docs, labels = toxic
+    model = toxicity.learn(docs, labels)
+    got = {r.doc_id: r for r in toxicity.scores(docs, model).collect()}
+    held = [(i, y) for i, _, y in rows if zlib.crc32(str(i).encode()) % 4 == 2]
+    assert {i for i, r in got.items() if r.held_out} == {i for i, _ in held}
+    assert sum(got[i].predicted == y for i, y in held) / len(held) > 0.97
+    assert len(model.at) < 400  # sparse
+    score = toxicity.Scorer(model)
+    assert all(got[i].score == pytest.approx(score(t.encode())) for i, t, _ in rows[:50])
+    assert all(r.predicted == int(r.score >= 0.3) for r in got.values())
+    left = {r.doc_id for r in toxicity.drop_toxic(docs, labels).collect()}
+    assert left == {i for i, r in got.items() if not r.predicted}
+
+
+def test_held_out_labels_change_nothing(toxic):
+    rows, docs, labels = toxic
+    changed = labels.withColumn("toxic", toxicity.F.when(toxicity.held_out(toxicity.F.col("doc_id")), 1 - labels.toxic).otherwise(labels.toxic))
+    a, b = toxicity.learn(docs, labels), toxicity.learn(docs, changed)
+    assert a.intercept == b.intercept and (a.at == b.at).all() and (a.weights == b.weights).all()
+
+
+def test_toxicity_of_odd_rows(spark, messy, nothing):
+    labels = spark.createDataFrame([(3, 1), (3, 0), (4, None), (None, 1), (7, 0), (99, 1)], "doc_id bigint, toxic int")
+    model = toxicity.learn(messy, labels)
+    rows = toxicity.scores(messy, model).collect()
+    assert len(rows) == messy.count() and all(0 <= r.score <= 1 for r in rows)
+    assert toxicity.drop_toxic(messy, labels.where("false")).count() == messy.count()
+    assert toxicity.scores(nothing, toxicity.learn(nothing, labels)).collect() == []
+
+
+# -- language model -------------------------------------------------------------
+
+
+def test_scores_equal_a_sum_over_tokens(spark, messy):
+    model = lm_score.fit(messy)
+    net = model.network
+    classes = lm_score.Classes(model.words)
+    got = lm_score.scores(messy, model).collect()
+    assert len(got) == messy.count()
+    texts = defaultdict(set)
+    for r in messy.collect():
+        texts[r.doc_id].add(r.text)
+    for r in got:
+        values = []
+        for t in texts[r.doc_id]:
+            own = classes.of((t or "").encode()).tolist()
+            total = 0.0
+            for i, c in enumerate(own):
+                near = [own[i + k] if 0 <= i + k < len(own) else lm_score.OUTSIDE for k in lm_score.PLACES]
+                h = np.tanh(sum(net.tables[p][x].astype(float) for p, x in enumerate(near)))
+                s = h @ net.out + net.bias
+                total += s[c] - s.max() - math.log(np.exp(s - s.max()).sum())
+            values.append((len(own), total))
+        assert any(r.n_tokens == n and r.log_likelihood == pytest.approx(x, rel=1e-4, abs=1e-4) for n, x in values)
+        assert (r.mean_log_likelihood is None) == (r.n_tokens == 0)
+
+
+def test_training_learns_from_both_sides(spark):
+    draw = random.Random(3)
+    pairs = [(f"a{k}", f"b{k}") for k in range(8)]
+    texts = [" ".join(f"{x} mid{draw.randrange(3)} {y}" for x, y in draw.choices(pairs, k=40)) for _ in range(400)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(2)
+    counts = Counter(w for t in texts for w in t.split())
+    got = {r.word.decode(): r.n for r in lm_score.word_counts(docs, "text").collect()}
+    assert got == counts
+    total = sum(counts.values())
+    unigram = sum(n / total * math.log(n / total) for n in counts.values())
+    model = lm_score.fit(docs, rounds=4)
+    fresh = spark.createDataFrame([(0, " ".join(f"{x} mid0 {y}" for x, y in draw.choices(pairs, k=200)))], "doc_id bigint, text string")
+    mixed = spark.createDataFrame([(0, " ".join(draw.choice(list(counts)) for _ in range(600)))], "doc_id bigint, text string")
+    good = lm_score.scores(fresh, model).first().mean_log_likelihood
+    assert good > unigram + 0.2 and good > lm_score.scores(mixed, model).first().mean_log_likelihood + 0.5
+
+
+def test_language_model_without_rows(nothing):
+    assert lm_score.scores(nothing, lm_score.fit(nothing)).collect() == []
+
+
+# -- pages ----------------------------------------------------------------------
+
+
+def test_viterbi_and_gradient_against_enumeration():
+    draw = random.Random(5)
+    model = html_extract.Field()
+    names = ["a", "b", "c", "pair:00", "pair:01", "pair:10", "pair:11"]
+    model.weights = {n: draw.uniform(-2, 2) for n in names}
+    page = [[draw.choice("abc") for _ in range(draw.randint(1, 3))] for _ in range(7)]
+
+    def value(labels, weights):
+        v = sum(weights.get(f, 0.0) for b, y in zip(page, labels, strict=True) if y for f in b)
+        return v + sum(weights.get(f"pair:{x}{y}", 0.0) for x, y in itertools.pairwise(labels))
+
+    every = list(itertools.product((0, 1), repeat=7))
+    assert value(model.decode(page), model.weights) == pytest.approx(max(value(y, model.weights) for y in every))
+    labels = [0, 1, 1, 0, 1, 0, 0]
+
+    def likelihood(weights):
+        return value(labels, weights) - math.log(sum(math.exp(value(y, weights)) for y in every))
+
+    before = dict(model.weights)
+    model.step(page, labels, rate=1e-6)
+    for n in names:
+        up, down = {**before, n: before[n] + 1e-5}, {**before, n: before[n] - 1e-5}
+        slope = (likelihood(up) - likelihood(down)) / 2e-5 - html_extract.DECAY * before[n]
+        assert (model.weights[n] - before[n]) / 1e-6 * math.sqrt(model.squares[n]) == pytest.approx(slope, abs=1e-3)
+
+
+@pytest.fixture(scope="module")
+def trained():
+    model = html_extract.Field()
+    model.weights = html_extract.train([])
+    return model
+
+
+def test_held_out_layouts(trained):
+    wrong = total = 0
+    for found, labels in html_extract.layouts(seed=41, n=150):
+        total += len(labels)
+        wrong += sum(a != b for a, b in zip(trained.decode(found), labels, strict=True))
+    assert wrong < 0.04 * total
+
+
+PAGES = [
+    ("<html><head><title>T</title><script>var t='</p>';</script><style>p{}</style></head><body><nav><ul><li><a href='/x'>menu</a></ul></nav>"
+     "<!-- ad --><div class=\"ad\">Buy this now.</div><article><h1>Head &amp; line</h1><p><b>Head &amp; line<br><p>Some\n  text &lt;here&gt;.</p>"
+     "<p>More &#233;t&eacute; of   it.</p></article><footer>&copy; x</footer></body></html>",
+     "Head & line\nHead & line\nSome text <here>.\nMore été of it."),
+    ("<body><header>Site</header><main><article><h2>One</h2><p>Two words.</p><aside>Not this</aside><p>Three.</p>"
+     "<section class='comments'><p>I do not agree with this article.</p></section></article></main><div id=cookie-notice>We use cookies.</div>",
+     "One\nTwo words.\nThree."),
+    ("<div class='page'><div class='menu'><a href=1>a</a></div><div class='content'><h1>A title</h1><p>First.</p><form><p>Your name</p><input></form><p>Last"
+     " of all.</p></div><div class='sidebar'><p>Popular posts of the week.</p></div></div>", "A title\nFirst.\nLast of all."),
+    ("", ""), ("<!-- never closed", ""), ("<script>never closed", ""), ("<nav>only</nav>", ""),
+]
+
+
+@pytest.mark.parametrize(("page", "text"), PAGES)
+def test_main_text(trained, page, text):
+    assert html_extract.main_text(page, trained) == text
+
+
+def test_extract_of_odd_rows(spark):
+    rows = [(1, "u", PAGES[0][0], "x"), (1, "u", PAGES[0][0], "x"), (None, None, None, None), (2, None, "", None), (3, "v", "<article><p>" + "word " * 50_000, None)]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string, text string")
+    got = html_extract.extract(df).collect()
+    assert sorted(r.n_chars for r in got) == [0, 0, len(PAGES[0][1]), len(PAGES[0][1]), 249_999]
+    assert all(r.n_chars == len(r.text) for r in got)
+    assert html_extract.extract(df.where("false")).collect() == []
+
+
+# -- archives -------------------------------------------------------------------
+
+
+def test_archives_round_trip(spark):
+    body = "é" * 60
+    rows = [(5, "http://a/\r\nb%", body, "f"), (3, None, body, "f"), (9, "u", body, None), (9, "u", body, None), (4, "u", "s", None), (6, "u", "s", None),
+            (7, "u", None, None), (8, "u", "a\r\n\r\nWARC/1.1\r\n\r\n" * 9, None), (None, "n", body, None)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string, file string").repartition(3)
+    files = warc.deduplicated_archives(pages)
+    got = warc.read_archives(files).collect()
+    assert len(got) == len(rows)
+    by = {r.page_id: r for r in got}
+    assert (by[3].record_type, by[3].refers_to, bytes(by[3].payload)) == ("response", None, body.encode())
+    assert (by[5].record_type, by[5].refers_to, by[5].payload, by[5].payload_bytes, by[5].url) == ("revisit", 3, None, 120, "http://a/\r\nb%")
+    assert sum(r.refers_to == 3 for r in got) == 3 and by[None].record_type == "response"
+    assert by[6].record_type == by[4].record_type == by[7].record_type == "response" and by[7].payload_bytes == 0
+    assert bytes(by[8].payload).decode() == rows[7][2]
+    assert all(r.payload_digest == hashlib.sha256((dict((k, h) for k, _, h, _ in rows)[r.page_id] or "").encode()).hexdigest() for r in got)
+
+
+def test_repeated_originals_and_empty_tables(spark):
+    pages = spark.createDataFrame([(1, "u", "x" * 200)] * 5, "page_id bigint, url string, html string").repartition(2)
+    got = warc.read_archives(warc.deduplicated_archives(pages)).collect()
+    assert sorted(r.record_type for r in got) == ["response"] + ["revisit"] * 4
+    assert warc.read_archives(warc.deduplicated_archives(pages.where("false"))).collect() == []
+
+
+def test_archives_are_gzip_members_and_broken_ones_are_refused(spark, tmp_path):
+    pages = spark.createDataFrame([(k, "u", "text" * k) for k in range(20)], "page_id bigint, url string, html string").repartition(1)
+    headers = warc.write_archives(pages, warc.uri(new_folder(spark, "warc-test"))).collect()
+    path = headers[0].file.removeprefix("file://")
+    data = open(path, "rb").read()
+    assert gzip.decompress(data).count(b"WARC/1.1\r\n") == 20
+    for r in headers:
+        fields, payload = warc.parsed(next(iter(warc.Members(pa.BufferReader(data[r.place :])))))
+        assert fields["WARC-Page"] == str(r.page_id) and payload == b"text" * r.page_id
+    with pytest.raises(ValueError, match="ends within"):
+        list(warc.Members(pa.BufferReader(data[:-3])))
