@@ -5,15 +5,17 @@
    are packed into a signature.
 2. Equal texts become one class, before anything else is shuffled.
 3. Classes that share a bucket are candidates. First each one is paired with the
-   smallest of its bucket, so that a bucket of m members gives m - 1 pairs. What is
-   still in different components after that is compared block by block within the
-   bucket, on signatures; only the best pairs of two components leave a block.
-4. A candidate must reach FLOOR by its signature (share of equal low bits, corrected
-   for chance) and is then confirmed on the full sets.
-5. Components of the confirmed links, by alternating stars.
+   smallest of its bucket, so that a bucket of m members gives m - 1 pairs.
+4. A pair must reach FLOOR by its signature (share of equal low bits, corrected for
+   chance) and is then confirmed on the full sets. Confirmed links make components,
+   by alternating stars.
+5. What is still in different components of a bucket is compared on signatures, block
+   by block: the members outside the bucket's largest component against all. Those
+   that reach FLOOR make clusters, and within a cluster the same is done once more on
+   the full sets. Tasks hand on links and clusters, never the pairs they looked at.
 
 At a similarity of exactly 0.75 a pair shares no band with a probability of
-(1 - 0.75^4)^32 = 5e-6, and its signature falls below FLOOR with one of 1e-9; both
+(1 - 0.75^4)^32 = 5e-6, and its signature falls below FLOOR with one of 4e-6; both
 are smaller for more similar pairs. Links are never taken on estimates alone.
 """
 
@@ -31,12 +33,14 @@ from gramledger.llm.text import WORD_BYTES, WordHashes, batch, hashes_of, mixed,
 
 SHINGLE = 5
 SIMILARITY = 75  # per cent
-HASHES, ROWS, BITS = 128, 4, 2
+HASHES, ROWS, BITS = 128, 4, 4
 BANDS = HASHES // ROWS
 LONGS = HASHES * BITS // 64
-FLOOR = 0.47  # six standard deviations below 0.75
-BLOCK = 2048  # members of a bucket compared at a time
-BEST = (4, 64, None)  # pairs of two components that may leave a block, round by round; None: all
+FLOOR = 0.57  # four and a half standard deviations below 0.75
+LOWEST = sum(1 << k for k in range(0, 64, BITS))  # the lowest bit of each minimum in a long
+SMALL_PART = 100_000  # rows of a few numbers that one task writes
+BLOCK = 2048  # members of a group compared at a time with as many
+BLOCK_SHINGLES = 1 << 20  # and shingles, about, where full sets are compared
 
 _random = np.random.default_rng(20240229)
 FACTORS = _random.integers(1, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -123,7 +127,7 @@ def estimate(a: Column, b: Column) -> Column:
         x = a[k].bitwiseXOR(b[k])
         for shift in range(1, BITS):
             x = x.bitwiseOR(F.shiftrightunsigned(a[k].bitwiseXOR(b[k]), shift))
-        equal = equal - F.bit_count(x.bitwiseAND(F.lit(int("01" * 32, 2))))
+        equal = equal - F.bit_count(x.bitwiseAND(F.lit(LOWEST)))
     chance = 2.0**-BITS
     return (equal / HASHES - chance) / (1 - chance)
 
@@ -132,11 +136,14 @@ def alike_sizes(a: Column, b: Column) -> Column:
     return 100 * F.least(a, b) >= SIMILARITY * F.greatest(a, b)
 
 
-def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, repeated: bool) -> DataFrame:
-    """The pairs (a, b) whose signatures allow a link, with linked: whether their full sets make one.
+def sets_of(docs: DataFrame, ids: DataFrame, repeated: bool) -> DataFrame:
+    """(id, digest, shingles) of the texts of the ids (rep). repeated: whether an id has several rows; then each text once."""
+    sets = docs.join(ids, docs.id == ids.rep, "left_semi").mapInArrow(full_sets, "id bigint, digest binary, shingles array<bigint>")
+    return sets.groupBy("id", "digest").agg(F.first("shingles").alias("shingles")) if repeated else sets
 
-    repeated: whether a doc_id has several rows; then each text of it is read once.
-    """
+
+def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, repeated: bool, parts: int) -> DataFrame:
+    """The pairs (a, b) whose signatures allow a link, with linked: whether their full sets make one."""
     side = classes.select("rep", "digest", "n_shingles", "signature")
     likely = (
         pairs.join(side.toDF("a", "da", "na", "sa"), "a")
@@ -144,17 +151,12 @@ def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, repeated: b
         .where(alike_sizes(F.col("na"), F.col("nb")) & (estimate(F.col("sa"), F.col("sb")) >= FLOOR))
         .select("a", "b", "da", "db", "na", "nb")
     )
-    likely = stored(likely, "likely")
-    ids = likely.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
-    sets = docs.join(ids, docs.id == ids.rep, "left_semi")
-    sets = sets.mapInArrow(full_sets, "id bigint, digest binary, shingles array<bigint>")
-    if repeated:
-        sets = sets.groupBy("id", "digest").agg(F.first("shingles").alias("shingles"))
-    sets = stored(sets, "shingle-sets")
+    likely = stored(likely, "likely", parts)
+    sets = stored(sets_of(docs, likely.select(F.explode(F.array("a", "b")).alias("rep")).distinct(), repeated), "shingle-sets")
     common = F.size(F.array_intersect("xa", "xb"))
     both = likely.join(sets.toDF("a", "da", "xa"), ["a", "da"]).join(sets.toDF("b", "db", "xb"), ["b", "db"])
     linked = 100 * common >= SIMILARITY * (F.col("na") + F.col("nb") - common)
-    return stored(both.groupBy("a", "b").agg(F.max(linked).alias("linked")), "confirmed")
+    return stored(both.groupBy("a", "b").agg(F.max(linked).alias("linked")), "confirmed", parts)
 
 
 # -- components -----------------------------------------------------------------
@@ -163,20 +165,22 @@ def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, repeated: b
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) of the nodes of edges (a, b); a component is known by its smallest node."""
     edges = stored(_falling(edges.select("a", "b")), "edges")
-    before = None
+    # Stars never have more edges than there were: their number says how many files they fill.
+    parts = edges.count() // SMALL_PART + 1
     while True:
         # Nodes above a node are linked to the least of its neighbours, then those below it.
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = stored(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), "least")
+        least = stored(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), "least", parts)
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = stored(_falling(large), "large-star")
-        least = stored(large.groupBy("a").agg(F.min("b").alias("m")), "least")
+        large = stored(_falling(large), "large-star", parts)
+        least = stored(large.groupBy("a").agg(F.min("b").alias("m")), "least", parts)
         small = large.join(least, "a").select(F.explode(F.array(F.struct("a", "m"), F.struct(F.col("b").alias("a"), "m"))).alias("e"))
-        edges = stored(_falling(small.select(F.col("e.a").alias("a"), F.col("e.m").alias("b"))), "edges")
-        now = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
-        if now == before:
+        edges = stored(_falling(small.select(F.col("e.a").alias("a"), F.col("e.m").alias("b"))), "edges", parts)
+        # Done when every edge leads from a node to a root: a node with one edge, to one that has none.
+        ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("out")).unionByName(
+            edges.select(F.col("b").alias("node"), F.lit(0).alias("out")).distinct())
+        if ends.groupBy("node").agg(F.count("*").alias("m")).where("m > 1").isEmpty():
             break
-        before = now
     roots = edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots)
 
@@ -188,8 +192,7 @@ def _falling(edges: DataFrame) -> DataFrame:
 
 # -- what one pairing with the smallest leaves open -------------------------------
 
-OPEN = "key bigint, low int, high int, part int, rep bigint, component bigint, n bigint, signature array<bigint>"
-PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("more", pa.bool_())])
+PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
 def group_rows(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
@@ -219,63 +222,142 @@ def group_rows(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Tabl
         yield pa.Table.from_batches(rest)
 
 
-def block_pairs(group: pa.Table, best: int | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs of members of different components whose signatures and sizes allow a link: the `best` of any two components."""
-    part, rep, component, size = (group.column(k).to_numpy() for k in ("part", "rep", "component", "n"))
-    signature = np.array(group.column("signature").to_pylist(), np.int64).view(np.uint64).reshape(len(rep), LONGS)
-    left, right = np.flatnonzero(part == part.min()), np.flatnonzero(part == part.max())
+def in_blocks(rows: DataFrame, key: str, block: int, block_shingles: int, parts: int) -> DataFrame:
+    """Rows of groups with several components, dealt out so that any two that differ in it meet in one (key, low, high).
+
+    Members of the group's largest component go to blocks of their own, which meet the
+    blocks of the others but not each other: work grows with the others times all.
+    part says which of the two blocks a row is in.
+    """
+    sizes = rows.groupBy(key, "component").agg(F.count("*").alias("m"), F.sum("n").alias("w"))
+    largest = F.max(F.struct("m", "component", "w")).alias("top")
+
+    def blocks(m, w):
+        return F.greatest(F.ceil(m / block), F.ceil(w / block_shingles)).cast("int")
+
+    groups = sizes.groupBy(key).agg(largest, F.sum("m").alias("m"), F.sum("w").alias("w"), F.count("*").alias("kinds")).where("kinds > 1")
+    groups = stored(groups.select(
+        key, F.col("top.component").alias("most"), blocks(F.col("top.m"), F.col("top.w")).alias("large"),
+        blocks(F.col("m") - F.col("top.m"), F.col("w") - F.col("top.w")).alias("other")), "open-groups", parts)
+    dealt = rows.join(groups, key)
+    place = F.xxhash64(F.col("rep"), F.lit(7))
+    in_most = F.col("component") == F.col("most")
+    part = F.when(in_most, F.col("other") + F.pmod(place, F.col("large"))).otherwise(F.pmod(place, F.col("other"))).cast("int")
+    last = F.when(in_most, F.col("other")).otherwise(F.col("other") + F.col("large")) - 1
+    dealt = dealt.withColumn("part", part).withColumn("meets", F.explode(F.sequence(F.lit(0), last)))
+    dealt = dealt.withColumn("low", F.least("part", "meets")).withColumn("high", F.greatest("part", "meets"))
+    dealt = dealt.select(key, "low", "high", "part", *[c for c in rows.columns if c != key])
+    return dealt.repartition(key, "low", "high").sortWithinPartitions(key, "low", "high")
+
+
+def sides(group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    part, low, high = (group.column(k).to_numpy() for k in ("part", "low", "high"))
+    return np.flatnonzero(part == low), np.flatnonzero(part == high)
+
+
+def likely_pairs(group: pa.Table, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Which rows of different components have signatures and sizes that allow a link, left by right."""
+    component, size = (group.column(k).to_numpy() for k in ("component", "n"))
+    signature = np.array(group.column("signature").to_pylist(), np.int64).view(np.uint64).reshape(len(size), LONGS)
     chance = 2.0**-BITS
     least_equal = int(np.ceil((FLOOR * (1 - chance) + chance) * HASHES))
-    found = []
+    good = np.empty((len(left), len(right)), bool)
     for start in range(0, len(left), 256):
         rows = left[start : start + 256]
-        unequal = np.zeros((len(rows), len(right)), np.int64)
+        unequal = np.zeros((len(rows), len(right)), np.uint8 if HASHES < 256 else np.int32)
         for k in range(LONGS):
             x = signature[rows, k][:, None] ^ signature[right, k][None, :]
+            y = x
             for shift in range(1, BITS):
-                x = x | (x >> np.uint64(shift))
-            unequal += np.bitwise_count(x & np.uint64(int("01" * 32, 2)))
+                y = y | (x >> np.uint64(shift))
+            unequal += np.bitwise_count(y & np.uint64(LOWEST))
         a, b = size[rows][:, None], size[right][None, :]
-        good = (HASHES - unequal >= least_equal) & (component[rows][:, None] != component[right][None, :])
-        good &= 100 * np.minimum(a, b) >= SIMILARITY * np.maximum(a, b)
-        i, j = np.nonzero(good)
-        found.append(np.stack([rows[i], right[j], unequal[i, j]]))
-    i, j, unequal = np.concatenate(found, axis=1)
-    low, high = np.minimum(component[i], component[j]), np.maximum(component[i], component[j])
-    order = np.lexsort((rep[i], unequal, high, low))
-    i, j, low, high = i[order], j[order], low[order], high[order]
-    first = np.append(True, (low[1:] != low[:-1]) | (high[1:] != high[:-1]))[: len(i)]
-    begins = np.flatnonzero(first)
-    place = np.arange(len(i)) - begins[np.cumsum(first) - 1] if len(i) else np.empty(0, np.int64)
-    taken = place < (best or len(i) + 1)
-    more = np.zeros(len(i), bool)
-    if best:
-        more[taken] = np.isin(np.cumsum(first)[taken], np.unique(np.cumsum(first)[~taken]))
-    return np.minimum(rep[i], rep[j])[taken], np.maximum(rep[i], rep[j])[taken], more[taken]
-
-
-def open_pairs(members: DataFrame, classes: DataFrame, labels: DataFrame, best: int | None) -> DataFrame:
-    """Candidate pairs of a bucket whose ends are in different components."""
+        near = (unequal <= HASHES - least_equal) & (component[rows][:, None] != component[right][None, :])
+        good[start : start + 256] = near & (100 * np.minimum(a, b) >= SIMILARITY * np.maximum(a, b))
+    return good
+
+
+def block_clusters(group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Rows that likely pairs connect, each with the first one of its cluster."""
+    left, right = sides(group)
+    good = likely_pairs(group, left, right)
+    rep = group.column("rep").to_numpy()
+    roots, ends = [], []
+    open_left, open_right = good.any(axis=1), np.ones(len(right), bool)
+    while open_left.any():
+        first = front = np.flatnonzero(open_left)[:1]
+        open_left[front] = False
+        while len(front):
+            reached = np.flatnonzero(good[front].any(axis=0) & open_right)
+            open_right[reached] = False
+            front = np.flatnonzero(good[:, reached].any(axis=1) & open_left)
+            open_left[front] = False
+            for found in (rep[right[reached]], rep[left[front]]):
+                roots.append(np.repeat(rep[left[first]], len(found)))
+                ends.append(found)
+    none = np.empty(0, np.int64)
+    return np.concatenate([none, *roots]), np.concatenate([none, *ends])
+
+
+def block_links(group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Links between rows of different components by their full sets: for every row one to each component it is linked with."""
+    left, right = sides(group)
+    component, rep = group.column("component").to_numpy(), group.column("rep").to_numpy()
+    sets = group.column("shingles").combine_chunks()
+    ends = sets.offsets.to_numpy()
+    _, codes = np.unique(sets.values.to_numpy(), return_inverse=True)
+    size = np.diff(ends)
+    inside = np.concatenate([np.arange(ends[r], ends[r + 1]) for r in right])
+    others, starts = codes[inside], np.cumsum(size[right]) - size[right]
+    mark = np.zeros(int(codes.max()) + 1, np.int32)
+    from_, to = [], []
+    for i in left:
+        own = codes[ends[i] : ends[i + 1]]
+        far = component[right] != component[i]
+        if not far.any():
+            continue
+        mark[own] = 1
+        common = np.add.reduceat(mark[others], starts)
+        mark[own] = 0
+        linked = np.flatnonzero(far & (100 * common >= SIMILARITY * (size[i] + size[right] - common)))
+        if len(linked):
+            _, one = np.unique(component[right[linked]], return_index=True)
+            to.append(rep[right[linked[one]]])
+            from_.append(np.repeat(rep[i], len(one)))
+    none = np.empty(0, np.int64)
+    return np.concatenate([none, *from_]), np.concatenate([none, *to])
+
+
+def by_group(compare, dealt: DataFrame) -> DataFrame:
+    """compare(rows of one (key, low, high)) for all of them: pairs (a, b)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in group_rows(batches, 3):
+            yield batch(PAIRS, compare(group))
+
+    return dealt.mapInArrow(run, "a bigint, b bigint")
+
+
+def open_links(members: DataFrame, classes: DataFrame, labels: DataFrame, docs: DataFrame, repeated: bool, parts: int) -> DataFrame:
+    """Links (a, b) between what is still in different components of a bucket."""
     now = members.join(labels, members.rep == labels.node, "left").select(
         "key", "rep", F.coalesce("component", "rep").alias("component")
     )
-    mixed_ = stored(
-        now.groupBy("key").agg(F.min("component").alias("c"), F.max("component").alias("d"), F.count("*").alias("m"))
-        .where("c <> d").select("key", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks")),
-        "open-buckets",
-    )
+    mixed_ = now.groupBy("key").agg(F.min("component").alias("c"), F.max("component").alias("d")).where("c <> d").select("key")
     rows = now.join(mixed_, "key").join(classes.select("rep", F.col("n_shingles").alias("n"), "signature"), "rep")
-    rows = rows.withColumn("part", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.select("key", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), "part",
-                       "rep", "component", "n", "signature")
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in group_rows(batches, 3):
-            yield batch(PAIRS, block_pairs(group, best))
-
-    grouped = rows.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
-    return grouped.mapInArrow(compare, "a bigint, b bigint, more boolean")
+    rows = stored(rows.select("key", "rep", "component", "n", "signature"), "open-members", parts)
+    pairs = stored(by_group(block_clusters, in_blocks(rows, "key", BLOCK, 1 << 62, parts)), "open-pairs", parts)
+    clusters = stored(components(pairs), "clusters", parts)
+    inside = (
+        clusters.toDF("node", "cluster").join(labels.toDF("node", "component"), "node", "left")
+        .select("node", "cluster", F.coalesce("component", "node").alias("component"))
+        .join(classes.select("rep", "digest"), F.col("node") == F.col("rep")).select("cluster", "rep", "digest", "component")
+    )
+    sets = sets_of(docs, inside.select("rep").distinct(), repeated)
+    rows = inside.join(sets.toDF("rep", "digest", "shingles"), ["rep", "digest"])
+    rows = stored(rows.select("cluster", "rep", "component", F.size("shingles").cast("bigint").alias("n"), "shingles"), "clustered")
+    dealt = in_blocks(rows, "cluster", BLOCK, BLOCK_SHINGLES, parts)
+    return stored(by_group(block_links, dealt), "open-links", parts)
 
 
 # -- all of it ------------------------------------------------------------------
@@ -299,6 +381,8 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
         docs.mapInArrow(sketches, "doc_id bigint, digest binary, n_shingles bigint, signature array<bigint>, bands array<bigint>"),
         "sketches",
     )
+    rows = sketch.count()
+    parts = rows * BANDS // (10 * SMALL_PART) + 1  # for what has a few numbers per bucket and document at most
     real = sketch.where("n_shingles > 0 AND doc_id IS NOT NULL")
     least = F.min(F.struct("doc_id", "n_shingles", "signature", "bands"))
     classes = stored(
@@ -306,35 +390,24 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
         "classes",
     )
     each = classes.select("rep", F.explode("bands").alias("key"))
-    hubs = stored(each.groupBy("key").agg(F.min("rep").alias("hub"), F.count("*").alias("m")).where("m > 1"), "hubs")
-    members = stored(each.join(hubs, "key").select("key", "rep", "hub"), "members")
+    hubs = stored(each.groupBy("key").agg(F.min("rep").alias("hub"), F.count("*").alias("m")).where("m > 1"), "hubs", parts)
+    members = stored(each.join(hubs, "key").select("key", "rep", "hub"), "members", parts)
 
     repeated = stored(
         real.groupBy("doc_id").agg(F.count("*").alias("m"), F.min("digest").alias("d"), F.max("digest").alias("e")).where("m > 1"),
-        "repeated",
+        "repeated", parts,
     )
     again = not repeated.isEmpty()
     same = _same_document(repeated.where("d <> e"), real, classes)
 
-    def labels_of(tried: DataFrame) -> DataFrame:
-        return stored(components(tried.where("linked").select("a", "b").unionByName(same)), "labels")
-
     first = members.where("rep <> hub").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()
-    tried = confirmed(first, classes, docs, again)
-    labels = labels_of(tried)
-    for best in BEST:
-        found = stored(open_pairs(members, classes, labels, best), "open-pairs")
-        state = found.agg(F.count("*").alias("n"), F.max("more").alias("more")).first()
-        if not state.n:
-            break
-        fresh = found.select("a", "b").distinct().join(tried.select("a", "b"), ["a", "b"], "left_anti")
-        tried = tried.unionByName(confirmed(fresh, classes, docs, again))
-        labels = labels_of(tried)
-        if not state.more:  # every pair that was open has been looked at
-            break
+    links = confirmed(first, classes, docs, again, parts).where("linked").select("a", "b").unionByName(same)
+    labels = stored(components(links), "labels", parts)
+    links = links.unionByName(open_links(members, classes, labels, docs, again, parts))
+    labels = stored(components(links), "labels", parts)
     named = stored(
         classes.join(labels, classes.rep == labels.node, "left").select("digest", F.coalesce("component", "rep").alias("component")),
-        "components",
+        "components", parts,
     )
     whole = sketch.join(named, "digest", "left")
     linked = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
@@ -345,7 +418,7 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
 def _same_document(ids: DataFrame, real: DataFrame, classes: DataFrame) -> DataFrame:
     """Links between the classes of different texts that share a doc_id."""
     rows = real.select("doc_id", "digest").join(ids.select("doc_id"), "doc_id").join(classes.select("digest", "rep"), "digest")
-    return stored(rows.select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).where("a <> b").distinct(), "same-document")
+    return stored(rows.select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).where("a <> b").distinct(), "same-document", 1 + ids.count() // SMALL_PART)
 
 
 def drop_near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

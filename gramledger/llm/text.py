@@ -88,8 +88,11 @@ def batch(schema: pa.Schema, columns: Iterable) -> pa.RecordBatch:
     )
 
 
-def stored(df: DataFrame, purpose: str) -> DataFrame:
-    """df written to the shared folder and read back: computed once, and no lineage behind it."""
+def stored(df: DataFrame, purpose: str, parts: int | None = None) -> DataFrame:
+    """df written to the shared folder and read back: computed once, and no lineage behind it.
+
+    parts: most files, where the number of rows has a bound that makes do with so many.
+    """
     folder = new_folder(df.sparkSession, purpose)
-    df.write.parquet(folder)
+    (df.coalesce(parts) if parts else df).write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)

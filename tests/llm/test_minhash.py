@@ -71,7 +71,7 @@ def test_groups_equal_brute_force(spark):
 def test_chains_that_no_smallest_member_joins(spark, monkeypatch):
     """A chain of texts, each near the next alone: buckets are compared within, in blocks of two."""
     monkeypatch.setattr(minhash, "BLOCK", 2)
-    monkeypatch.setattr(minhash, "BEST", (1, None))
+    monkeypatch.setattr(minhash, "BLOCK_SHINGLES", 70)
     words = [f"w{i}" for i in range(160)]
     rows = [(50 - k, " ".join(words[4 * k : 4 * k + 60])) for k in range(20)]
     assert {r.doc_id: r.component_id for r in found(spark, rows)} == brute(rows)
@@ -121,15 +121,27 @@ def test_estimate_is_close_and_the_same_in_both_forms(spark):
         assert e == pytest.approx((equal / n - chance) / (1 - chance))
 
 
-def test_block_pairs_keep_the_best_of_two_components():
+def table(**columns):
+    return pa.table(columns | {"low": [0] * len(columns["rep"]), "high": [max(columns["part"])] * len(columns["rep"])})
+
+
+def test_clusters_of_a_block():
     draw = np.random.default_rng(0)
-    base = draw.integers(0, 1 << 62, minhash.LONGS)
-    rows = {"key": [1] * 6, "low": [0] * 6, "high": [1] * 6, "part": [0, 0, 0, 1, 1, 1], "rep": [1, 2, 3, 4, 5, 6],
-            "component": [1, 1, 3, 1, 5, 5], "n": [100, 100, 10, 100, 90, 80], "signature": [base.tolist()] * 6}
-    a, b, more = minhash.block_pairs(pa.table(rows), None)
-    assert sorted(zip(a.tolist(), b.tolist(), strict=True)) == [(1, 5), (1, 6), (2, 5), (2, 6)] and not more.any()
-    a, b, more = minhash.block_pairs(pa.table(rows), 1)
-    assert len(a) == 1 and more.all()
+    one, two = (draw.integers(0, 1 << 62, minhash.LONGS).tolist() for _ in range(2))
+    rows = table(part=[0, 0, 0, 0, 1, 1, 1], rep=[1, 2, 3, 7, 4, 5, 6], component=[1, 1, 3, 7, 1, 5, 5], n=[100, 100, 10, 100, 100, 90, 80],
+                 signature=[one, one, one, two, one, one, one])
+    a, b = minhash.block_clusters(rows)
+    assert a.tolist() == [1] * 3 and sorted(b.tolist()) == [2, 5, 6]  # 3 is too small, 4 is of the same component, 7 another text
+
+
+def test_links_of_a_block():
+    sets = [range(100), range(5, 100), range(30, 130), range(5, 105), range(60)]
+    rows = table(part=[0, 0, 1, 1, 1], rep=[1, 2, 3, 4, 5], component=[1, 2, 3, 4, 5], n=[100, 95, 100, 100, 60],
+                 shingles=pa.array([list(s) for s in sets], pa.list_(pa.int64())))
+    a, b = minhash.block_links(rows)
+    want = {(i + 1, j + 1) for i in (0, 1) for j in (2, 3, 4)
+            if 100 * len(set(sets[i]) & set(sets[j])) >= 75 * len(set(sets[i]) | set(sets[j]))}
+    assert set(zip(a.tolist(), b.tolist(), strict=True)) == want and want
 
 
 def test_components_of_random_edges(spark):
