@@ -1,4 +1,4 @@
-"""Command line: setup, load, print, lookup, compact, publish."""
+"""Command line: setup, load, print, lookup, compact, vacuum, publish."""
 
 from __future__ import annotations
 
@@ -34,7 +34,11 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("out")
     sub = command("lookup", "show the counts of phrases")
     sub.add_argument("phrases", nargs="+")
-    command("compact", "fold the logs into the base tables")
+    sub = command("compact", "fold the logs into the base tables")
+    sub.add_argument("--buckets", type=int, help="deal the base tables out anew")
+    sub.add_argument("--texts", action="store_true", help="fold the texts of live documents too")
+    sub = command("vacuum", "delete logs and bases nothing needs any more")
+    sub.add_argument("--keep-batches", type=int, default=0)
     sub = command("publish", "write a new version of a query table")
     sub.add_argument("table")
     sub.add_argument("--files", type=int)
@@ -61,7 +65,12 @@ def main(argv: list[str] | None = None) -> None:
         for row in ledger.lookup(wanted).orderBy(F.col("phrase")).collect():
             print(f"{row.doc_count:7d} {row.total_count:7d} '{row.phrase}'")
     elif args.command == "compact":
-        ledger.compact()
+        ledger.compact(args.buckets)
+        if args.texts:
+            ledger.compact_texts()
+    elif args.command == "vacuum":
+        for folder in ledger.vacuum(args.keep_batches):
+            print(folder)
     elif args.command == "publish":
         ledger.publish(QueryTable(spark, args.table), args.files)
 

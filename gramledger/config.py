@@ -27,13 +27,11 @@ class LedgerOptions:
     buckets: files per compacted table. Joins against a compacted table reuse
         its bucketing, so this is also their parallelism: on a cluster use a few
         times the number of cores, and at least spark.sql.shuffle.partitions.
-    long_text_chars: texts above this many characters are counted in pieces
-        spread over tasks instead of inside one row.
+        Ledger.compact can change it.
     """
 
     phrase_length: int = PHRASE_LENGTH
     buckets: int = 8
-    long_text_chars: int = 1_000_000
     tokenizer_version: int = TOKENIZER_VERSION
 
     def __post_init__(self):

@@ -128,6 +128,7 @@ ORACLES: dict[str, str] = {
     "export_changes": f"""{CHANGED_COUNTS}
         SELECT phrase, CAST(2 AS BIGINT) AS seq, doc_count, total_count FROM changed""",
     "incremental_counts": FEED_COUNTS,
+    "late_writes": FEED_COUNTS,
     "stream_counts": FEED_COUNTS,
     "export_apply": FEED_COUNTS,
     "live_documents": f"""WITH {FEED}, {_latest("now")}
@@ -140,6 +141,7 @@ ORACLES: dict[str, str] = {
         SELECT format('# unique documents    : {{:,}}', unique_docs) FROM stats UNION ALL
         SELECT format('# processed documents : {{:,}}', processed_docs) FROM stats""",
     "phrase_table": ALL_COUNTS,
+    "table_lookup": f"WITH {UNIQUE}, {_counts('uniq')}, {BENCH_PHRASES} {LOOKUP}",
     "phrase_range_layout": f"""WITH {UNIQUE}, {_counts("uniq")}
         SELECT phrase[1:1] AS first_char, count(*) AS phrases,
                CAST(sum(total_count) AS BIGINT) AS occurrences FROM counts GROUP BY ALL""",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gramledger.config import LedgerOptions
@@ -206,7 +206,16 @@ def live_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def uri_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ledger_of(spark, sf_dir).uri_state()
+    return ledger_of(spark, sf_dir).uri_state().select("uri", "hash")
+
+
+def late_writes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts after the rounds came in the order 2, 0, 1: older writes change nothing of newer ones."""
+    ledger = Ledger.create(spark, new_folder(spark, "late"), LedgerOptions())
+    feed = rounds(document_feed(spark, sf_dir))
+    for k in (2, 0, 1):
+        ledger.load(feed[k])
+    return ledger.phrase_counts()
 
 
 def ledger_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -228,11 +237,17 @@ def export_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def export_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The exports of all rounds, newest first and then again, as a reader of the sink sees them."""
+    """The exports of all rounds, newest first and then again, as a reader of the sink sees them.
+
+    All of them lie before the ledger's last compaction; the sink is folded half-way.
+    """
     ledger = ledger_of(spark, sf_dir)
+    ledger.compact()
     sink = ExportSink(spark, new_folder(spark, "exports"))
     for delivery, seq in enumerate([*reversed(range(ROUNDS)), *range(ROUNDS)]):
         sink.apply(ledger.changed_values(seq), delivery)
+        if delivery == ROUNDS:
+            sink.fold()
     return sink.scan()
 
 
@@ -253,9 +268,22 @@ def phrase_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _published(spark, sf_dir).scan()
 
 
+def table_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every phrase of the benchmark texts, looked up in the published table."""
+    items = table(spark, sf_dir, "benchmark").select(normalized(F.col("text")).alias("text"))
+    return _published(spark, sf_dir).lookup(O.document_phrases(items, 4))
+
+
 def phrase_range_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Phrases and occurrences by first character, read from the range-sorted table."""
+    """Phrases and occurrences by first character, read from the range-sorted table.
+
+    Stops if two files overlap in their phrases.
+    """
     rows = _published(spark, sf_dir).scan()
+    files = rows.groupBy(F.input_file_name().alias("file")).agg(F.min("phrase").alias("low"), F.max("phrase").alias("high"))
+    before = F.lag("high").over(Window.orderBy("low"))  # a row per file
+    if not files.withColumn("before", before).where("before >= low").isEmpty():
+        raise ValueError("files of the published table overlap")
     return rows.groupBy(F.substring("phrase", 1, 1).alias("first_char")).agg(
         F.count("*").alias("phrases"), F.sum("total_count").alias("occurrences")
     )
@@ -291,8 +319,8 @@ QUERIES: dict[str, Query] = {
         tokenize, doc_hash, doc_phrases, doc_phrase_counts, phrase_counts, unique_docs,
         page_phrase_counts, conversation_phrase_counts, latest_by_uri, doc_ref_counts,
         phrase_lookup, phrase_report, changed_uris, doc_transitions, phrase_deltas,
-        incremental_counts, live_documents, uri_table, ledger_lookup, corpus_stats,
-        corpus_stats_report, export_changes, export_apply, phrase_table, phrase_range_layout,
+        incremental_counts, late_writes, live_documents, uri_table, ledger_lookup, corpus_stats,
+        corpus_stats_report, export_changes, export_apply, phrase_table, table_lookup, phrase_range_layout,
         stream_counts, text_directory,
     )
 }

@@ -35,6 +35,16 @@ def content_hash(content: Column) -> Column:
     return F.sha1(F.encode(F.regexp_replace(F.lower(content), SEPARATORS, ""), HASH_CHARSET))
 
 
+def pieces(text: Column, length: int, tokens: int) -> Column:
+    """Stretches of `tokens` tokens of a normalized text, each with the length - 1 tokens after it.
+
+    One pass: a look-ahead takes the longer stretch, the match itself the shorter.
+    A space that begins a text stays, for the empty token it stands for.
+    """
+    own, longer = (f"[a-z0-9]*+(?: [a-z0-9]++){{0,{n}}}+" for n in (tokens - 1, tokens + length - 2))
+    return F.regexp_extract_all(text, F.lit(f"(?:(?<=[a-z0-9]) )?(?=({longer})){own}"), 1)
+
+
 def phrases(text: Column, length: int = PHRASE_LENGTH) -> Column:
     """All runs of `length` tokens of a normalized text, in text order.
 

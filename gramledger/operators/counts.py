@@ -8,61 +8,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gramledger.config import PHRASE_LENGTH, REPORT_LINE, STATS_LINES
-from gramledger.functions.text import phrases
-from gramledger.operators.documents import (
-    LONG_TEXT_CHARS,
-    document_phrases,
-    exploded,
-    text_pieces,
-    unique_docs,
-    with_normalized,
-)
-
-
-def signed_counts(
-    texts: DataFrame,
-    sign: str | None = None,
-    length: int = PHRASE_LENGTH,
-    long_text_chars: int = LONG_TEXT_CHARS,
-) -> DataFrame:
-    """(phrase, d_doc, d_total) summed over distinct documents (hash, text, n_chars).
-
-    `sign` names a column of +1 / -1 that adds or takes back a document.
-    Shuffles once, by phrase, after a map-side sum. A document of ordinary size
-    is counted within its row: its distinct phrases each bring one document,
-    its phrases by position one occurrence each. A longer one is cut into pieces
-    that are spread over tasks, and its phrases are counted by (hash, phrase).
-    """
-    m = F.col(sign).cast("bigint") if sign else F.lit(1).cast("bigint")
-    texts = texts.select("hash", "text", "n_chars", m.alias("m"))
-    is_long = F.col("n_chars") > long_text_chars
-
-    found = (
-        texts.where(~is_long)
-        .select("m", phrases(F.col("text"), length).alias("found"))
-        .withColumn("kinds", F.array_distinct("found"))
-        .select("m", F.size("kinds").alias("n_kinds"), F.concat("kinds", "found").alias("both"))
-    )
-    short = exploded(found, "both", "phrase", "m", "n_kinds")
-    is_kind = F.col("pos") < F.col("n_kinds")
-    short = short.select(
-        "phrase",
-        F.when(is_kind, F.col("m")).otherwise(0).alias("d_doc"),
-        F.when(is_kind, 0).otherwise(F.col("m")).alias("d_total"),
-    )
+from gramledger.operators.documents import document_phrase_counts, unique_docs, with_normalized
 
-    pieces = text_pieces(texts.where(is_long), length).repartition("hash", "piece")
-    long = (
-        document_phrases(pieces, length, "hash", "m")
-        .groupBy("hash", "m", "phrase")
-        .agg(F.count("*").alias("n"))
-        .select("phrase", F.col("m").alias("d_doc"), (F.col("m") * F.col("n")).alias("d_total"))
-    )
 
-    return (
-        short.unionByName(long)
-        .groupBy("phrase")
-        .agg(F.sum("d_doc").alias("d_doc"), F.sum("d_total").alias("d_total"))
+def signed_counts(texts: DataFrame, sign: str | None = None, length: int = PHRASE_LENGTH) -> DataFrame:
+    """(phrase, d_doc, d_total) summed over distinct documents (hash, text).
+
+    `sign` names a column of +1 / -1 that adds or takes back a document. Phrases
+    are counted by document first, then summed by phrase, each with a map-side
+    sum; texts that lie by hash are shuffled by phrase only.
+    """
+    m = F.col(sign).cast("bigint") if sign else F.lit(1).cast("bigint")
+    counted = document_phrase_counts(texts.withColumn("m", m), length, "m")
+    return counted.groupBy("phrase").agg(
+        F.sum("m").alias("d_doc"), F.sum(F.col("m") * F.col("n")).alias("d_total")
     )
 
 
@@ -77,18 +36,18 @@ def as_counts(deltas: DataFrame) -> DataFrame:
     )
 
 
-def text_counts(texts: DataFrame, length: int = PHRASE_LENGTH, **options) -> DataFrame:
-    """(phrase, doc_count, total_count) of distinct documents (hash, text, n_chars)."""
+def text_counts(texts: DataFrame, length: int = PHRASE_LENGTH) -> DataFrame:
+    """(phrase, doc_count, total_count) of distinct documents (hash, text)."""
     # Nothing is taken back here, so no count is zero; without a filter on them a
     # semi-join with a few phrases can move below the aggregation.
-    return signed_counts(texts, length=length, **options).select(
+    return signed_counts(texts, length=length).select(
         "phrase", F.col("d_doc").alias("doc_count"), F.col("d_total").alias("total_count")
     )
 
 
-def phrase_counts(docs: DataFrame, length: int = PHRASE_LENGTH, **options) -> DataFrame:
+def phrase_counts(docs: DataFrame, length: int = PHRASE_LENGTH) -> DataFrame:
     """(phrase, doc_count, total_count) where every row of `docs` is a URI of its own."""
-    return text_counts(with_normalized(unique_docs(docs)), length, **options)
+    return text_counts(with_normalized(unique_docs(docs)), length)
 
 
 def combine(*deltas: DataFrame) -> DataFrame:

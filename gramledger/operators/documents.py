@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gramledger.config import PHRASE_LENGTH
-from gramledger.functions.text import content_hash, normalized, phrases
+from gramledger.functions.text import content_hash, normalized, phrases, pieces
+from gramledger.sources.change_feed import complete
 
-LONG_TEXT_CHARS = 1_000_000
-PIECE_TOKENS = 50_000
+PIECE_TOKENS = 4096
 
 
 def hashed_feed(feed: DataFrame) -> DataFrame:
@@ -60,10 +60,11 @@ def unique_docs(docs: DataFrame) -> DataFrame:
     """(hash, content, ref_count) where every row of `docs` is a URI of its own.
 
     The text held is the one of the lowest (seq, uri). Partial aggregation
-    sends one text per hash and map task, however often it was copied.
+    sends one text per hash and map task, however often it was copied. A row
+    without content stops the job.
     """
     return (
-        docs.withColumn("hash", content_hash(F.col("content")))
+        complete(docs).withColumn("hash", content_hash(F.col("content")))
         .groupBy("hash")
         .agg(
             F.min_by("content", F.struct("seq", "uri")).alias("content"),
@@ -79,10 +80,7 @@ def current_docs(feed: DataFrame) -> DataFrame:
 
 
 def with_normalized(docs: DataFrame) -> DataFrame:
-    """Replaces `content` by the normalized `text` and its size before, `n_chars`."""
-    size = F.length("content").cast("bigint")
-    if "n_chars" not in docs.columns:
-        docs = docs.withColumn("n_chars", size)
+    """Replaces `content` by the normalized `text`."""
     return docs.withColumn("text", normalized(F.col("content"))).drop("content")
 
 
@@ -102,23 +100,25 @@ def document_phrases(texts: DataFrame, length: int = PHRASE_LENGTH, *keep: str)
     return exploded(found, "found", "phrase", *keep)
 
 
-def document_phrase_counts(texts: DataFrame, length: int = PHRASE_LENGTH) -> DataFrame:
-    """(hash, phrase, n): positions at which each phrase starts in each document."""
-    return (
-        document_phrases(texts, length, "hash")
-        .groupBy("hash", "phrase")
-        .agg(F.count("*").alias("n"))
-    )
-
-
 def text_pieces(texts: DataFrame, length: int = PHRASE_LENGTH, tokens: int = PIECE_TOKENS) -> DataFrame:
-    """Cuts each text into pieces that together have exactly its phrases.
+    """Cuts each normalized text into pieces that together have exactly its phrases.
 
     Neighbouring pieces share length - 1 tokens.
     """
-    words = F.col("words")
-    starts = F.sequence(F.lit(1), F.size(words), F.lit(tokens))
-    pieces = F.transform(starts, lambda s: F.array_join(F.slice(words, s, tokens + length - 1), " "))
     keep = [c for c in texts.columns if c != "text"]
-    cut = texts.withColumn("words", F.split("text", " ")).withColumn("pieces", pieces)
+    cut = texts.withColumn("pieces", pieces(F.col("text"), length, tokens))
     return exploded(cut, "pieces", "text", *keep).withColumnRenamed("pos", "piece")
+
+
+def document_phrase_counts(texts: DataFrame, length: int = PHRASE_LENGTH, *keep: str) -> DataFrame:
+    """(hash, phrase, n): positions at which each phrase starts in each document.
+
+    Every text goes the same way: in pieces, whose phrases are counted together.
+    Texts that lie by hash are counted where they are.
+    """
+    rows = texts.select("hash", "text", *keep)
+    return (
+        document_phrases(text_pieces(rows, length), length, "hash", *keep)
+        .groupBy("hash", *keep, "phrase")
+        .agg(F.count("*").alias("n"))
+    )

@@ -19,6 +19,20 @@ def state_of(keys: DataFrame, state: DataFrame, key: str) -> DataFrame:
     return state.join(keys.select(key), key, "left_semi")
 
 
+def newer_writes(latest: DataFrame, uri_state: DataFrame) -> DataFrame:
+    """(uri, seq, old_hash, hash) of the writes that count: no older than the one held, and with a new seq or hash.
+
+    Of equal seq the write that comes in the later batch counts.
+    """
+    old = uri_state.select("uri", F.col("seq").alias("old_seq"), F.col("hash").alias("old_hash"))
+    news = ~F.col("old_hash").eqNullSafe(F.col("hash")) | (F.col("seq") > F.col("old_seq"))
+    return (
+        latest.join(old, "uri", "left")
+        .where((F.col("old_seq").isNull() | (F.col("seq") >= F.col("old_seq"))) & news)
+        .select("uri", "seq", "old_hash", "hash")
+    )
+
+
 def changed_uris(latest: DataFrame, uri_state: DataFrame) -> DataFrame:
     """(uri, seq, old_hash, new_hash) of the URIs that got another document."""
     old = uri_state.select("uri", F.col("hash").alias("old_hash"))

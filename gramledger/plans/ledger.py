@@ -2,13 +2,14 @@
 
     <root>/commits                 one JSON row per committed batch or compaction
     <root>/write_log/batch_id=N    uri, seq, hash: last write of each URI in batch N
-    <root>/uri_log/batch_id=N      uri, seq, old_hash, hash: those that changed something
+    <root>/uri_log/batch_id=N      uri, seq, old_hash, hash: those that are news
     <root>/doc_log/batch_id=N      hash, delta, multiplier, ...
-    <root>/text_log/batch_id=N     hash, content, n_chars of documents batch N brought to life
+    <root>/text_log/batch_id=N     hash, content of documents batch N brought to life
     <root>/phrase_log/batch_id=N   phrase, d_doc, d_total
     <root>/uri_base/version=V      state after batch V, bucketed and sorted by its key
     <root>/doc_base/version=V
     <root>/phrase_base/version=V
+    <root>/text_base/version=V     texts of the documents alive after batch V
 
 A batch writes whole folders of its own and is visible once its commit row is
 there; a batch that failed half-way is written over by its retry. Reads add the
@@ -18,7 +19,7 @@ logs after the newest base to that base. One writer at a time.
 from __future__ import annotations
 
 import hashlib
-from dataclasses import asdict
+from dataclasses import asdict, dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,8 +33,8 @@ from gramledger.sinks.query_table import QueryTable, append_record
 from gramledger.sources.change_feed import change_feed, complete
 
 COMMIT_SCHEMA = (
-    "batch_id bigint, base bigint, source string, source_batch bigint, "
-    "phrase_length int, buckets int, long_text_chars int, tokenizer_version int"
+    "batch_id bigint, base bigint, text_base bigint, made bigint, source string, source_batch bigint, "
+    "phrase_length int, buckets int, tokenizer_version int"
 )
 NOTHING = -1
 
@@ -42,14 +43,27 @@ LOGS = {
     "uri": "uri string, seq bigint, old_hash string, hash string",
     "doc": "hash string, delta bigint, multiplier int, first struct<seq: bigint, uri: string>, "
     "text_batch bigint",
-    "text": "hash string, content string, n_chars bigint",
+    "text": "hash string, content string",
     "phrase": "phrase string, d_doc bigint, d_total bigint",
 }
 BASES = {
-    "uri": ("uri", "uri string, hash string"),
+    "uri": ("uri", "uri string, seq bigint, hash string"),
     "doc": ("hash", "hash string, ref_count bigint, indexed int, text_batch bigint"),
     "phrase": ("phrase", "phrase string, d_doc bigint, d_total bigint"),
+    "text": ("hash", "hash string, content string, batch_id bigint"),
 }
+STATE = ("uri", "doc", "phrase")
+
+
+@dataclass(frozen=True)
+class Position:
+    """Newest committed batch, the batch the newest base stands at with its buckets, and the same for the text base."""
+
+    last: int
+    base: int
+    buckets: int
+    text_base: int
+    text_buckets: int
 
 
 class Ledger:
@@ -64,12 +78,12 @@ class Ledger:
     def create(cls, spark: SparkSession, root: str, options: LedgerOptions | None = None) -> Ledger:
         """A new, empty ledger; one that was there before is no longer visible."""
         ledger = cls(spark, root, options or LedgerOptions())
-        ledger._commit(NOTHING, NOTHING, mode="overwrite")
+        ledger._commit(mode="overwrite")
         return ledger
 
     @classmethod
     def open(cls, spark: SparkSession, root: str) -> Ledger:
-        row = cls._read_commits(spark, root).where(F.col("batch_id") == NOTHING).first()
+        row = cls._read_commits(spark, root).orderBy(F.desc("made")).first()
         fields = LedgerOptions.__dataclass_fields__
         ledger = cls(spark, root, LedgerOptions(**{k: row[k] for k in fields}))
         if ledger.options.tokenizer_version != TOKENIZER_VERSION:
@@ -92,19 +106,30 @@ class Ledger:
         return self._read_commits(self.spark, self.root)
 
     def _commit(
-        self, batch_id: int, base: int, source: str | None = None,
-        source_batch: int | None = None, mode: str = "append",
+        self, batch_id: int = NOTHING, base: int = NOTHING, text_base: int = NOTHING, made: int = 0,
+        source: str | None = None, source_batch: int | None = None, mode: str = "append",
     ) -> None:
         record = {
-            "batch_id": batch_id, "base": base, "source": source, "source_batch": source_batch,
-            **asdict(self.options),
+            "batch_id": batch_id, "base": base, "text_base": text_base, "made": made, "source": source,
+            "source_batch": source_batch, **asdict(self.options),
         }
         append_record(self.spark, f"{self.root}/commits", record, COMMIT_SCHEMA, mode)
 
-    def _position(self) -> tuple[int, int]:
-        """Newest committed batch and the batch the newest base stands at."""
-        row = self.commits().agg(F.max("batch_id"), F.max("base")).first()
-        return row[0], row[1]
+    def _position(self, until: int | None = None) -> Position:
+        """Where the ledger stands, or stood after a batch: with the newest base that is not past it."""
+        rows = self.commits()
+        here = F.lit(True) if until is None else F.col("base") <= until
+        row = rows.agg(
+            F.max("batch_id").alias("last"),
+            F.max(F.when(here, F.struct("base", "made", "buckets"))).alias("b"),
+            F.max(F.struct("text_base", "made", "buckets")).alias("t"),
+        ).first()
+        last = row.last if until is None else min(until, row.last)
+        return Position(last, row.b.base, row.b.buckets, row.t.text_base, row.t.buckets)
+
+    def _next(self) -> int:
+        """The number of the next commit row."""
+        return self.commits().agg(F.max("made")).first()[0] + 1
 
     # -- stored tables ------------------------------------------------------
 
@@ -122,34 +147,37 @@ class Ledger:
         paths = [f"{folder}/batch_id={b}" for b in range(after + 1, last + 1)]
         return self.spark.read.schema(schema).option("basePath", folder).parquet(*paths)
 
-    def _base_name(self, name: str, version: int) -> str:
-        place = hashlib.sha256(self.root.encode()).hexdigest()[:16]
-        return f"gramledger_{place}_{name}_v{version}"
+    def _base_folder(self, name: str, version: int, buckets: int) -> str:
+        return f"{self.root}/{name}_base/version={version}_buckets={buckets}"
+
+    def _base_name(self, folder: str) -> str:
+        return f"gramledger_{hashlib.sha256(folder.encode()).hexdigest()[:24]}"
 
-    def _base(self, name: str, version: int) -> DataFrame:
+    def _base(self, name: str, version: int, buckets: int) -> DataFrame:
         """A compacted table, read with its bucketing so that joins on the key
         leave it where it is and a look-up of one key reads one bucket."""
         key, schema = BASES[name]
         if version == NOTHING:
             return self.spark.createDataFrame([], schema)
-        table = self._base_name(name, version)
+        folder = self._base_folder(name, version, buckets)
+        table, place = self._base_name(folder), folder.replace("\\", "\\\\").replace("'", "\\'")
         self.spark.sql(
             f"CREATE TABLE IF NOT EXISTS {table} ({schema}) USING parquet "
-            f"CLUSTERED BY ({key}) SORTED BY ({key}) INTO {self.options.buckets} BUCKETS "
-            f"LOCATION '{self.root}/{name}_base/version={version}'"
+            f"CLUSTERED BY ({key}) SORTED BY ({key}) INTO {buckets} BUCKETS LOCATION '{place}'"
         )
         return self.spark.table(table)
 
-    def _write_base(self, name: str, version: int, rows: DataFrame) -> None:
-        key, _ = BASES[name]
-        table = self._base_name(name, version)
+    def _write_base(self, name: str, version: int, buckets: int, rows: DataFrame) -> None:
+        key, schema = BASES[name]
+        folder = self._base_folder(name, version, buckets)
+        table = self._base_name(folder)
         self.spark.sql(f"DROP TABLE IF EXISTS {table}")
         (
-            rows.write.mode("overwrite")
+            rows.select(*self.spark.createDataFrame([], schema).columns).write.mode("overwrite")
             .format("parquet")
-            .bucketBy(self.options.buckets, key)
+            .bucketBy(buckets, key)
             .sortBy(key)
-            .option("path", f"{self.root}/{name}_base/version={version}")
+            .option("path", folder)
             .saveAsTable(table)
         )
 
@@ -160,25 +188,24 @@ class Ledger:
     # and not the base to them. A log has one row per key and batch, so sending
     # its rows without summing them first overloads no bucket.
 
-    def _parts(self, name: str, at: tuple[int, int], keys: DataFrame | None):
-        last, base = at
+    def _parts(self, name: str, at: Position, keys: DataFrame | None):
         key, _ = BASES[name]
-        buckets = self.options.buckets
-        parts = self._base(name, base), self._log(name, base, last)
+        buckets = at.buckets
+        parts = self._base(name, at.base, buckets), self._log(name, at.base, at.last)
         if keys is not None:
             keys = keys.select(key).repartition(buckets, key)
             parts = tuple(D.state_of(keys, part, key) for part in parts)
         return parts[0], parts[1].repartition(buckets, key)
 
-    def uri_state(self, keys: DataFrame | None = None, at: tuple[int, int] | None = None) -> DataFrame:
-        """(uri, hash) of every URI seen."""
+    def uri_state(self, keys: DataFrame | None = None, at: Position | None = None) -> DataFrame:
+        """(uri, seq, hash) of every URI seen."""
         base, log = self._parts("uri", at or self._position(), keys)
-        newest = log.groupBy("uri").agg(F.max(F.struct("batch_id", "hash")).alias("new"))
+        newest = log.groupBy("uri").agg(F.max(F.struct("batch_id", "seq", "hash")).alias("new"))
         return base.join(newest, "uri", "full").select(
-            "uri", F.coalesce("new.hash", "hash").alias("hash")
+            "uri", F.coalesce("new.seq", "seq").alias("seq"), F.coalesce("new.hash", "hash").alias("hash")
         )
 
-    def doc_state(self, keys: DataFrame | None = None, at: tuple[int, int] | None = None) -> DataFrame:
+    def doc_state(self, keys: DataFrame | None = None, at: Position | None = None) -> DataFrame:
         """(hash, ref_count, indexed, text_batch) of every live document."""
         base, log = self._parts("doc", at or self._position(), keys)
         born = F.when(F.col("multiplier") == 1, F.col("batch_id"))
@@ -199,7 +226,7 @@ class Ledger:
             .where(F.col("ref_count") > 0)
         )
 
-    def phrase_state(self, keys: DataFrame | None = None, at: tuple[int, int] | None = None) -> DataFrame:
+    def phrase_state(self, keys: DataFrame | None = None, at: Position | None = None) -> DataFrame:
         """(phrase, d_doc, d_total): all updates so far, summed."""
         base, log = self._parts("phrase", at or self._position(), keys)
         new = log.groupBy("phrase").agg(F.sum("d_doc").alias("a"), F.sum("d_total").alias("b"))
@@ -229,7 +256,7 @@ class Ledger:
             ).first()
             if done:
                 return done["batch_id"]
-        batch = at[0] + 1
+        batch = at.last + 1
         feed = complete(change_feed(changes))
 
         # Keys and hashes only: the text of unchanged documents goes nowhere. Each
@@ -237,8 +264,8 @@ class Ledger:
         # known to the planner.
         latest = self._write_log("write", batch, latest_by_uri(feed)).drop("batch_id")
         known = self.uri_state(latest, at)
-        changed = D.changed_uris(latest, known).withColumnRenamed("new_hash", "hash")
-        changed = self._write_log("uri", batch, changed.select("uri", "seq", "old_hash", "hash"))
+        news = self._write_log("uri", batch, D.newer_writes(latest, known))
+        changed = news.where(~F.col("old_hash").eqNullSafe(F.col("hash")))
 
         deltas = D.ref_deltas(changed.withColumnRenamed("hash", "new_hash"))
         moved = D.transitions(deltas, self.doc_state(deltas, at))
@@ -246,59 +273,114 @@ class Ledger:
             "doc", batch, moved.select("hash", "delta", "multiplier", "first", "text_batch")
         )
 
-        born = with_text(D.first_writes(moved), feed)
-        born = self._write_log(
-            "text", batch,
-            born.select("hash", "content", F.length("content").cast("bigint").alias("n_chars")),
-        )
+        # The keys of the documents to store are known: they cut the feed's texts down
+        # in the scan, before anything is shuffled.
+        wanted = D.first_writes(moved)
+        born = self._write_log("text", batch, with_text(wanted, feed).select("hash", "content"))
+        lost = wanted.join(born.where(F.col("content").isNotNull()), "hash", "left_anti").first()
+        if lost:
+            raise ValueError(f"the source changed while it was read: the text of {lost.uri} at {lost.seq} is gone")
 
-        signed = self._signed_texts(born, moved, batch)
-        deltas = C.signed_counts(
-            signed, "multiplier", self.options.phrase_length, self.options.long_text_chars
-        )
+        signed = self._signed_texts(born, moved, batch, at)
+        deltas = C.signed_counts(signed, "multiplier", self.options.phrase_length)
         deltas = deltas.where(C.nonzero("d_doc", "d_total")).sortWithinPartitions("phrase")
         self._write_log("phrase", batch, deltas)
 
-        self._commit(batch, NOTHING, source, source_batch)
+        self._commit(batch, made=self._next(), source=source, source_batch=source_batch)
         return batch
 
-    def _signed_texts(self, born: DataFrame, moved: DataFrame, batch: int) -> DataFrame:
-        """(hash, multiplier, n_chars, text) of the documents that come to life or go.
+    def _texts(self, at: Position) -> DataFrame:
+        """(hash, content, batch_id): every text stored, by the batch that brought it."""
+        columns = ["hash", "content", "batch_id"]
+        log = self._log("text", at.text_base, at.last).select(columns)
+        if at.text_base == NOTHING:
+            return log
+        return self._base("text", at.text_base, at.text_buckets).select(columns).unionByName(log)
+
+    def _signed_texts(self, born: DataFrame, moved: DataFrame, batch: int, at: Position) -> DataFrame:
+        """(hash, multiplier, text) of the documents that come to life or go, lying by hash.
 
         A text is read back from the batch that brought it: batch folders that
         hold none of the retracted documents are not opened.
         """
-        added = born.select("hash", "content", "n_chars", F.lit(1).alias("multiplier"))
-        gone = moved.where(F.col("multiplier") == -1).select(
-            "hash", "multiplier", F.col("text_batch").alias("batch_id")
-        )
-        if batch == 0:
-            return with_normalized(added)
-        stored = self._log("text", NOTHING, batch - 1)
-        removed = stored.join(gone, ["batch_id", "hash"]).select(added.columns)
-        return with_normalized(added.unionByName(removed))
+        added = born.select("hash", "content", F.lit(1).alias("multiplier"))
+        if batch > 0:
+            gone = moved.where(F.col("multiplier") == -1).select(
+                "hash", "multiplier", F.col("text_batch").alias("batch_id")
+            )
+            removed = self._texts(replace(at, last=batch - 1)).join(gone, ["batch_id", "hash"])
+            added = added.unionByName(removed.select(added.columns))
+        return with_normalized(added.repartition("hash"))
 
     # -- compaction and publication -----------------------------------------
 
-    def compact(self) -> int:
+    def compact(self, buckets: int | None = None) -> int:
         """Folds the logs into new base tables and returns the batch they stand at.
 
-        The old base is read and written in its buckets; only the logs move.
+        The old base is read and written in its buckets; only the logs move. Another
+        number of buckets deals the base out anew and holds from then on.
         """
-        at = last, base = self._position()
-        if last == base:
-            return base
-        self._write_base("uri", last, self.uri_state(at=at))
-        self._write_base("doc", last, self.doc_state(at=at))
-        self._write_base("phrase", last, self.phrase_state(at=at))
-        self._commit(NOTHING, last)
-        return last
+        at = self._position()
+        buckets = buckets or at.buckets
+        if at.last == at.base and buckets == at.buckets:
+            return at.base
+        self.options = replace(self.options, buckets=buckets)
+        for name in STATE:
+            state = getattr(self, f"{name}_state")(at=at)
+            self._write_base(name, at.last, buckets, state.repartition(buckets, BASES[name][0]) if buckets != at.buckets else state)
+        self._commit(base=at.last, made=self._next())
+        return at.last
+
+    def compact_texts(self) -> int:
+        """Folds the texts of live documents into one table and leaves those of dead ones behind.
+
+        Rewrites all live texts: for now and then, not for every compaction.
+        """
+        at = self._position()
+        if at.last != at.text_base:
+            live = self.doc_state(at=at).select("hash", F.col("text_batch").alias("batch_id"))
+            self._write_base("text", at.last, at.buckets, self._texts(at).join(live, ["hash", "batch_id"]).repartition(at.buckets, "hash"))
+            self._commit(text_base=at.last, made=self._next())
+        return at.last
+
+    def vacuum(self, keep_batches: int = 0) -> list[str]:
+        """Deletes logs and bases that reads of the last `keep_batches` batches and later ones do not open.
+
+        Returns the folders. Readers that began before the last compaction must be done.
+        changed_values of earlier batches and texts of dead documents are gone afterwards.
+        """
+        at = self._position()
+        old = self._position(max(NOTHING, at.last - keep_batches))
+        keep = {(p.base, p.buckets) for p in (at, old)}
+        gone = []
+        for name in LOGS:
+            until = min(at.text_base, old.last) if name == "text" else old.base
+            gone += self._folders(f"{self.root}/{name}_log", lambda f, until=until: int(f.split("=")[1]) <= until)
+        for name in BASES:
+            used = {(at.text_base, at.text_buckets)} if name == "text" else keep
+            names = {f"version={v}_buckets={b}" for v, b in used}
+            gone += self._folders(f"{self.root}/{name}_base", lambda f, names=names: f not in names)
+        jvm = self.spark.sparkContext._jvm
+        for folder in gone:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._base_name(folder)}")
+        return gone
+
+    def _folders(self, parent: str, wanted) -> list[str]:
+        """Folders below parent whose names are wanted; there is one per batch or compaction since the last vacuum."""
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(parent)
+        fs = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        if not fs.exists(path):
+            return []
+        names = [s.getPath().getName() for s in fs.listStatus(path)]
+        return [f"{parent}/{n}" for n in names if "=" in n and wanted(n)]
 
     def publish(self, table: QueryTable, files: int | None = None) -> int:
         """Compacts and writes the counts as a new version of a query table."""
         version = self.compact()
-        counts = C.as_counts(self._base("phrase", version))
-        table.publish(counts, version, files)
+        at = self._position()
+        table.publish(C.as_counts(self._base("phrase", version, at.buckets)), version, files)
         return version
 
     # -- queries ------------------------------------------------------------
@@ -318,31 +400,33 @@ class Ledger:
         The filter reaches the scans: one bucket of the base, and in it and in
         the logs only row groups around the phrase.
         """
-        last, base = self._position()
+        at = self._position()
         here = F.col("phrase") == phrase
         rows = C.combine(
-            self._base("phrase", base).where(here), self._log("phrase", base, last).where(here)
+            self._base("phrase", at.base, at.buckets).where(here), self._log("phrase", at.base, at.last).where(here)
         ).first()
         return (rows["d_doc"], rows["d_total"]) if rows else (0, 0)
 
     def documents(self) -> DataFrame:
         """(hash, content, ref_count) of every live document."""
-        last, _ = at = self._position()
+        at = self._position()
         live = self.doc_state(at=at).withColumnRenamed("text_batch", "batch_id")
-        texts = self._log("text", NOTHING, last)
-        return texts.join(live, ["batch_id", "hash"]).select("hash", "content", "ref_count")
+        return self._texts(at).join(live, ["batch_id", "hash"]).select("hash", "content", "ref_count")
 
     def batch_deltas(self, batch_id: int) -> DataFrame:
         """(phrase, d_doc, d_total, batch_id): what a batch added and took back."""
         return self._log("phrase", batch_id - 1, batch_id)
 
     def changed_values(self, batch_id: int) -> DataFrame:
-        """(phrase, seq, doc_count, total_count): totals after a batch of the phrases it changed."""
-        last, base = self._position()
-        if not base <= batch_id <= last:
-            raise ValueError(f"batch {batch_id} is not between the base {base} and the last batch {last}")
+        """(phrase, seq, doc_count, total_count): totals after a batch of the phrases it changed.
+
+        For any batch whose log is kept, compacted or not.
+        """
+        at = self._position(batch_id)
+        if not 0 <= batch_id <= at.last:
+            raise ValueError(f"there is no batch {batch_id}, the last one is {at.last}")
         deltas = self.batch_deltas(batch_id)
-        totals = C.as_counts(self.phrase_state(deltas, (batch_id, base)))
+        totals = C.as_counts(self.phrase_state(deltas, at))
         return D.export_rows(deltas, totals, batch_id)
 
     def corpus_stats(self) -> DataFrame:

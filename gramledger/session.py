@@ -19,10 +19,12 @@ RECOMMENDED = {
     # Most four-word phrases are rare: the small first-level map of an
     # aggregation fills up at once and is then only a probe too many.
     "spark.sql.codegen.aggregate.map.twolevel.enabled": "false",
-    # Lets a large list of retracted hashes cut the stored texts down before
-    # they are shuffled.
+    # Let a large list of keys (documents to store, texts to take back) cut texts
+    # down in their scan, before they are shuffled: up to 100 million keys in 64 MB.
     "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1g",
-    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1g",
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0",
+    "spark.sql.optimizer.runtime.bloomFilter.maxNumItems": "100000000",
+    "spark.sql.optimizer.runtime.bloomFilter.maxNumBits": "536870912",
 }
 
 

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from gramledger.operators.counts import newest_exports, published_rows
+from gramledger.operators.counts import lookup, newest_exports, published_rows
 
 COUNTS_SCHEMA = "phrase string, doc_count bigint, total_count bigint"
 EXPORT_SCHEMA = "phrase string, seq bigint, doc_count bigint, total_count bigint"
@@ -20,75 +22,108 @@ def append_record(spark: SparkSession, path: str, record: dict, schema: str, mod
 
 
 class QueryTable:
-    """Versions under `<root>/version=<seq>`, readable once `<root>/published` names them."""
+    """Versions in folders of their own, in force once the newest row of `<root>/published` names them."""
 
-    VERSION_SCHEMA = "seq bigint"
+    VERSION_SCHEMA = "made bigint, seq bigint, folder string"
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
 
     def recreate(self) -> QueryTable:
-        """Starts over with an empty table."""
-        empty = self.spark.createDataFrame([], COUNTS_SCHEMA)
-        empty.write.mode("overwrite").parquet(f"{self.root}/version=-1")
-        self._point_to(-1, "overwrite")
+        """Starts over with an empty table. Readers of the versions before keep their files."""
+        self._write(self.spark.createDataFrame([], COUNTS_SCHEMA), -1, 0, "overwrite")
         return self
 
     def publish(self, counts: DataFrame, seq: int, files: int | None = None) -> None:
         """Writes a version in ranges of phrases, sorted, and switches readers to it.
 
+        A seq below the one in force is refused: it would take newer counts back.
         Sampling for the ranges reads the phrases of `counts` once more, so pass
         a stored table rather than a long computation.
         """
+        now = self._newest()
+        if seq < now.seq:
+            raise ValueError(f"{self.root} stands at {now.seq}, {seq} is older; recreate it to start over")
         ranged = (
             counts.repartitionByRange(files, "phrase")
             if files
             else counts.repartitionByRange("phrase")
         )
-        (
-            ranged.sortWithinPartitions("phrase")
-            .write.mode("overwrite")
-            .parquet(f"{self.root}/version={seq}")
-        )
-        self._point_to(seq, "append")
+        self._write(ranged.sortWithinPartitions("phrase"), seq, now.made + 1, "append")
 
-    def _point_to(self, seq: int, mode: str) -> None:
-        append_record(
-            self.spark, f"{self.root}/published", {"seq": seq}, self.VERSION_SCHEMA, mode
-        )
+    def _write(self, rows: DataFrame, seq: int, made: int, mode: str) -> None:
+        folder = f"version-{uuid.uuid4().hex}"
+        rows.write.parquet(f"{self.root}/{folder}")
+        record = {"made": made, "seq": seq, "folder": folder}
+        append_record(self.spark, f"{self.root}/published", record, self.VERSION_SCHEMA, mode)
 
-    def version(self) -> int:
+    def _newest(self) -> Row:
         log = self.spark.read.schema(self.VERSION_SCHEMA).json(f"{self.root}/published")
-        return log.agg(F.max("seq")).first()[0]
+        return log.agg(F.max(F.struct("made", "seq", "folder")).alias("v")).first().v
+
+    def version(self) -> int:
+        """The seq of the version in force."""
+        return self._newest().seq
 
     def scan(self) -> DataFrame:
         """(phrase, doc_count, total_count) of the version in force.
 
         Filters on `phrase` reach the files, whose row groups hold narrow ranges.
         """
-        path = f"{self.root}/version={self.version()}"
-        return self.spark.read.schema(COUNTS_SCHEMA).parquet(path)
+        return self.spark.read.schema(COUNTS_SCHEMA).parquet(f"{self.root}/{self._newest().folder}")
+
+    def lookup(self, requests: DataFrame) -> DataFrame:
+        """Counts of the requested phrases, (0, 0) where there are none."""
+        return lookup(requests, self.scan())
 
 
 class ExportSink:
     """Takes sequenced exports in any order, any number of times.
 
     Each delivery overwrites the folder of its id, so a repeated one changes
-    nothing; the highest sequence of a phrase wins, deletes included.
+    nothing; the highest sequence of a phrase wins, deletes included. fold() puts
+    what has come so far into one base, which keeps the deletes.
     """
 
+    FOLD_SCHEMA = "made bigint, folder string, deliveries array<bigint>"
+
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
 
     def apply(self, exports: DataFrame, delivery: int) -> None:
         rows = exports.select("phrase", "seq", "doc_count", "total_count")
-        rows.write.mode("overwrite").parquet(f"{self.root}/delivery={delivery}")
+        rows.write.mode("overwrite").parquet(f"{self.root}/deliveries/delivery={delivery}")
+
+    def _folds(self) -> Row | None:
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.root}/folds")
+        if not path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+            return None
+        log = self.spark.read.schema(self.FOLD_SCHEMA).json(f"{self.root}/folds")
+        return log.orderBy(F.desc("made")).first()
+
+    def _deliveries(self) -> DataFrame:
+        return self.spark.read.schema(EXPORT_SCHEMA + ", delivery bigint").parquet(f"{self.root}/deliveries")
 
     def newest(self) -> DataFrame:
-        rows = self.spark.read.schema(EXPORT_SCHEMA + ", delivery bigint").parquet(self.root)
-        return newest_exports(rows.select("phrase", "seq", "doc_count", "total_count"))
+        """The newest export of every phrase: the base and what came after it."""
+        rows, base = self._deliveries(), self._folds()
+        columns = ["phrase", "seq", "doc_count", "total_count"]
+        if base:
+            # Folders of folded deliveries are left out by their partition.
+            rows = rows.where(~F.col("delivery").isin(base.deliveries)).select(columns)
+            rows = rows.unionByName(self.spark.read.schema(EXPORT_SCHEMA).parquet(f"{self.root}/{base.folder}"))
+        return newest_exports(rows.select(columns))
+
+    def fold(self) -> None:
+        """Folds all deliveries so far into a new base. A delivery repeated later changes nothing by its sequence."""
+        base = self._folds()
+        folder = f"base-{uuid.uuid4().hex}"
+        done = [r.delivery for r in self._deliveries().select("delivery").distinct().collect()]
+        self.newest().write.parquet(f"{self.root}/{folder}")
+        row = self.spark.createDataFrame([((base.made if base else 0) + 1, folder, done)], self.FOLD_SCHEMA)
+        row.coalesce(1).write.mode("append").json(f"{self.root}/folds")
 
     def scan(self) -> DataFrame:
         return published_rows(self.newest())

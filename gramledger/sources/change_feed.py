@@ -21,13 +21,13 @@ def change_feed(
 
 
 def complete(feed: DataFrame) -> DataFrame:
-    """The feed, where a row without URI or content stops the job instead of being lost.
+    """The feed, where a row without URI, content or seq stops the job instead of being lost.
 
     Not part of change_feed, so that filters on a feed still reach its scan.
     """
 
     def required(name: str) -> Column:
         message = F.lit(f"change feed row without {name}")
-        return F.coalesce(name, F.raise_error(message).cast("string")).alias(name)
+        return F.coalesce(name, F.raise_error(message).cast(feed.schema[name].dataType)).alias(name)
 
-    return feed.select(required("uri"), required("content"), "seq")
+    return feed.select(required("uri"), required("content"), required("seq"))

@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import fnmatch
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gramledger.config import TEXT_FILE_GLOB
+from gramledger.session import new_folder
+
+EMPTY_SCHEMA = "uri string, seq bigint"
+NAMES_AT_A_TIME = 10_000
 
 
 def _columns() -> list[Column]:
@@ -19,12 +25,42 @@ def _columns() -> list[Column]:
 def read_text_directory(spark: SparkSession, folder: str, recursive: bool = False) -> DataFrame:
     """Change feed of the *.txt files directly in a folder; other names are skipped.
 
-    The suffix is case-sensitive. Text is UTF-8; invalid bytes become separators.
+    The suffix is case-sensitive. Text is UTF-8; invalid bytes become separators. A
+    file of zero bytes is an empty text.
     """
     files = spark.read.text(
         folder, wholetext=True, pathGlobFilter=TEXT_FILE_GLOB, recursiveFileLookup=recursive
     )
-    return files.select(*_columns())
+    rows = files.where(F.col("_metadata.file_size") > 0).select(*_columns())
+    return rows.unionByName(empty_files(spark, folder, recursive))
+
+
+def empty_files(spark: SparkSession, folder: str, recursive: bool = False) -> DataFrame:
+    """The same for files of zero bytes, which Spark's sources do not list.
+
+    Their names are written out in parts as they are listed.
+    """
+    place = new_folder(spark, "empty-files")
+    spark.createDataFrame([], EMPTY_SCHEMA).write.parquet(place)
+    paths = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    path = paths(folder)
+    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(path, recursive)
+    names: list[tuple[str, int]] = []
+    while True:
+        more = found.hasNext()
+        if more:
+            file = found.next()
+            name = file.getPath().getName()
+            if file.getLen() == 0 and fnmatch.fnmatchcase(name, TEXT_FILE_GLOB) and not name.startswith(("_", ".")):
+                # Built anew from its text, a path has the form that Spark's sources give it.
+                names.append((paths(file.getPath().toString()).toUri().toString(), file.getModificationTime()))
+        if names and (not more or len(names) == NAMES_AT_A_TIME):
+            spark.createDataFrame(names, EMPTY_SCHEMA).coalesce(1).write.mode("append").parquet(place)
+            names = []
+        if not more:
+            break
+    rows = spark.read.schema(EMPTY_SCHEMA).parquet(place)
+    return rows.select("uri", F.lit("").alias("content"), "seq")
 
 
 def stream_text_directory(

@@ -46,19 +46,16 @@ def test_documents_come_change_and_go(spark, feed, tmp_path):
 def test_many_documents_share_a_phrase(spark, feed, tmp_path):
     ledger = Ledger.create(spark, str(tmp_path), LedgerOptions(buckets=2))
     rng = random.Random(11)
-    digits = "0123456789abcdefghijklmnopqrstuvwxyz"
+    filler = 0
 
     def word():
-        n, out = rng.randrange(10000), ""
-        while True:
-            n, d = divmod(n, 36)
-            out = digits[d] + out
-            if not n:
-                return out
+        nonlocal filler
+        filler += 1
+        return f"w{filler}x{rng.choice('abc')}"
 
     def load(start, end, phrase):
         ledger.load(feed([
-            (f"/foo{i}", " ".join([phrase, *(word() for _ in range(20))]), 0) for i in range(start, end)
+            (f"/foo{i}", f"{phrase} {' '.join(word() for _ in range(12))}", 0) for i in range(start, end)
         ]))
 
     def only():

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gramledger import Ledger, LedgerOptions
-from gramledger.operators.documents import current_docs, ref_counts, latest_by_uri
+from gramledger.operators.documents import current_docs, latest_by_uri, ref_counts, unique_docs
 from gramledger.plans import delta as D
 from gramledger.sources.change_feed import change_feed, complete
 
@@ -59,13 +59,78 @@ def test_random_histories_give_the_model_state(spark, feed, tmp_path, seed):
 
 def test_result_does_not_depend_on_the_cut(spark, feed, tmp_path):
     rows = [r for batch in history(random.Random(9), 4, variants=False) for r in batch]
-    results = []
-    for cut in (len(rows), -(-len(rows) // 3)):
-        ledger = Ledger.create(spark, str(tmp_path / str(cut)), OPTIONS)
-        for i in range(0, len(rows), cut):
-            ledger.load(feed(rows[i : i + cut]))
-        results.append(counts_of(ledger))
-    assert results[0] == results[1]
+    want = model.Model()
+    want.apply(rows)
+    mixed = list(rows)
+    random.Random(1).shuffle(mixed)
+    for name, order, cut in (("whole", rows, len(rows)), ("cut", rows, -(-len(rows) // 3)), ("mixed", mixed, -(-len(rows) // 3))):
+        ledger = Ledger.create(spark, str(tmp_path / name), OPTIONS)
+        for i in range(0, len(order), cut):
+            ledger.load(feed(order[i : i + cut]))
+        assert counts_of(ledger) == want.counts()
+        assert {r.uri: r.hash for r in ledger.uri_state().collect()} == want.uris
+
+
+def test_an_older_write_changes_nothing(spark, feed, tmp_path):
+    ledger = Ledger.create(spark, str(tmp_path), OPTIONS)
+    ledger.load(feed([("u", "the text of ten", 10), ("v", "some other text here", 3)]))
+    ledger.load(feed([("u", "the text of five", 5)]))
+    assert counts_of(ledger) == {"the text of ten": (1, 1), "some other text here": (1, 1)}
+    ledger.compact()
+    ledger.load(feed([("u", "The text, of ten", 12)]))  # the same document again, later
+    ledger.load(feed([("u", "the text of eleven", 11)]))
+    assert counts_of(ledger)["the text of ten"] == (1, 1)
+    ledger.load(feed([("u", "the text of twelve", 12)]))  # of equal seq the later batch counts
+    assert counts_of(ledger) == {"the text of twelve": (1, 1), "some other text here": (1, 1)}
+
+
+def test_a_source_that_changes_between_reads_stops_the_load(spark, feed, tmp_path, monkeypatch):
+    from gramledger.plans import ledger as module
+
+    ledger = Ledger.create(spark, str(tmp_path), OPTIONS)
+    real = module.with_text
+    for other in ([("a", "one two three five", 0)], [("a", "one two three four", 1)], []):
+        monkeypatch.setattr(module, "with_text", lambda wanted, _, other=other: real(wanted, feed(other)))
+        with pytest.raises(ValueError, match="source changed"):
+            ledger.load(feed([("a", "one two three four", 0)]))
+        assert counts_of(ledger) == {}
+
+
+def test_buckets_can_change(spark, feed, tmp_path):
+    ledger, want = Ledger.create(spark, str(tmp_path), OPTIONS), model.Model()
+    for k, rows in enumerate(history(random.Random(4), 3)):
+        ledger.load(feed(rows))
+        want.apply(rows)
+        if k == 0:
+            ledger.compact()
+        if k == 1:
+            ledger.compact(buckets=5)
+    assert Ledger.open(spark, str(tmp_path)).options.buckets == 5
+    assert_like(ledger, want)
+    ledger.compact(buckets=3)
+    assert_like(Ledger.open(spark, str(tmp_path)), want)
+
+
+def test_folding_bounds_what_is_read(spark, feed, tmp_path):
+    root = str(tmp_path / "it's here")
+    ledger, want = Ledger.create(spark, root, OPTIONS), model.Model()
+    for k, rows in enumerate(history(random.Random(6), 6)):
+        ledger.load(feed(rows))
+        want.apply(rows)
+        if k % 3 == 2:
+            ledger.compact()
+            ledger.compact_texts()
+            gone = ledger.vacuum()
+            assert gone
+    assert_like(ledger, want)
+    assert ledger._texts(ledger._position()).count() == len(want.texts)  # dead ones are left behind
+    for name in ("write", "uri", "doc", "text", "phrase"):
+        assert ledger._folders(f"{root}/{name}_log", lambda _: True) == []
+    assert len(ledger._folders(f"{root}/phrase_base", lambda _: True)) == 1
+    rows = [("u0", "a b c d e f", 999)]
+    ledger.load(feed(rows))
+    want.apply(rows)
+    assert_like(ledger, want)
 
 
 def test_repeated_and_interrupted_batches(spark, feed, tmp_path):
@@ -133,6 +198,10 @@ def test_changed_values_are_totals_of_changed_phrases(spark, feed, tmp_path):
     ledger.load(feed([("b", "two three four five six", 2)]))
     got = {r.phrase: (r.seq, r.doc_count, r.total_count) for r in ledger.changed_values(1).collect()}
     assert got == {"one two three four": (1, 1, 1), "three four five six": (1, 1, 1)}
+    first = {r.phrase: (r.seq, r.doc_count, r.total_count) for r in ledger.changed_values(0).collect()}
+    assert first == {"one two three four": (0, 2, 2), "two three four five": (0, 1, 1)}
+    ledger.compact()
+    assert {r.phrase: (r.seq, r.doc_count, r.total_count) for r in ledger.changed_values(1).collect()} == got
     with pytest.raises(ValueError):
         ledger.changed_values(2)
 
@@ -182,9 +251,11 @@ def test_phrase_length_option(spark, feed, tmp_path):
 
 
 def test_feed_rows_without_uri_or_content_stop_the_job(spark, feed):
-    for row in [(None, "text", 0), ("uri", None, 0)]:
+    for row in [(None, "text", 0), ("uri", None, 0), ("uri", "text", None)]:
         with pytest.raises(Exception, match="change feed row without"):
             complete(change_feed(feed([row]))).collect()
+        with pytest.raises(Exception, match="change feed row without"):
+            unique_docs(feed([row])).collect()
 
 
 def test_same_hash_at_the_same_uri_is_no_change(spark, feed):

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from gramledger import Ledger, LedgerOptions
 from gramledger.contract import queries as Q
 from gramledger.operators import counts as C
+from gramledger.operators.documents import with_text
 from gramledger.plans import delta as D
 
 SF = "/root/testdata/sf0.001"
@@ -49,21 +50,14 @@ def no_broadcast(spark):
 def test_flagship_shuffles_by_hash_and_by_phrase_only(spark):
     text = plan(Q.phrase_counts(spark, SF))
     keys = [re.sub(r"#\d+L?", "", k) for k in exchanges(text)]
-    # The branch of long texts repeats the exchange by hash, which is reused, and
-    # spreads its own pieces.
-    assert keys == ["phrase", "hash", "hash, 1, phrase", "hash, piece", "hash"]
+    assert keys == ["phrase", "hash"]
+    assert text.count("FileScan") == 1
+    assert "n_chars" not in text
     assert "ArrowEval" not in text and "BatchEval" not in text
     assert re.search(r"partial_min_by", text) and re.search(r"partial_sum", text)
     assert "ReadSchema: struct<doc_id:bigint,text:string>" in text
 
 
-def test_exchange_of_the_texts_is_reused(spark):
-    df = C.phrase_counts(Q.documents(spark, SF), long_text_chars=1000)
-    df.collect()
-    final = df._jdf.queryExecution().executedPlan().toString()
-    assert "ReusedExchange" in final
-
-
 def test_regex_is_not_evaluated_again_in_a_filter(spark):
     text = plan(Q.phrase_counts(spark, SF))
     assert not re.search(r"Filter [^\n]*regexp_extract_all", text)
@@ -108,25 +102,30 @@ def test_small_batch_is_broadcast_past_the_base(ledger):
 
 
 def test_point_lookup_reads_one_bucket_with_a_pushed_filter(ledger):
-    _, base = ledger._position()
-    text = plan(ledger._base("phrase", base).where(F.col("phrase") == "a b c d"), "formatted")
-    assert "SelectedBucketsCount: 1 out of 4" in text or "PushedFilters: [IsNotNull(phrase), EqualTo(phrase,a b c d)]" in text
-    assert "EqualTo(phrase,a b c d)" in text
+    at = ledger._position()
+    text = plan(ledger._base("phrase", at.base, at.buckets).where(F.col("phrase") == "a b c d"), "formatted")
+    assert "PushedFilters: [IsNotNull(phrase), EqualTo(phrase,a b c d)]" in text
 
 
 def test_stored_texts_are_pruned_to_the_batches_of_retracted_documents(ledger):
     moved = ledger._log("doc", 0, 1)
-    text = plan(ledger._signed_texts(ledger._log("text", 0, 1), moved, 1))
+    text = plan(ledger._signed_texts(ledger._log("text", 0, 1), moved, 1, ledger._position()))
     assert "dynamicpruning" in text
 
 
-def test_long_texts_are_found_by_a_pushed_filter(ledger):
-    from gramledger.operators.counts import signed_counts
-    from gramledger.operators.documents import with_normalized
+def test_only_texts_to_store_are_shuffled(spark, ledger, no_broadcast):
+    feed = Q.rounds(Q.document_feed(spark, SF))[2]
+    wanted = D.first_writes(ledger._log("doc", 0, 1))
+    lines = plan(with_text(wanted, feed)).splitlines()
+    moved = next(i for i, line in enumerate(lines) if "Exchange" in line and any("content" in x and "Project" in x for x in lines[i : i + 3]))
+    assert any("might_contain" in line for line in lines[moved : moved + 5])
 
-    texts = with_normalized(ledger._log("text", 0, 1).drop("batch_id"))
-    text = plan(signed_counts(texts))
-    assert "GreaterThan(n_chars,1000000)" in text and "LessThanOrEqual(n_chars,1000000)" in text
+
+def test_texts_counted_by_document_are_not_shuffled_again(ledger):
+    moved = ledger._log("doc", 0, 1)
+    signed = ledger._signed_texts(ledger._log("text", 0, 1), moved, 1, ledger._position())
+    keys = [re.sub(r"#\d+L?", "", k) for k in exchanges(plan(C.signed_counts(signed, "multiplier")))]
+    assert keys[:2] == ["phrase", "hash"]
 
 
 def test_lookup_reaches_below_the_aggregation(spark):

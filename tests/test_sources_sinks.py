@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from gramledger import Ledger, LedgerOptions
@@ -29,6 +30,14 @@ def test_newest_export_wins_and_deletes_are_remembered(spark, tmp_path):
     sink.apply(exports(spark, [("p", 2, 3, 4)]), 3)
     assert list(map(tuple, sink.scan().collect())) == [("q", 1, 1)]
     assert sink.newest().where("phrase = 'p'").first().seq == 3
+    for _ in range(2):
+        sink.fold()
+        assert list(map(tuple, sink.scan().collect())) == [("q", 1, 1)]
+        sink.apply(exports(spark, [("p", 2, 3, 4)]), 3)
+        sink.apply(exports(spark, [("p", 1, 9, 9)]), 7)
+    assert list(map(tuple, sink.scan().collect())) == [("q", 1, 1)]
+    sink.apply(exports(spark, [("p", 4, 1, 2)]), 8)
+    assert sorted(map(tuple, sink.scan().collect())) == [("p", 1, 2), ("q", 1, 1)]
 
 
 def test_exports_in_any_order(spark):
@@ -61,9 +70,16 @@ def test_published_table_is_in_ranges_and_replaced_as_a_whole(spark, feed, tmp_p
     assert len(spans) == 4
     assert all(a.hi < b.lo for a, b in zip(spans, spans[1:]))
     before = table.scan()
+    ledger.publish(table, files=4)
     ledger.load(feed([("a", "now a short text", 1)]))
     ledger.publish(table, files=4)
     assert before.count() == 397
+    wanted = spark.createDataFrame([("now a short text",), ("none of these words",)], "phrase string")
+    assert sorted(map(tuple, table.lookup(wanted).collect())) == [("none of these words", 0, 0), ("now a short text", 1, 1)]
+    other = Ledger.create(spark, str(tmp_path / "other"), OPTIONS)
+    other.load(feed([("a", "of another ledger here", 0)]))
+    with pytest.raises(ValueError, match="older"):
+        other.publish(table)
     assert [tuple(r) for r in table.scan().collect()] == [("now a short text", 1, 1)]
     assert table.recreate().scan().count() == 0
 
@@ -97,7 +113,8 @@ def test_text_directory(spark, tmp_path):
     make_texts(folder)
     rows = {r.uri.rsplit("/", 1)[1]: r for r in read_text_directory(spark, str(folder)).collect()}
     assert rows["a.txt"].content == "one two three four\nfive"
-    assert {n for n in rows if n != "empty.txt"} == {"a.txt", "b%20c.txt"}
+    assert set(rows) == {"a.txt", "b%20c.txt", "empty.txt"}
+    assert rows["empty.txt"].content == ""
     assert rows["b%20c.txt"].content.split() == ["ein", "zwei", "drei", "�", "vier"]
     assert all(r.uri.startswith("file:/") for r in rows.values())
     below = read_text_directory(spark, str(folder), recursive=True).select("uri").collect()
@@ -115,6 +132,10 @@ def test_edited_file_is_a_change(spark, tmp_path):
     assert ledger.lookup_one("two three four five") == (0, 0)
     assert ledger.lookup_one("something else is here") == (1, 1)
     assert ledger.lookup_one("ein zwei drei vier") == (1, 1)
+    (folder / "a.txt").write_text("")
+    ledger.load(read_text_directory(spark, str(folder)))
+    assert ledger.lookup_one("something else is here") == (0, 0)
+    assert ledger.corpus_stats().first().uris == 3
 
 
 def test_stream_of_a_directory_catches_up_and_restarts(spark, tmp_path):
@@ -123,13 +144,16 @@ def test_stream_of_a_directory_catches_up_and_restarts(spark, tmp_path):
     ledger = Ledger.create(spark, str(tmp_path / "ledger"), OPTIONS)
     sink = ExportSink(spark, str(tmp_path / "sink"))
 
-    def export(here, batch_id):
-        sink.apply(here.changed_values(batch_id), batch_id)
+    seen = []
+
+    def export(values):
+        return values.where("phrase <> 'one two three four'")
 
     def run():
         changes = stream_text_directory(spark, str(folder), files_per_batch=2)
         query = start_stream(
-            ledger, changes, str(tmp_path / "checkpoint"), "texts", after_batch=export, compact_every=2
+            ledger, changes, str(tmp_path / "checkpoint"), "texts", compact_every=2, exporter=export, sink=sink,
+            after_batch=lambda _, batch_id: seen.append(batch_id),
         )
         drain(query)
         return lag(query)
@@ -142,7 +166,8 @@ def test_stream_of_a_directory_catches_up_and_restarts(spark, tmp_path):
     assert ledger.lookup_one("one two three four") == (2, 2)
     run()
     got = sorted(map(tuple, sink.scan().collect()))
-    assert got == sorted(map(tuple, ledger.phrase_counts().collect()))
+    assert got == sorted(map(tuple, ledger.phrase_counts().where("phrase <> 'one two three four'").collect()))
+    assert seen == sorted(seen) and seen
 
 
 def test_command_line(spark, tmp_path, capsys, monkeypatch):

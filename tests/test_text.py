@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gramledger.functions.text import content_hash, normalized, phrases, tokens
+from gramledger.operators import documents
 from gramledger.operators.counts import text_counts
 from gramledger.operators.documents import document_phrases, text_pieces, with_normalized
 
@@ -104,12 +105,16 @@ def test_pieces_of_a_text_have_its_phrases(spark):
     assert got == sorted((str(i), p) for i, t in enumerate(texts) for p in model.phrases(t))
 
 
-def test_long_and_short_texts_count_alike(spark):
+def test_texts_in_pieces_count_like_the_model(spark, monkeypatch):
     rng = random.Random(5)
     texts = [random_text(rng, rng.randrange(0, 400)) for _ in range(40)]
     docs = with_normalized(
         spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "hash string, content string")
     )
-    want = sorted(text_counts(docs).collect())
-    assert sorted(text_counts(docs, long_text_chars=100).collect()) == want
-    assert sorted(text_counts(docs, long_text_chars=0).collect()) == want
+    found = [model.phrases(t) for t in texts]
+    want = sorted(
+        (p, sum(p in f for f in found), sum(f.count(p) for f in found)) for p in {p for f in found for p in f}
+    )
+    for tokens in (1, 3, 4096):
+        monkeypatch.setattr(documents, "text_pieces", lambda t, n, tokens=tokens: text_pieces(t, n, tokens))
+        assert sorted(map(tuple, text_counts(docs).collect())) == want
