@@ -1,28 +1,7 @@
 from __future__ import annotations
 
-import random
-
 import pytest
-
-DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint, id string, key bigint, row int, label string, rep int, words string, __bad int"
-
-
-def messy_rows(n: int = 24, seed: int = 5) -> list[tuple]:
-    """Rows with nulls in every column, empty, short, long and repeated texts."""
-    draw = random.Random(seed)
-
-    def words(k: int) -> str:
-        return " ".join("".join(draw.choice("abcdeé") for _ in range(draw.randint(1, 6))) for _ in range(k))
-
-    long_text = words(9000)
-    texts = [None, "", " \n\t ", "one", "ONE two three four", long_text, long_text + " tail", words(60), "Released under the MIT License.",
-             "x" * 100_000, "\x00 \x0b #*$ ünï — 日本 🎉"]
-    texts += [words(draw.randint(3, 120)) for _ in range(n - len(texts))]
-    rows = [(i, t, draw.choice(["en", "fr", None, "xx"]), None, None, "clash", 1, 2, None, 3, "w", None) for i, t in enumerate(texts)]
-    rows += [rows[5], rows[7], rows[7]]  # the same row again
-    rows += [(7, "another text of a repeated id", None, "s", 3, None, None, None, None, None, None, 1)]
-    rows += [(None, rows[7][1], None, None, None, None, None, None, None, None, None, None)] * 2
-    return rows
+from llm_rows import DOCS, messy_rows
 
 
 @pytest.fixture(scope="session")

@@ -51,7 +51,7 @@ def test_query_equals_sql(spark, name):
 @pytest.fixture(scope="module")
 def odd(spark, tmp_path_factory):
     """Tables with null, empty and long texts under ids that are not repeated, and further columns."""
-    from conftest_rows import documents, pages
+    from llm_rows import documents, pages
 
     folder = str(tmp_path_factory.mktemp("odd"))
     documents(spark).write.parquet(f"{folder}/documents.parquet")
