@@ -31,10 +31,10 @@ JUDGED_COMMON = 20  # least common words for one by the word histogram
 CLASS_LIMIT = 0.35
 COMMON_LIMIT = 0.60
 
-# Character classes, as characters to strip for counting; the rest is "other".
+# Character classes, as runs of characters to strip for counting; the rest is "other".
 CLASSES = {
-    "lower": "[^a-z]", "upper": "[^A-Z]", "digit": "[^0-9]", "space": "[^ \\t\\n\\x0B\\f\\r]",
-    "stop": "[^.,;:!?]", "symbol": "[^#*$%&|<>]", "beyond": "[\\x00-\\x7F]",
+    "lower": "[^a-z]+", "upper": "[^A-Z]+", "digit": "[^0-9]+", "space": "[^ \\t\\n\\x0B\\f\\r]+",
+    "stop": "[^.,;:!?]+", "symbol": "[^#*$%&|<>]+", "beyond": "[\\x00-\\x7F]+",
 }
 
 # Common words of the languages there are references for.
