@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from gramledger.llm.text import batch, utf8
 
 MARK = "▁"  # stands for a space
-REMEMBERED = 1 << 18  # a worker remembers up to twice as many stretches
+REMEMBERED = 1 << 19  # a worker remembers up to twice as many stretches
 REMEMBERED_LENGTH = 64
 SLICE = 256
 
@@ -43,6 +43,7 @@ class Vocabulary:
         sp = self.library
         n = sp.get_piece_size()
         self.end = sp.eos_id()
+        self.digits = list(map(str, range(n)))
         self.bytes = {int(sp.id_to_piece(i)[1:-1], 16): i for i in range(n) if sp.is_byte(i)}
         usual = [i for i in range(n) if not (sp.is_byte(i) or sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i))]
         self.pieces = {sp.id_to_piece(i): i for i in usual}
@@ -191,7 +192,8 @@ def digests(docs: DataFrame, model: str, *, doc_id: str = "doc_id", text: str =
         return hashlib.sha256(value.encode("utf-8", "surrogatepass")).hexdigest()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        digits = encoder_of(data.value).v.digits
         for names, ids, texts, _ in encoded(batches, data.value, checked):
-            yield batch(DIGESTS, [names, [len(i) for i in ids], [sha(" ".join(map(str, i))) for i in ids], [sha(t) for t in texts]])
+            yield batch(DIGESTS, [names, [len(i) for i in ids], [sha(" ".join(map(digits.__getitem__, i))) for i in ids], [sha(t) for t in texts]])
 
     return _rows(docs, doc_id, text).mapInArrow(run, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
