@@ -302,6 +302,9 @@ def block_clusters(group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
 def block_links(group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     """Links between rows of different components by their full sets: for every row one to each component it is linked with."""
     left, right = sides(group)
+    none = np.empty(0, np.int64)
+    if not len(left) or not len(right):  # rows are dealt by hash: a block of few long sets may get none
+        return none, none
     component, rep = group.column("component").to_numpy(), group.column("rep").to_numpy()
     sets = group.column("shingles").combine_chunks()
     ends = sets.offsets.to_numpy()
@@ -324,7 +327,6 @@ def block_links(group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
             _, one = np.unique(component[right[linked]], return_index=True)
             to.append(rep[right[linked[one]]])
             from_.append(np.repeat(rep[i], len(one)))
-    none = np.empty(0, np.int64)
     return np.concatenate([none, *from_]), np.concatenate([none, *to])
 
 

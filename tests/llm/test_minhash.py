@@ -77,6 +77,15 @@ def test_chains_that_no_smallest_member_joins(spark, monkeypatch):
     assert {r.doc_id: r.component_id for r in found(spark, rows)} == brute(rows)
 
 
+def test_few_long_texts_leave_blocks_empty(spark, monkeypatch):
+    """Alike texts, not enough to be linked, each with more shingles than a block should have."""
+    monkeypatch.setattr(minhash, "BLOCK_SHINGLES", 50)
+    words = [f"w{i}" for i in range(1200)]
+    rows = [(1, " ".join(words[:1000])), (2, " ".join(words[160:1160])), (3, " ".join(words[:990]))]
+    assert {r.doc_id: r.component_id for r in found(spark, rows)} == brute(rows) == {1: 1, 2: 2, 3: 1}
+    assert {r.doc_id: r.component_id for r in found(spark, rows[:2])} == {1: 1, 2: 2}
+
+
 def test_odd_rows(spark, messy, nothing):
     got = minhash.near_duplicates(messy).collect()
     assert len(got) == messy.count()
@@ -144,6 +153,14 @@ def test_links_of_a_block():
     assert set(zip(a.tolist(), b.tolist(), strict=True)) == want and want
 
 
+@pytest.mark.parametrize("part", [0, 1])
+def test_links_of_a_block_without_rows_on_one_side(part):
+    group = pa.table({"part": [part], "low": [0], "high": [1], "rep": [1], "component": [1], "n": [3],
+                      "shingles": pa.array([[1, 2, 3]], pa.list_(pa.int64()))})
+    a, b = minhash.block_links(group)
+    assert len(a) == len(b) == 0
+
+
 def test_components_of_random_edges(spark):
     draw = random.Random(6)
     edges = [(draw.randrange(200), draw.randrange(200)) for _ in range(130)] + [(k, k + 1) for k in range(300, 340)]
