@@ -2,9 +2,15 @@
 
 Every token is predicted from the SIDE tokens before and after it, never from itself:
 context tokens are looked up in one table per place, summed, passed through tanh and
-mapped to all token classes; a text's score is the sum of the log-probabilities of its
-tokens. Classes are the WORDS most frequent words of the whole corpus and BUCKETS hash
-classes for all others.
+mapped to all token classes. Classes are the WORDS most frequent words of the whole
+corpus and BUCKETS hash classes for all others. The probability of a token is that of its
+class by the network, times that of the word among the words of its class by the counts
+of the whole corpus; a text's score is the sum of the logarithms over its tokens.
+
+With N tokens and V different words in a hash class, a word counted n times has
+(n + (V + 1) q) / (N + V + 1) of it; q, the share of a word among new ones, is that of its
+letters drawn one by one. Words of at least 1 / HEAD of all tokens are HEAD at most: tasks
+know their counts. All others are joined with the table of counts.
 
 Word counts cover all texts. Every task trains on all texts it reads, from common
 starting weights; the weights of the tasks are averaged, by tokens, and the next round
@@ -13,6 +19,7 @@ starts from there.
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -33,6 +40,8 @@ PLACES = tuple(k for k in range(-SIDE, SIDE + 1) if k)
 HIDDEN = 16
 STEP = 1024  # tokens per gradient step
 RATE = 1.0
+HEAD = 1 << 17  # tasks hold the counts of words that are no rarer than one token in so many
+LETTERS = 164  # bytes that words are made of
 COUNTED_WORDS = 1 << 18  # different words a task counts before it hands them on
 
 
@@ -53,9 +62,12 @@ class Classes(dict):
         return value
 
     def of(self, text: bytes | None) -> np.ndarray:
-        parts = [np.fromiter(map(self.__getitem__, words), np.int16, len(words)) for words in split_words(text, TERM_BYTES)]
+        parts = [self.among(words) for words in split_words(text, TERM_BYTES)]
         return np.concatenate(parts) if parts else np.empty(0, np.int16)
 
+    def among(self, words: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, words), np.int16, len(words))
+
 
 def bucket(word: bytes) -> int:
     return WORDS + xxhash.xxh64_intdigest(word, 5) % BUCKETS
@@ -166,8 +178,13 @@ def averaged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 @dataclass
 class Model:
+    """counts: (word, n) of the whole corpus; tokens, kinds: how many of them and how many different ones each class has."""
+
     words: list[bytes]
     network: Network
+    counts: DataFrame
+    tokens: np.ndarray
+    kinds: np.ndarray
 
 
 def fit(docs: DataFrame, *, text: str = "text", rounds: int = 1) -> Model:
@@ -180,18 +197,19 @@ def fit(docs: DataFrame, *, text: str = "text", rounds: int = 1) -> Model:
     frequent = counts.sparkSession.createDataFrame([(w,) for w, _ in top], "word binary")
 
     def share(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros(CLASSES, np.int64)
+        sums = np.zeros((2, CLASSES), np.int64)
         for rows in batches:
             for word, n in zip(rows.column(0), rows.column(1), strict=True):
-                sums[bucket(word.as_py())] += n.as_py()
-        yield batch(pa.schema([("class", pa.int32()), ("n", pa.int64())]), [list(range(WORDS, CLASSES)), sums[WORDS:].tolist()])
+                sums[:, bucket(word.as_py())] += n.as_py(), 1
+        schema = pa.schema([("class", pa.int32()), ("n", pa.int64()), ("kinds", pa.int64())])
+        yield batch(schema, [list(range(WORDS, CLASSES)), *sums[:, WORDS:].tolist()])
 
     # No more than WORDS rows: that is the bound for sending them to all tasks.
-    rest = counts.join(F.broadcast(frequent), "word", "left_anti").mapInArrow(share, "class int, n bigint")
-    frequency = np.zeros(CLASSES)
-    frequency[: len(top)] = [n for _, n in top]
-    for r in rest.groupBy("class").agg(F.sum("n").alias("n")).collect():
-        frequency[r["class"]] = r.n
+    rest = counts.join(F.broadcast(frequent), "word", "left_anti").mapInArrow(share, "class int, n bigint, kinds bigint")
+    frequency, kinds = np.zeros(CLASSES), np.zeros(CLASSES)
+    frequency[: len(top)], kinds[: len(top)] = [n for _, n in top], 1
+    for r in rest.groupBy("class").agg(F.sum("n").alias("n"), F.sum("kinds").alias("kinds")).collect():
+        frequency[r["class"]], kinds[r["class"]] = r.n, r.kinds
     words = [w for w, _ in top]
     network = Network.start(frequency)
     lanes = 16
@@ -216,7 +234,7 @@ def fit(docs: DataFrame, *, text: str = "text", rounds: int = 1) -> Model:
         mean = lane.repartition(1).mapInArrow(averaged, "weights binary, tokens bigint").collect()
         if mean:
             network = Network.of(np.frombuffer(mean[0].weights, np.float64))
-    return Model(words, network)
+    return Model(words, network, counts, frequency, kinds)
 
 
 SCORED = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("log_likelihood", pa.float64())])
@@ -234,16 +252,11 @@ def text_score(classes: np.ndarray, network: Network) -> float:
 
 
 def scores(docs: DataFrame, model: Model, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n_tokens, log_likelihood (summed), mean_log_likelihood: one row per row of docs.
-
-    Null, empty and word-less texts have no tokens, log_likelihood 0 and a null mean.
-    Repeated rows give repeated results; a null doc_id stays null; an empty table gives
-    no rows. Other columns are not read.
-    """
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    """As word_scores(), by the network alone: of each token only its class is predicted."""
+    sent = docs.sparkSession.sparkContext.broadcast((model.words, model.network))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        classes, network = Classes(sent.value.words), sent.value.network
+        classes, network = Classes(sent.value[0]), sent.value[1]
         for rows in batches:
             texts = [classes.of(t.as_py()) for t in rows.column(1)]
             yield batch(SCORED, [rows.column(0), [len(t) for t in texts], [text_score(t, network) for t in texts]])
@@ -251,3 +264,63 @@ def scores(docs: DataFrame, model: Model, *, doc_id: str = "doc_id", text: str =
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), utf8(text).alias("text"))
     out = rows.mapInArrow(run, "doc_id bigint, n_tokens bigint, log_likelihood double")
     return out.withColumn("mean_log_likelihood", F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens")))
+
+
+PARTS = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("log_likelihood", pa.float64()), ("row", pa.int64()),
+                   ("words", pa.list_(pa.binary())), ("times", pa.list_(pa.int64())), ("fresh", pa.list_(pa.float64()))])
+SLICE = 256
+
+
+def new_word(word: bytes, kinds: float) -> float:
+    """The logarithm of what a hash class sets aside for a word as a new one, in tokens. Its words are one in BUCKETS of all."""
+    return math.log((kinds + 1) * BUCKETS) - (len(word) + 1) * math.log(LETTERS + 1)
+
+
+def word_scores(docs: DataFrame, model: Model, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, n_tokens, log_likelihood (summed), mean_log_likelihood: one row per row of docs.
+
+    Null, empty and word-less texts have no tokens, log_likelihood 0 and a null mean.
+    Repeated rows give repeated results; a null doc_id stays null; an empty table gives
+    no rows. Other columns are not read.
+    """
+    # At most HEAD words have so large a share.
+    common = model.counts.where(F.col("n") * HEAD >= int(model.tokens.sum())).collect()
+    head = {bytes(r.word): r.n for r in common}
+    sent = docs.sparkSession.sparkContext.broadcast((model.words, model.network, head, model.tokens, model.kinds))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, network, head, tokens, kinds = sent.value
+        classes, whole = Classes(words), np.log(tokens + kinds + 1)
+        known = {}  # the logarithms of the shares of common words in their classes
+        for w, n in head.items():
+            k = bucket(w)
+            known[w] = math.log(n + math.exp(new_word(w, kinds[k]))) - float(whole[k])
+        known.update((w, 0.0) for w in words)
+        for rows in (r.slice(k, SLICE) for r in batches for k in range(0, r.num_rows, SLICE)):
+            out = []
+            for value in rows.column(1):
+                parts, inside, rare = [np.empty(0, np.int16)], 0.0, Counter()
+                for some in split_words(value.as_py(), TERM_BYTES):
+                    parts.append(classes.among(some))
+                    shares = np.fromiter((known.get(w, 1.0) for w in some), np.float64, len(some))
+                    inside += float(shares[shares <= 0].sum())
+                    rare.update(some[k] for k in np.flatnonzero(shares > 0).tolist())
+                own = [bucket(w) for w in rare]
+                inside -= sum(n * whole[k] for n, k in zip(rare.values(), own, strict=True))
+                line = np.concatenate(parts)
+                out.append((len(line), text_score(line, network) + inside, list(rare), list(rare.values()),
+                            [new_word(w, kinds[k]) for w, k in zip(rare, own, strict=True)]))
+            n, value, rare, times, fresh = zip(*out, strict=True)
+            yield batch(PARTS, [rows.column(0), n, value, rows.column(2), rare, times, fresh])
+
+    rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), utf8(text).alias("text"), F.monotonically_increasing_id().alias("row"))
+    schema = "doc_id bigint, n_tokens bigint, log_likelihood double, row bigint, words array<binary>, times array<bigint>, fresh array<double>"
+    # Stored, for the numbers of the rows to be the same whenever they are read.
+    parts = stored(rows.mapInArrow(run, schema), "lm-parts")
+    rare = parts.select("row", F.explode(F.arrays_zip("words", "times", "fresh")).alias("r")).select("row", F.col("r.words").alias("word"), "r.times", "r.fresh")
+    counted = rare.join(model.counts, "word", "left")
+    share = F.when(F.col("n").isNull(), F.col("fresh")).otherwise(F.log(F.col("n") + F.exp("fresh")))
+    inside = counted.groupBy("row").agg(F.sum(F.col("times") * share).alias("inside"))
+    out = parts.select("row", "doc_id", "n_tokens", "log_likelihood").join(inside, "row", "left")
+    out = out.select("doc_id", "n_tokens", (F.col("log_likelihood") + F.coalesce("inside", F.lit(0.0))).alias("log_likelihood"))
+    return out.withColumn("mean_log_likelihood", F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens")))

@@ -40,7 +40,7 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return lm_score.scores(docs, lm_score.fit(docs))
+    return lm_score.word_scores(docs, lm_score.fit(docs))
 
 
 def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -145,6 +145,39 @@ def test_training_learns_from_both_sides(spark):
     assert good > unigram + 0.2 and good > lm_score.scores(mixed, model).first().mean_log_likelihood + 0.5
 
 
+@pytest.mark.parametrize("head", [1, 300, 1 << 17])
+def test_every_word_has_a_probability_of_its_own(spark, messy, monkeypatch, head):
+    """Whether tasks know no word's count, some or all; against the counts of the whole corpus."""
+    monkeypatch.setattr(lm_score, "HEAD", head)
+    model = lm_score.fit(messy)
+    counts = Counter()
+    for r in messy.collect():
+        counts.update(w for words in lm_score.split_words((r.text or "").encode(), lm_score.TERM_BYTES) for w in words)
+    rest = {w: n for w, n in counts.items() if w not in model.words}
+    tokens, kinds = Counter(), Counter(map(lm_score.bucket, rest))
+    for w, n in rest.items():
+        tokens[lm_score.bucket(w)] += n
+
+    def inside(word):
+        if word in model.words:
+            return 0.0
+        k = lm_score.bucket(word)
+        new = (kinds[k] + 1) * 32 * 165.0 ** -(len(word) + 1)
+        return math.log((counts[word] + new) / (tokens[k] + kinds[k] + 1))
+
+    real = sorted(rest, key=lambda w: (rest[w], w))
+    texts = [" ".join(w.decode() for w in words) for words in (real[:50], real[-50:] * 2, [b"unheard", b"of", *real[:1]])] + ["", None]
+    docs = spark.createDataFrame(list(zip([1, 1, None, 4, 5], texts, strict=True)), "doc_id bigint, text string").repartition(2)
+    by_class = {(r.doc_id, r.n_tokens): r.log_likelihood for r in lm_score.scores(docs, model).collect()}
+    got = {(r.doc_id, r.n_tokens): r for r in lm_score.word_scores(docs, model).collect()}
+    assert set(got) == {(1, 50), (1, 100), (None, 3), (4, 0), (5, 0)}
+    for (i, n), text in zip([(1, 50), (1, 100), (None, 3), (4, 0), (5, 0)], texts, strict=True):
+        want = by_class[i, n] + sum(inside(w.encode()) for w in (text or "").split())
+        assert got[i, n].log_likelihood == pytest.approx(want, rel=1e-6)
+        assert got[i, n].mean_log_likelihood == (pytest.approx(want / n, rel=1e-6) if n else None)
+    assert lm_score.word_scores(docs.where("false"), model).collect() == []
+
+
 def test_language_model_without_rows(nothing):
     assert lm_score.scores(nothing, lm_score.fit(nothing)).collect() == []
 
