@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gramledger.llm import decontaminate, html_extract, licenses, lm_score, minhash, piece_bpe, quality, toxicity, url_filter, warc
+from gramledger.llm import (
+    decontaminate, filter_audit, html_extract, licenses, lm_score, minhash, mixing, piece_bpe, quality, resampling, toxicity, url_filter, warc,
+)
 
 PIECES = "piece_bpe_32k.model"
 
@@ -64,7 +66,22 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.judged(found)
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_license_scan, op2_near_duplicates, op3_toxicity, op4_warc, op5_lm_score, op6_html_extraction, op7_quality_rules, op8_sentencepiece, op9_url_filter, op10_decontamination)}
+def op11_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("n_words")
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (
+    op1_license_scan, op2_near_duplicates, op3_toxicity, op4_warc, op5_lm_score, op6_html_extraction, op7_quality_rules,
+    op8_sentencepiece, op9_url_filter, op10_decontamination, op11_source_mix, op12_filter_audit, op13_importance_resampling,
+)}
 ORACLES: dict[str, str] = {
     "op1_license_scan": licenses.oracle_sql(),
     "op2_near_duplicates": minhash.oracle_sql(),
@@ -72,4 +89,7 @@ ORACLES: dict[str, str] = {
     "op7_quality_rules": quality.oracle_sql(),
     "op9_url_filter": url_filter.oracle_sql(),
     "op10_decontamination": decontaminate.oracle_sql(),
+    "op11_source_mix": mixing.oracle_sql(),
+    "op12_filter_audit": filter_audit.oracle_sql(),
+    "op13_importance_resampling": resampling.oracle_sql(),
 }

@@ -38,7 +38,7 @@ def same(spark, folder, name):
 
 
 def test_every_operator_has_a_query():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert set(QUERIES) - set(ORACLES) == WITHOUT_SQL
 
 
@@ -67,7 +67,7 @@ def test_odd_rows_equal_sql(spark, odd, name):
     same(spark, odd, name)
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"op12_filter_audit"}))  # which has a row for every step
 def test_a_row_for_every_row(spark, odd, name):
     table = "pages" if name.split("_")[0] in ("op4", "op6", "op9") else "documents"
     key = "page_id" if table == "pages" else "doc_id"
