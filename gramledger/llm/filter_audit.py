@@ -30,7 +30,7 @@ from gramledger.session import new_folder, tune
 PLAIN_BYTES = bytes(32 if b == 32 or 9 <= b <= 13 else b for b in range(256))
 CONTINUATION = bytes(range(0x80, 0xC0))
 FILTERS = "ABCDE"
-BUCKET_ROWS = 1 << 15
+BUCKET_ROWS = 1 << 14
 MOST_BUCKETS = 1 << 14
 SALTS = 32
 
@@ -120,24 +120,26 @@ def removals(tables: Relations) -> tuple[DataFrame, DataFrame]:
 
     before has bit k for the k-th filter; filter is a bit too. Sets no row is left in have no rows.
     """
-    names = list(tables.failing)
+    # Joined where they lie: a broadcast of each table for each set would go through the driver.
+    failing = {1 << k: t.hint("merge") for k, t in enumerate(tables.failing.values())}
     level = tables.rows.withColumn("before", F.lit(0))
-    kept = [survivors(level)]
-    removed = []
-    for size in range(1, len(names) + 1):
-        following = []
-        for k, name in enumerate(names):
-            bit = 1 << k
-            gone = level.where(F.col("before").bitwiseAND(F.lit(bit)) == 0).join(tables.failing[name], "row", "left_semi")
-            removed.append(gone.groupBy("part", "before").agg(
-                F.count("*").alias("removed"), F.count_if("good").alias("good"), F.count_if("toxic").alias("toxic")
-            ).withColumn("filter", F.lit(bit)))
+    kept, removed = [], []
+    for size in range(len(failing) + 1):
+        kept.append(stored(survivors(level), f"audit-kept-{size}"))
+        if size == len(failing):
+            break
+        gone, left = [], []
+        for bit, ids in failing.items():
+            here = level.where(F.col("before").bitwiseAND(F.lit(bit)) == 0).join(ids, "row", "left_semi")
+            gone.append(here.withColumn("filter", F.lit(bit)))
             # Each set is made once: from itself without its last filter.
-            left = level.where(F.col("before") < bit).join(tables.failing[name], "row", "left_anti")
-            following.append(left.withColumn("before", F.col("before") + bit))
-        level = in_buckets(reduce(DataFrame.unionByName, following), f"audit-survivors-{size}", tables.buckets, dealt=True)
-        kept.append(survivors(level))
-    return stored(reduce(DataFrame.unionByName, removed), "audit-removed"), stored(reduce(DataFrame.unionByName, kept), "audit-kept")
+            rest = level.where(F.col("before") < bit).join(ids, "row", "left_anti")
+            left.append(rest.withColumn("before", F.col("before") + bit))
+        counts = reduce(DataFrame.unionByName, gone).groupBy("part", "before", "filter").agg(
+            F.count("*").alias("removed"), F.count_if("good").alias("good"), F.count_if("toxic").alias("toxic"))
+        removed.append(stored(counts, f"audit-removed-{size}"))
+        level = in_buckets(reduce(DataFrame.unionByName, left), f"audit-survivors-{size + 1}", tables.buckets, dealt=True)
+    return reduce(DataFrame.unionByName, removed), reduce(DataFrame.unionByName, kept)
 
 
 def survivors(level: DataFrame) -> DataFrame:
