@@ -79,6 +79,10 @@ TOKENS = f"""
          CASE WHEN regexp_full_match(lower(text), '{SEP}') THEN [] ELSE {_tok("text")} END AS t
   FROM documents"""
 
+REPORT = f"""WITH {UNIQUE}, {_counts("uniq")}
+  SELECT printf('%7d %7d ''%s''', doc_count, total_count, phrase) AS value
+  FROM counts ORDER BY phrase"""
+
 ORACLES: dict[str, str] = {
     "tokenize": f"""SELECT doc_id, len(t) AS n_tokens, t[1] AS first_token, t[-1] AS last_token,
         md5(array_to_string(t, ' ')) AS tokens_md5 FROM ({TOKENS})""",
@@ -110,9 +114,7 @@ ORACLES: dict[str, str] = {
         SELECT uri, seq, hash, text AS content FROM now""",
     "doc_ref_counts": f"WITH {FEED}, {_latest('now')} SELECT hash, ref_count FROM now_docs",
     "phrase_lookup": f"WITH {UNIQUE}, {_counts('uniq')}, {BENCH_PHRASES} {LOOKUP}",
-    "phrase_report": f"""WITH {UNIQUE}, {_counts("uniq")}
-        SELECT printf('%7d %7d ''%s''', doc_count, total_count, phrase) AS value
-        FROM counts ORDER BY phrase""",
+    "phrase_report": REPORT,
     "changed_uris": f"""WITH {BEFORE_AFTER}
         SELECT uri, old.hash AS old_hash, now.hash AS new_hash
         FROM now LEFT JOIN old USING (uri) WHERE old.hash IS DISTINCT FROM now.hash""",
@@ -145,5 +147,21 @@ ORACLES: dict[str, str] = {
     "phrase_range_layout": f"""WITH {UNIQUE}, {_counts("uniq")}
         SELECT phrase[1:1] AS first_char, count(*) AS phrases,
                CAST(sum(total_count) AS BIGINT) AS occurrences FROM counts GROUP BY ALL""",
-    "text_directory": f"WITH {UNIQUE} SELECT hash, ref_count FROM uniq",
+    "text_directory": f"""
+        WITH files AS (SELECT text FROM documents UNION ALL SELECT '' FROM documents WHERE doc_id % 11 = 0)
+        SELECT {_hash("text")} AS hash, count(*) AS ref_count FROM files GROUP BY 1""",
+    "directory_stream": f"WITH {FEED}, {_latest('now')} SELECT hash, ref_count FROM now_docs",
+    "export_stream": FEED_COUNTS,
+    "export_outside": FEED_COUNTS,
+    "table_updates": FEED_COUNTS,
+    # The sketch is exact for as few documents as a phrase has here.
+    "combined_values": f"""WITH {FEED}, {_latest("now")}, {_counts("now_docs")}
+        SELECT phrase, count(*) AS doc_count, CAST(sum(n) AS BIGINT) AS total_count, max(n) AS most_in_one, count(*) AS about
+        FROM counts_doc GROUP BY phrase""",
+    "table_report": REPORT,
+    "table_prefix": f"{ALL_COUNTS} WHERE starts_with(phrase, 'a') AND phrase > 'an'",
+    "corpus_lag": f"""WITH {FEED}, {_latest('old', 'seq < 2')}, {_latest('now')}
+        SELECT (SELECT count(DISTINCT uri) FROM feed) AS uris,
+               (SELECT count(DISTINCT hash) FROM now) AS unique_docs,
+               (SELECT count(DISTINCT hash) FROM old) AS processed_docs""",
 }

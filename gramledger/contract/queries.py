@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import cache
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -13,11 +14,15 @@ from gramledger.functions.text import content_hash, normalized, tokens
 from gramledger.operators import counts as C
 from gramledger.operators import documents as O
 from gramledger.plans import delta as D
+from gramledger.plans.combined import CombinedTable, most, sketched, summed
 from gramledger.plans.ledger import Ledger
 from gramledger.session import new_folder, tune
+from gramledger.sinks.outside import OutsideStore
 from gramledger.sinks.query_table import ExportSink, QueryTable
 from gramledger.sources.change_feed import FEED_SCHEMA, change_feed
-from gramledger.sources.text_directory import read_text_directory
+from gramledger.sources.changes import stream_changes
+from gramledger.sources.files import open_folder
+from gramledger.sources.text_directory import read_text_directory, stream_text_directory
 from gramledger.streaming.stream import drain, start_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -251,6 +256,69 @@ def export_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sink.scan()
 
 
+def export_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The changed values of each round as a stream, delivered to a store outside and picked up again after a restart."""
+    place = new_folder(spark, "export-stream")
+    ledger = Ledger.create(spark, f"{place}/ledger", LedgerOptions())
+    store = OutsideStore(spark, f"{place}/store")
+    for k, changes in enumerate(rounds(document_feed(spark, sf_dir))):
+        ledger.store_values(ledger.load(changes))
+        if k:  # the first run finds two batches, the second one goes on behind them
+            drain(store.stream(stream_changes(spark, ledger.root), f"{place}/checkpoint"))
+    return store.scan()
+
+
+def export_outside(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The exports of all rounds in deliveries of their own to a store outside, newest first and then again."""
+    ledger = ledger_of(spark, sf_dir)
+    store = OutsideStore(spark, new_folder(spark, "outside"))
+    for seq in [*reversed(range(ROUNDS)), *range(ROUNDS)]:
+        store.apply(ledger.changed_values(seq), seq)
+    return store.scan()
+
+
+def table_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A published table brought to every round: the first is written whole, the others are layers over it."""
+    ledger = Ledger.create(spark, new_folder(spark, "updated-ledger"), LedgerOptions())
+    query_table = QueryTable(spark, new_folder(spark, "updated-table")).recreate()
+    query_table.LAYER_SHARE = 0  # a round changes more than a layer may otherwise have
+    for changes in rounds(document_feed(spark, sf_dir)):
+        ledger.load(changes)
+        ledger.publish(query_table)
+    return query_table.scan()
+
+
+def corpus_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counters after a load of the last round that stopped before it counted phrases."""
+    ledger = Ledger.create(spark, new_folder(spark, "stopped"), LedgerOptions())
+    *first, last = rounds(document_feed(spark, sf_dir))
+    for changes in first:
+        ledger.load(changes)
+    stopping = ledger.within(spark)
+
+    def stop(*_):
+        raise InterruptedError
+
+    stopping._signed_texts = stop
+    try:
+        stopping.load(last)
+    except InterruptedError:
+        return ledger.corpus_stats()
+    raise AssertionError("the load was not stopped")
+
+
+def combined_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per phrase a sum, a maximum and a sketch of its documents, brought from round to round by their own combiners."""
+    place = new_folder(spark, "combined")
+    ledger = Ledger.create(spark, f"{place}/ledger", LedgerOptions())
+    values = CombinedTable(ledger, f"{place}/values", [
+        summed("total_count", lambda: F.col("n")), most("most_in_one", lambda: F.col("n")), sketched("about", lambda: F.col("hash"))])
+    for changes in rounds(document_feed(spark, sf_dir)):
+        ledger.load(changes)
+        values.advance()
+    return values.read().withColumnRenamed("documents", "doc_count")
+
+
 def _published(spark: SparkSession, sf_dir: str) -> QueryTable:
     return _publish_once(spark.sparkContext.applicationId, spark, sf_dir)
 
@@ -305,14 +373,58 @@ def stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.phrase_counts()
 
 
+def write_files(files: DataFrame, folder: str) -> None:
+    """A file for every row (name, content), written over one of that name."""
+    names = pa.schema([("name", pa.string())])
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, path, _ = open_folder(folder)
+        for rows in batches:
+            for name, content in zip(rows.column(0), rows.column(1), strict=True):
+                with store.open_output_stream(f"{path}/{name}") as out:
+                    out.write(content.as_py().encode())
+            yield pa.RecordBatch.from_arrays([rows.column(0)], schema=names)
+
+    store, path, _ = open_folder(folder)
+    store.create_dir(path)
+    files.select("name", "content").mapInArrow(write, "name string").write.format("noop").mode("overwrite").save()
+
+
 def text_directory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document written to a *.txt file of its own and loaded from the folder."""
+    """Every document in a *.txt file of its own, loaded from the folder; some files are empty, and some have other names."""
     folder = new_folder(spark, "texts")
-    docs = table(spark, sf_dir, "documents").select("text")
-    docs.write.option("maxRecordsPerFile", 1).text(folder)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    of = F.col("doc_id").cast("string")
+    write_files(docs.select(F.concat(of, F.lit(".txt")).alias("name"), F.col("text").alias("content")), folder)
+    write_files(docs.where("doc_id % 11 = 0").select(F.concat(F.lit("nothing in "), of, F.lit(".txt")).alias("name"), F.lit("").alias("content")), folder)
+    for suffix in (".md", ".TXT", ".txt.bak"):
+        write_files(docs.where("doc_id % 7 = 0").select(F.concat(of, F.lit(suffix)).alias("name"), F.lit("not to be loaded").alias("content")), folder)
     return O.ref_counts(O.latest_by_uri(read_text_directory(spark, folder)))
 
 
+def directory_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A folder in which each URI is a file that every round may write anew, followed as a stream that is restarted after each."""
+    place = new_folder(spark, "directory-stream")
+    ledger = Ledger.create(spark, f"{place}/ledger", LedgerOptions())
+    for changes in rounds(document_feed(spark, sf_dir)):
+        write_files(changes.select(F.concat("uri", F.lit(".txt")).alias("name"), "content"), f"{place}/texts")
+        drain(start_stream(ledger, stream_text_directory(spark, f"{place}/texts"), f"{place}/checkpoint", "texts"))
+    return O.ref_counts(ledger.uri_state())
+
+
+def table_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report over the published table, read in the order of its files."""
+    return C.report(_published(spark, sf_dir).scan_ordered(), in_order=True)
+
+
+PREFIX, AFTER = "a", "an"
+
+
+def table_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The phrases of the published table that begin with a prefix, from a key on."""
+    return _published(spark, sf_dir).scan_ordered(PREFIX, AFTER)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -321,7 +433,8 @@ QUERIES: dict[str, Query] = {
         phrase_lookup, phrase_report, changed_uris, doc_transitions, phrase_deltas,
         incremental_counts, late_writes, live_documents, uri_table, ledger_lookup, corpus_stats,
         corpus_stats_report, export_changes, export_apply, phrase_table, table_lookup, phrase_range_layout,
-        stream_counts, text_directory,
+        stream_counts, text_directory, directory_stream, export_stream, export_outside, table_updates, table_report, table_prefix,
+        corpus_lag, combined_values,
     )
 }
 QUERIES["change_feed"] = feed_rows

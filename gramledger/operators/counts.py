@@ -78,10 +78,10 @@ def lookup(requests: DataFrame, counts: DataFrame) -> DataFrame:
     return with_default(wanted, counts.join(wanted, "phrase", "left_semi"))
 
 
-def report(counts: DataFrame) -> DataFrame:
-    """One printed line per phrase, in byte order of the phrases."""
+def report(counts: DataFrame, in_order: bool = False) -> DataFrame:
+    """One printed line per phrase, in byte order of the phrases. in_order: that is how they come."""
     line = F.format_string(REPORT_LINE, "doc_count", "total_count", "phrase")
-    return counts.orderBy("phrase").select(line.alias("value"))
+    return (counts if in_order else counts.orderBy("phrase")).select(line.alias("value"))
 
 
 def stats_report(stats: DataFrame) -> DataFrame:

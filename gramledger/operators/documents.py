@@ -17,13 +17,14 @@ def hashed_feed(feed: DataFrame) -> DataFrame:
     return feed.select("uri", "seq", content_hash(F.col("content")).alias("hash"))
 
 
-def latest_by_uri(feed: DataFrame) -> DataFrame:
-    """(uri, seq, hash) of the last write to each URI."""
+def latest_by_uri(feed: DataFrame, *count: str) -> DataFrame:
+    """(uri, seq, hash) of the last write to each URI, and how many writes there were if `count` names that column."""
+    counts = [F.count("*").alias(c) for c in count]
     return (
         hashed_feed(feed)
         .groupBy("uri")
-        .agg(F.max(F.struct("seq", "hash")).alias("last"))
-        .select("uri", "last.seq", "last.hash")
+        .agg(F.max(F.struct("seq", "hash")).alias("last"), *counts)
+        .select("uri", "last.seq", "last.hash", *count)
     )
 
 

@@ -1,15 +1,16 @@
 """The ledger: incremental state kept as Parquet tables.
 
     <root>/commits                 one JSON row per committed batch or compaction
-    <root>/write_log/batch_id=N    uri, seq, hash: last write of each URI in batch N
+    <root>/write_log/batch_id=N    uri, seq, hash, writes: last write of each URI in batch N
     <root>/uri_log/batch_id=N      uri, seq, old_hash, hash: those that are news
     <root>/doc_log/batch_id=N      hash, delta, multiplier, ...
     <root>/text_log/batch_id=N     hash, content of documents batch N brought to life
     <root>/phrase_log/batch_id=N   phrase, d_doc, d_total
-    <root>/uri_base/version=V      state after batch V, bucketed and sorted by its key
-    <root>/doc_base/version=V
-    <root>/phrase_base/version=V
-    <root>/text_base/version=V     texts of the documents alive after batch V
+    <root>/value_log/batch_id=N    phrase, seq, doc_count, total_count: for streams of them
+    <root>/uri_base/version=V...   state after batch V, bucketed and sorted by its key
+    <root>/doc_base/version=V...
+    <root>/phrase_base/version=V...
+    <root>/text_base/version=V...  texts of the documents alive after batch V
 
 A batch writes whole folders of its own and is visible once its commit row is
 there; a batch that failed half-way is written over by its retry. Reads add the
@@ -19,7 +20,7 @@ logs after the newest base to that base. One writer at a time.
 from __future__ import annotations
 
 import hashlib
-from dataclasses import asdict, dataclass, replace
+from dataclasses import asdict, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,24 +29,22 @@ from gramledger.config import TOKENIZER_VERSION, LedgerOptions
 from gramledger.operators import counts as C
 from gramledger.operators.documents import latest_by_uri, with_normalized, with_text
 from gramledger.plans import delta as D
-from gramledger.session import tune
-from gramledger.sinks.query_table import QueryTable, append_record
+from gramledger.plans.commits import COUNTERS, NOTHING, CommitLog, Position
+from gramledger.session import file_system, tune
+from gramledger.sinks.query_table import EXPORT_SCHEMA, QueryTable
 from gramledger.sources.change_feed import change_feed, complete
 
-COMMIT_SCHEMA = (
-    "batch_id bigint, base bigint, text_base bigint, made bigint, source string, source_batch bigint, "
-    "phrase_length int, buckets int, tokenizer_version int"
-)
-NOTHING = -1
-
 LOGS = {
-    "write": "uri string, seq bigint, hash string",
+    "write": "uri string, seq bigint, hash string, writes bigint",
     "uri": "uri string, seq bigint, old_hash string, hash string",
     "doc": "hash string, delta bigint, multiplier int, first struct<seq: bigint, uri: string>, "
     "text_batch bigint",
     "text": "hash string, content string",
     "phrase": "phrase string, d_doc bigint, d_total bigint",
+    "value": EXPORT_SCHEMA,
 }
+# Logs in which single keys are looked up: their row groups have a Bloom filter on it.
+SOUGHT = {"phrase": "phrase", "text": "hash"}
 BASES = {
     "uri": ("uri", "uri string, seq bigint, hash string"),
     "doc": ("hash", "hash string, ref_count bigint, indexed int, text_batch bigint"),
@@ -53,17 +52,8 @@ BASES = {
     "text": ("hash", "hash string, content string, batch_id bigint"),
 }
 STATE = ("uri", "doc", "phrase")
-
-
-@dataclass(frozen=True)
-class Position:
-    """Newest committed batch, the batch the newest base stands at with its buckets, and the same for the text base."""
-
-    last: int
-    base: int
-    buckets: int
-    text_base: int
-    text_buckets: int
+# So many keys are sought as literals: they choose the buckets, files and row groups to open.
+FEW_KEYS = 1000
 
 
 class Ledger:
@@ -71,6 +61,7 @@ class Ledger:
         self.spark = tune(spark)
         self.root = root.rstrip("/")
         self.options = options
+        self._commits = CommitLog(self.spark, self.root)
 
     # -- life cycle ---------------------------------------------------------
 
@@ -78,12 +69,12 @@ class Ledger:
     def create(cls, spark: SparkSession, root: str, options: LedgerOptions | None = None) -> Ledger:
         """A new, empty ledger; one that was there before is no longer visible."""
         ledger = cls(spark, root, options or LedgerOptions())
-        ledger._commit(mode="overwrite")
+        ledger._commits.add({**ledger._record(), "made": 0}, "overwrite")
         return ledger
 
     @classmethod
     def open(cls, spark: SparkSession, root: str) -> Ledger:
-        row = cls._read_commits(spark, root).orderBy(F.desc("made")).first()
+        row = CommitLog(spark, root).newest()
         fields = LedgerOptions.__dataclass_fields__
         ledger = cls(spark, root, LedgerOptions(**{k: row[k] for k in fields}))
         if ledger.options.tokenizer_version != TOKENIZER_VERSION:
@@ -98,44 +89,34 @@ class Ledger:
         """The same ledger seen from another session."""
         return Ledger(spark, self.root, self.options)
 
-    @staticmethod
-    def _read_commits(spark: SparkSession, root: str) -> DataFrame:
-        return spark.read.schema(COMMIT_SCHEMA).json(f"{root.rstrip('/')}/commits")
-
     def commits(self) -> DataFrame:
-        return self._read_commits(self.spark, self.root)
-
-    def _commit(
-        self, batch_id: int = NOTHING, base: int = NOTHING, text_base: int = NOTHING, made: int = 0,
-        source: str | None = None, source_batch: int | None = None, mode: str = "append",
-    ) -> None:
-        record = {
-            "batch_id": batch_id, "base": base, "text_base": text_base, "made": made, "source": source,
-            "source_batch": source_batch, **asdict(self.options),
-        }
-        append_record(self.spark, f"{self.root}/commits", record, COMMIT_SCHEMA, mode)
+        """Rows of the commit log since it was last folded, and what the fold kept."""
+        return self._commits.rows()
+
+    def _record(self) -> dict:
+        """A row that commits nothing."""
+        places = dict.fromkeys(("batch_id", "base", "text_base", "floor", "values_to", "pending"), NOTHING)
+        return {**places, "made": 0, **dict.fromkeys(COUNTERS, 0), **asdict(self.options)}
+
+    def _commit(self, at: Position, **what) -> None:
+        """The row after those `at` knows of, with its counters unless `what` has others."""
+        kept = {"made": at.made + 1, "floor": at.floor, "values_to": at.values_to, **dict(zip(COUNTERS, at.counters, strict=True))}
+        self._commits.add({**self._record(), **kept, **what})
 
     def _position(self, until: int | None = None) -> Position:
-        """Where the ledger stands, or stood after a batch: with the newest base that is not past it."""
-        rows = self.commits()
-        here = F.lit(True) if until is None else F.col("base") <= until
-        row = rows.agg(
-            F.max("batch_id").alias("last"),
-            F.max(F.when(here, F.struct("base", "made", "buckets"))).alias("b"),
-            F.max(F.struct("text_base", "made", "buckets")).alias("t"),
-        ).first()
-        last = row.last if until is None else min(until, row.last)
-        return Position(last, row.b.base, row.b.buckets, row.t.text_base, row.t.buckets)
+        return self._commits.position(until)
 
-    def _next(self) -> int:
-        """The number of the next commit row."""
-        return self.commits().agg(F.max("made")).first()[0] + 1
+    def position(self) -> Position:
+        """Where the ledger stands."""
+        return self._position()
 
     # -- stored tables ------------------------------------------------------
 
     def _write_log(self, name: str, batch_id: int, rows: DataFrame) -> DataFrame:
-        path = f"{self.root}/{name}_log/batch_id={batch_id}"
-        rows.write.mode("overwrite").parquet(path)
+        writer = rows.write.mode("overwrite")
+        if name in SOUGHT:
+            writer = writer.option(f"parquet.bloom.filter.enabled#{SOUGHT[name]}", "true").option("parquet.bloom.filter.adaptive.enabled", "true")
+        writer.parquet(f"{self.root}/{name}_log/batch_id={batch_id}")
         return self._log(name, batch_id - 1, batch_id)
 
     def _log(self, name: str, after: int, last: int) -> DataFrame:
@@ -147,19 +128,24 @@ class Ledger:
         paths = [f"{folder}/batch_id={b}" for b in range(after + 1, last + 1)]
         return self.spark.read.schema(schema).option("basePath", folder).parquet(*paths)
 
-    def _base_folder(self, name: str, version: int, buckets: int) -> str:
-        return f"{self.root}/{name}_base/version={version}_buckets={buckets}"
+    def _base_folder(self, name: str, version: int, buckets: int, made: int) -> str:
+        """A folder for every compaction, so that readers of an earlier one at the same batch keep theirs."""
+        return f"{self.root}/{name}_base/version={version}_buckets={buckets}_made={made}"
 
     def _base_name(self, folder: str) -> str:
         return f"gramledger_{hashlib.sha256(folder.encode()).hexdigest()[:24]}"
 
-    def _base(self, name: str, version: int, buckets: int) -> DataFrame:
+    def _base(self, name: str, at: Position) -> DataFrame:
         """A compacted table, read with its bucketing so that joins on the key
         leave it where it is and a look-up of one key reads one bucket."""
         key, schema = BASES[name]
+        version, buckets, made = (at.text_base, at.text_buckets, at.text_made) if name == "text" else (at.base, at.buckets, at.base_made)
         if version == NOTHING:
             return self.spark.createDataFrame([], schema)
-        folder = self._base_folder(name, version, buckets)
+        folder = self._base_folder(name, version, buckets, made)
+        fs, path = file_system(self.spark, folder)
+        if not fs.exists(path):  # a table over a missing folder would read as an empty one
+            raise FileNotFoundError(f"{folder} is gone: vacuumed, or written by an earlier format")
         table, place = self._base_name(folder), folder.replace("\\", "\\\\").replace("'", "\\'")
         self.spark.sql(
             f"CREATE TABLE IF NOT EXISTS {table} ({schema}) USING parquet "
@@ -167,19 +153,21 @@ class Ledger:
         )
         return self.spark.table(table)
 
-    def _write_base(self, name: str, version: int, buckets: int, rows: DataFrame) -> None:
+    def _write_base(self, name: str, version: int, buckets: int, made: int, rows: DataFrame) -> None:
         key, schema = BASES[name]
-        folder = self._base_folder(name, version, buckets)
+        folder = self._base_folder(name, version, buckets, made)
         table = self._base_name(folder)
         self.spark.sql(f"DROP TABLE IF EXISTS {table}")
-        (
+        writer = (
             rows.select(*self.spark.createDataFrame([], schema).columns).write.mode("overwrite")
             .format("parquet")
             .bucketBy(buckets, key)
             .sortBy(key)
             .option("path", folder)
-            .saveAsTable(table)
         )
+        if name in SOUGHT:
+            writer = writer.option(f"parquet.bloom.filter.enabled#{key}", "true").option("parquet.bloom.filter.adaptive.enabled", "true")
+        writer.saveAsTable(table)
 
     # -- state --------------------------------------------------------------
     # Each state is the base joined with the summary of the logs behind it. With
@@ -191,7 +179,7 @@ class Ledger:
     def _parts(self, name: str, at: Position, keys: DataFrame | None):
         key, _ = BASES[name]
         buckets = at.buckets
-        parts = self._base(name, at.base, buckets), self._log(name, at.base, at.last)
+        parts = self._base(name, at), self._log(name, at.base, at.last)
         if keys is not None:
             keys = keys.select(key).repartition(buckets, key)
             parts = tuple(D.state_of(keys, part, key) for part in parts)
@@ -249,20 +237,19 @@ class Ledger:
         A batch that names its source and number there is applied once: a repeat
         returns without doing anything.
         """
-        at = self._position()
         if source is not None:
-            done = self.commits().where(
-                (F.col("source") == source) & (F.col("source_batch") == source_batch)
-            ).first()
-            if done:
-                return done["batch_id"]
+            done = self._commits.applied(source, source_batch)
+            if done is not None:
+                return done
+        at = self._position()
         batch = at.last + 1
         feed = complete(change_feed(changes))
 
         # Keys and hashes only: the text of unchanged documents goes nowhere. Each
         # step is written once and read back by all that need it, with its size
         # known to the planner.
-        latest = self._write_log("write", batch, latest_by_uri(feed)).drop("batch_id")
+        writes = self._write_log("write", batch, latest_by_uri(feed, "writes"))
+        latest = writes.drop("batch_id", "writes")
         known = self.uri_state(latest, at)
         news = self._write_log("uri", batch, D.newer_writes(latest, known))
         changed = news.where(~F.col("old_hash").eqNullSafe(F.col("hash")))
@@ -273,6 +260,17 @@ class Ledger:
             "doc", batch, moved.select("hash", "delta", "multiplier", "first", "text_batch")
         )
 
+        # From here on the batch's documents are known and their phrases are not: a reader
+        # of the counters sees that, and how far a load that stopped has come.
+        counted = self._counted(writes, news, moved)
+        uris, docs, processed = at.counters
+        stats = {
+            "uris": uris + counted.new_uris, "unique_docs": docs + counted.born - counted.gone,
+            "rows_read": counted.rows_read, "born": counted.born, "gone": counted.gone,
+        }
+        self._commit(at, pending=batch, processed_docs=processed, **stats)
+        at = replace(at, made=at.made + 1)
+
         # The keys of the documents to store are known: they cut the feed's texts down
         # in the scan, before anything is shuffled.
         wanted = D.first_writes(moved)
@@ -284,34 +282,74 @@ class Ledger:
         signed = self._signed_texts(born, moved, batch, at)
         deltas = C.signed_counts(signed, "multiplier", self.options.phrase_length)
         deltas = deltas.where(C.nonzero("d_doc", "d_total")).sortWithinPartitions("phrase")
-        self._write_log("phrase", batch, deltas)
+        phrases = self._write_log("phrase", batch, deltas).count()
 
-        self._commit(batch, made=self._next(), source=source, source_batch=source_batch)
+        self._commit(at, batch_id=batch, source=source, source_batch=source_batch, phrases=phrases,
+                     processed_docs=processed + counted.born - counted.gone, **stats)
         return batch
 
-    def _texts(self, at: Position) -> DataFrame:
-        """(hash, content, batch_id): every text stored, by the batch that brought it."""
-        columns = ["hash", "content", "batch_id"]
-        log = self._log("text", at.text_base, at.last).select(columns)
-        if at.text_base == NOTHING:
-            return log
-        return self._base("text", at.text_base, at.text_buckets).select(columns).unionByName(log)
+    def _counted(self, writes: DataFrame, news: DataFrame, moved: DataFrame):
+        """What a batch brings to the counters, from its stored logs: nothing else is read."""
+        rows = writes.select(F.col("writes").alias("rows_read"))
+        rows = rows.unionByName(news.select(F.col("old_hash").isNull().cast("bigint").alias("new_uris")), allowMissingColumns=True)
+        rows = rows.unionByName(moved.select(
+            (F.col("multiplier") == 1).cast("bigint").alias("born"), (F.col("multiplier") == -1).cast("bigint").alias("gone")
+        ), allowMissingColumns=True)
+        return rows.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in rows.columns)).first()
+
+    # Texts of the batches up to the text base lie there by hash, one for each document
+    # that was alive; later ones lie in the logs, by batch.
+
+    def _base_texts(self, keys: DataFrame, at: Position) -> DataFrame:
+        """`content` added to the keys (hash, text_batch, ...) whose texts the base has. Few keys open
+        only their buckets, and row groups whose Bloom filter has them; more of them come to the base, not it to them."""
+        base = self._base("text", at).select("hash", "content")
+        keys = keys.where(F.col("text_batch") <= at.text_base)
+        few = [r.hash for r in keys.select("hash").limit(FEW_KEYS + 1).collect()]
+        if len(few) <= FEW_KEYS:
+            return base.where(F.col("hash").isin(few)).join(keys, "hash")
+        return base.join(keys.repartition(at.text_buckets, "hash"), "hash")
+
+    def _log_texts(self, keys: DataFrame, at: Position) -> DataFrame:
+        """The same for texts in the logs. Batch folders that have none of the keys are not opened."""
+        log = self._log("text", at.text_base, at.last).withColumnRenamed("batch_id", "text_batch")
+        return log.join(keys.where(F.col("text_batch") > at.text_base), ["text_batch", "hash"])
 
     def _signed_texts(self, born: DataFrame, moved: DataFrame, batch: int, at: Position) -> DataFrame:
-        """(hash, multiplier, text) of the documents that come to life or go, lying by hash.
-
-        A text is read back from the batch that brought it: batch folders that
-        hold none of the retracted documents are not opened.
-        """
+        """(hash, multiplier, text) of the documents that come to life or go, lying by hash."""
         added = born.select("hash", "content", F.lit(1).alias("multiplier"))
         if batch > 0:
-            gone = moved.where(F.col("multiplier") == -1).select(
-                "hash", "multiplier", F.col("text_batch").alias("batch_id")
-            )
-            removed = self._texts(replace(at, last=batch - 1)).join(gone, ["batch_id", "hash"])
-            added = added.unionByName(removed.select(added.columns))
+            gone = moved.where(F.col("multiplier") == -1).select("hash", "multiplier", "text_batch")
+            at = replace(at, last=batch - 1)
+            added = added.unionByName(self._log_texts(gone, at).select(added.columns))
+            if at.text_base != NOTHING:
+                added = added.unionByName(self._base_texts(gone, at).select(added.columns))
         return with_normalized(added.repartition("hash"))
 
+    def signed_documents(self, batch_id: int) -> DataFrame:
+        """(hash, multiplier, text) of the documents that came to life (1) or went (-1) in a batch.
+
+        For batches behind the last compact_texts, which leaves the texts of dead documents behind.
+        """
+        at = self._position()
+        if not at.text_base < batch_id <= at.last:
+            raise ValueError(f"the texts of batch {batch_id} are not kept, only those of {at.text_base + 1} to {at.last}")
+        born, moved = self._log("text", batch_id - 1, batch_id), self._log("doc", batch_id - 1, batch_id)
+        return self._signed_texts(born, moved, batch_id, at)
+
+    def _live_texts(self, at: Position) -> DataFrame:
+        """(hash, content, ref_count, batch_id) of every live document. The base is neither moved nor sorted:
+        documents and texts of the logs come to its buckets."""
+        live = self.doc_state(at=at).select("hash", "text_batch", "ref_count")
+        new = self._log_texts(live, at).select("hash", "content", "ref_count", F.col("text_batch").alias("batch_id"))
+        if at.text_base == NOTHING:
+            return new
+        old = live.where(F.col("text_batch") <= at.text_base).repartition(at.text_buckets, "hash")
+        kept = self._base("text", at).select("hash", "content", "batch_id").join(old.select("hash", "ref_count"), "hash")
+        new = new.repartition(at.text_buckets, "hash").select("hash", *(F.col(c).alias(f"new_{c}") for c in new.columns if c != "hash"))
+        both = kept.join(new, "hash", "full")
+        return both.select("hash", *(F.coalesce(f"new_{c}", c).alias(c) for c in ("content", "ref_count", "batch_id")))
+
     # -- compaction and publication -----------------------------------------
 
     def compact(self, buckets: int | None = None) -> int:
@@ -327,62 +365,80 @@ class Ledger:
         self.options = replace(self.options, buckets=buckets)
         for name in STATE:
             state = getattr(self, f"{name}_state")(at=at)
-            self._write_base(name, at.last, buckets, state.repartition(buckets, BASES[name][0]) if buckets != at.buckets else state)
-        self._commit(base=at.last, made=self._next())
+            self._write_base(name, at.last, buckets, at.made + 1, state.repartition(buckets, BASES[name][0]) if buckets != at.buckets else state)
+        self._commit(at, base=at.last)
+        self._commits.fold()
         return at.last
 
     def compact_texts(self) -> int:
         """Folds the texts of live documents into one table and leaves those of dead ones behind.
 
-        Rewrites all live texts: for now and then, not for every compaction.
+        Reads and writes all live texts where they lie; only those of the logs move.
         """
         at = self._position()
         if at.last != at.text_base:
-            live = self.doc_state(at=at).select("hash", F.col("text_batch").alias("batch_id"))
-            self._write_base("text", at.last, at.buckets, self._texts(at).join(live, ["hash", "batch_id"]).repartition(at.buckets, "hash"))
-            self._commit(text_base=at.last, made=self._next())
+            texts = self._live_texts(at)
+            if at.text_base == NOTHING or at.text_buckets != self.options.buckets:
+                texts = texts.repartition(self.options.buckets, "hash")
+            self._write_base("text", at.last, self.options.buckets, at.made + 1, texts)
+            self._commit(at, text_base=at.last)
         return at.last
 
     def vacuum(self, keep_batches: int = 0) -> list[str]:
         """Deletes logs and bases that reads of the last `keep_batches` batches and later ones do not open.
 
         Returns the folders. Readers that began before the last compaction must be done.
-        changed_values of earlier batches and texts of dead documents are gone afterwards.
+        changed_values of earlier batches and texts of dead documents are gone afterwards,
+        and asking for them raises.
         """
         at = self._position()
-        old = self._position(max(NOTHING, at.last - keep_batches))
-        keep = {(p.base, p.buckets) for p in (at, old)}
+        old = self._position(max(at.floor, at.last - keep_batches))
+        # A kept batch is read from the newest base that is not past it: any from the oldest one needed on.
+        keep = {self._base_folder("x", *b).rsplit("/", 1)[1] for b in self._commits.bases(old.base)}
+        texts = {self._base_folder("x", at.text_base, at.text_buckets, at.text_made).rsplit("/", 1)[1]}
+        if old.base > at.floor:
+            self._commit(at, floor=old.base)  # first, so that nobody looks for what is being deleted
         gone = []
         for name in LOGS:
             until = min(at.text_base, old.last) if name == "text" else old.base
             gone += self._folders(f"{self.root}/{name}_log", lambda f, until=until: int(f.split("=")[1]) <= until)
         for name in BASES:
-            used = {(at.text_base, at.text_buckets)} if name == "text" else keep
-            names = {f"version={v}_buckets={b}" for v, b in used}
-            gone += self._folders(f"{self.root}/{name}_base", lambda f, names=names: f not in names)
-        jvm = self.spark.sparkContext._jvm
+            used = texts if name == "text" else keep
+            gone += self._folders(f"{self.root}/{name}_base", lambda f, used=used: f not in used)
         for folder in gone:
-            path = jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+            fs, path = file_system(self.spark, folder)
+            fs.delete(path, True)
             self.spark.sql(f"DROP TABLE IF EXISTS {self._base_name(folder)}")
         return gone
 
     def _folders(self, parent: str, wanted) -> list[str]:
         """Folders below parent whose names are wanted; there is one per batch or compaction since the last vacuum."""
-        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(parent)
-        fs = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        fs, path = file_system(self.spark, parent)
         if not fs.exists(path):
             return []
         names = [s.getPath().getName() for s in fs.listStatus(path)]
         return [f"{parent}/{n}" for n in names if "=" in n and wanted(n)]
 
     def publish(self, table: QueryTable, files: int | None = None) -> int:
-        """Compacts and writes the counts as a new version of a query table."""
+        """Brings a query table to the newest batch and returns that.
+
+        A table that stands at an earlier batch of which the logs are kept gets the new totals of
+        the phrases changed since, and nothing else is written. Others, and those with many
+        changes over them, get a whole version from a compacted base.
+        """
+        at, since = self._position(), table.version()
+        if NOTHING < since <= at.last and since >= at.floor and not files:
+            if since == at.last or table.apply(self._changed_since(since, at), at.last):
+                return at.last
         version = self.compact()
-        at = self._position()
-        table.publish(C.as_counts(self._base("phrase", version, at.buckets)), version, files)
+        table.publish(C.as_counts(self._base("phrase", self._position())), version, files)
         return version
 
+    def _changed_since(self, batch_id: int, at: Position) -> DataFrame:
+        """(phrase, seq, doc_count, total_count): totals now of the phrases that batches after one changed."""
+        deltas = C.combine(self._log("phrase", batch_id, at.last))
+        return D.export_rows(deltas, C.as_counts(self.phrase_state(deltas, at)), at.last)
+
     # -- queries ------------------------------------------------------------
 
     def phrase_counts(self) -> DataFrame:
@@ -403,15 +459,13 @@ class Ledger:
         at = self._position()
         here = F.col("phrase") == phrase
         rows = C.combine(
-            self._base("phrase", at.base, at.buckets).where(here), self._log("phrase", at.base, at.last).where(here)
+            self._base("phrase", at).where(here), self._log("phrase", at.base, at.last).where(here)
         ).first()
         return (rows["d_doc"], rows["d_total"]) if rows else (0, 0)
 
     def documents(self) -> DataFrame:
         """(hash, content, ref_count) of every live document."""
-        at = self._position()
-        live = self.doc_state(at=at).withColumnRenamed("text_batch", "batch_id")
-        return self._texts(at).join(live, ["batch_id", "hash"]).select("hash", "content", "ref_count")
+        return self._live_texts(self._position()).select("hash", "content", "ref_count")
 
     def batch_deltas(self, batch_id: int) -> DataFrame:
         """(phrase, d_doc, d_total, batch_id): what a batch added and took back."""
@@ -425,12 +479,34 @@ class Ledger:
         at = self._position(batch_id)
         if not 0 <= batch_id <= at.last:
             raise ValueError(f"there is no batch {batch_id}, the last one is {at.last}")
+        if batch_id <= at.floor:
+            raise ValueError(f"what batch {batch_id} changed was given up by vacuum")
         deltas = self.batch_deltas(batch_id)
         totals = C.as_counts(self.phrase_state(deltas, at))
         return D.export_rows(deltas, totals, batch_id)
 
+    def store_values(self, batch_id: int) -> None:
+        """Writes changed_values of a batch where streams of them read (sources.changes). Batches come in their order;
+        one that is there already changes nothing."""
+        at = self._position()
+        if batch_id <= at.values_to:
+            return
+        if batch_id != at.values_to + 1 and at.values_to != NOTHING:
+            raise ValueError(f"values are stored up to batch {at.values_to}, {batch_id} is not the next one")
+        self._write_log("value", batch_id, self.changed_values(batch_id))
+        self._commit(at, values_to=batch_id)
+
     def corpus_stats(self) -> DataFrame:
-        """One row (uris, unique_docs, processed_docs)."""
+        """One row (uris, unique_docs, processed_docs), from the newest commit row: no state is read.
+
+        While a batch is being applied, or after that stopped half-way, its URIs and documents
+        are counted already and its processed documents are not.
+        """
+        newest = self.commits().orderBy(F.desc("made")).limit(1)
+        return newest.select(*COUNTERS)
+
+    def counted_stats(self) -> DataFrame:
+        """The same three numbers counted from the state tables, up to the newest batch."""
         at = self._position()
         one, none = F.lit(1), F.lit(0)
         uris = self.uri_state(at=at).select(
@@ -442,6 +518,20 @@ class Ledger:
         rows = uris.unionByName(docs)
         return rows.agg(*(F.coalesce(F.sum(c), none).cast("bigint").alias(c) for c in rows.columns))
 
+    def progress(self) -> DataFrame:
+        """(batch_id, done, rows_read, born, gone, phrases, backlog) of the batches since the commit log was folded.
+
+        rows_read: writes in the source; born, gone: documents; phrases: those it changed;
+        backlog: documents whose phrases were not yet counted. phrases is null while it lasts.
+        """
+        rows = self.commits().withColumn("batch", F.greatest("batch_id", "pending")).where(F.col("batch") >= 0)
+        newest = F.max_by(F.struct("*"), "made").alias("r")
+        last = rows.groupBy("batch").agg(newest).select("r.*")
+        return last.select(
+            F.col("batch").alias("batch_id"), (F.col("pending") < 0).alias("done"), "rows_read", "born", "gone", "phrases",
+            (F.col("unique_docs") - F.col("processed_docs")).alias("backlog"),
+        )
+
     def create_views(self, prefix: str = "") -> None:
         """Temporary views for SQL: phrases, uris and documents."""
         self.phrase_counts().createOrReplaceTempView(f"{prefix}phrases")

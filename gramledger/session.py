@@ -25,6 +25,9 @@ RECOMMENDED = {
     "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0",
     "spark.sql.optimizer.runtime.bloomFilter.maxNumItems": "100000000",
     "spark.sql.optimizer.runtime.bloomFilter.maxNumBits": "536870912",
+    # A list of a thousand keys is looked up key by key in the Bloom filters of row
+    # groups, not as one range from the least to the greatest.
+    "spark.sql.parquet.pushdown.inFilterThreshold": "1024",
 }
 
 
@@ -60,3 +63,9 @@ def shared_folder(spark: SparkSession) -> str:
 
 def new_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared_folder(spark)}/gramledger/{purpose}-{uuid.uuid4().hex}"
+
+
+def file_system(spark: SparkSession, path: str):
+    """(file system, path) of a Hadoop path."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from gramledger.operators.counts import lookup, newest_exports, published_rows
+from gramledger.session import file_system
 
 COUNTS_SCHEMA = "phrase string, doc_count bigint, total_count bigint"
 EXPORT_SCHEMA = "phrase string, seq bigint, doc_count bigint, total_count bigint"
@@ -22,9 +24,17 @@ def append_record(spark: SparkSession, path: str, record: dict, schema: str, mod
 
 
 class QueryTable:
-    """Versions in folders of their own, in force once the newest row of `<root>/published` names them."""
+    """Versions of the counts, in force once the newest row of `<root>/published` names them.
 
-    VERSION_SCHEMA = "made bigint, seq bigint, folder string"
+    A version is a base, written in ranges of phrases, and layers over it with the new totals
+    of phrases that changed since. Publishing a change writes a layer and leaves the base's
+    files to the next version; readers of earlier versions keep theirs.
+    """
+
+    VERSION_SCHEMA = "made bigint, seq bigint, folder string, rows bigint, layers array<string>, layer_rows bigint"
+    RANGE_SCHEMA = "file string, low string, high string, rows bigint"
+    MOST_LAYERS = 16
+    LAYER_SHARE = 8  # layers may have one row for so many of the base
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -36,15 +46,13 @@ class QueryTable:
         return self
 
     def publish(self, counts: DataFrame, seq: int, files: int | None = None) -> None:
-        """Writes a version in ranges of phrases, sorted, and switches readers to it.
+        """Writes a whole version in ranges of phrases, sorted, and switches readers to it.
 
         A seq below the one in force is refused: it would take newer counts back.
         Sampling for the ranges reads the phrases of `counts` once more, so pass
         a stored table rather than a long computation.
         """
-        now = self._newest()
-        if seq < now.seq:
-            raise ValueError(f"{self.root} stands at {now.seq}, {seq} is older; recreate it to start over")
+        now = self._checked(seq)
         ranged = (
             counts.repartitionByRange(files, "phrase")
             if files
@@ -52,26 +60,107 @@ class QueryTable:
         )
         self._write(ranged.sortWithinPartitions("phrase"), seq, now.made + 1, "append")
 
+    def apply(self, changes: DataFrame, seq: int) -> bool:
+        """Puts the new totals (phrase, doc_count, total_count) of changed phrases, (0, 0) for gone ones, over the version in force.
+
+        Writes the changes and nothing else. Returns False, without switching readers, if there
+        would be more layers than readers should merge: then it is time for a whole version.
+        """
+        now = self._checked(seq)
+        if len(now.layers) >= self.MOST_LAYERS:
+            return False
+        folder = f"layer-{uuid.uuid4().hex}"
+        rows = changes.select("phrase", F.lit(seq).cast("bigint").alias("seq"), "doc_count", "total_count")
+        rows.repartitionByRange("phrase").sortWithinPartitions("phrase").write.parquet(f"{self.root}/{folder}")
+        more = self.spark.read.schema(EXPORT_SCHEMA).parquet(f"{self.root}/{folder}").count()
+        if (now.layer_rows + more) * self.LAYER_SHARE > now.rows:
+            fs, path = file_system(self.spark, f"{self.root}/{folder}")
+            fs.delete(path, True)
+            return False
+        self._switch({**now.asDict(), "made": now.made + 1, "seq": seq, "layers": [*now.layers, folder], "layer_rows": now.layer_rows + more})
+        return True
+
+    def _checked(self, seq: int) -> Row:
+        now = self._newest()
+        if seq < now.seq:
+            raise ValueError(f"{self.root} stands at {now.seq}, {seq} is older; recreate it to start over")
+        return now
+
     def _write(self, rows: DataFrame, seq: int, made: int, mode: str) -> None:
         folder = f"version-{uuid.uuid4().hex}"
         rows.write.parquet(f"{self.root}/{folder}")
-        record = {"made": made, "seq": seq, "folder": folder}
+        written = self._base(folder).groupBy(F.col("_metadata.file_path").alias("file")).agg(
+            F.min("phrase").alias("low"), F.max("phrase").alias("high"), F.count("*").alias("rows"))
+        written.coalesce(1).write.json(f"{self.root}/{folder}-ranges")
+        total = self.ranges(folder).agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
+        self._switch({"made": made, "seq": seq, "folder": folder, "rows": total, "layers": [], "layer_rows": 0}, mode)
+
+    def _switch(self, record: dict, mode: str = "append") -> None:
         append_record(self.spark, f"{self.root}/published", record, self.VERSION_SCHEMA, mode)
 
     def _newest(self) -> Row:
         log = self.spark.read.schema(self.VERSION_SCHEMA).json(f"{self.root}/published")
-        return log.agg(F.max(F.struct("made", "seq", "folder")).alias("v")).first().v
+        return log.orderBy(F.desc("made")).first()
+
+    def _base(self, folder: str) -> DataFrame:
+        return self.spark.read.schema(COUNTS_SCHEMA).parquet(f"{self.root}/{folder}")
 
     def version(self) -> int:
         """The seq of the version in force."""
         return self._newest().seq
 
+    def ranges(self, folder: str | None = None) -> DataFrame:
+        """(file, low, high, rows) of each file of a base, of the one in force if none is named."""
+        folder = folder or self._newest().folder
+        return self.spark.read.schema(self.RANGE_SCHEMA).json(f"{self.root}/{folder}-ranges")
+
+    def _changed(self, now: Row) -> DataFrame:
+        """The newest totals of what the layers have. They hold a small share of the base, see apply()."""
+        rows = self.spark.read.schema(EXPORT_SCHEMA).parquet(*(f"{self.root}/{f}" for f in now.layers))
+        return newest_exports(rows)
+
+    @staticmethod
+    def _over(base: DataFrame, changed: DataFrame) -> DataFrame:
+        """The base with changed totals in place of its own. The base is streamed past the changes, or they come to it."""
+        return base.join(changed.select("phrase"), "phrase", "left_anti").unionByName(published_rows(changed))
+
     def scan(self) -> DataFrame:
         """(phrase, doc_count, total_count) of the version in force.
 
         Filters on `phrase` reach the files, whose row groups hold narrow ranges.
         """
-        return self.spark.read.schema(COUNTS_SCHEMA).parquet(f"{self.root}/{self._newest().folder}")
+        now = self._newest()
+        base = self._base(now.folder)
+        return self._over(base, self._changed(now)) if now.layers else base
+
+    def scan_ordered(self, prefix: str = "", after: str | None = None) -> DataFrame:
+        """scan() of the phrases that begin with a prefix and come after one, in their order.
+
+        The files are read in the order of their ranges, and only those whose range may have such
+        phrases; nothing is shuffled. Rows of layers are sorted into the file they belong to.
+        """
+        now = self._newest()
+        wanted = F.col("phrase").startswith(prefix) if prefix else F.lit(True)
+        wanted = wanted & (F.col("phrase") > after) if after is not None else wanted
+        files = self.ranges(now.folder).orderBy("low").collect()  # one row per file
+        # A phrase belongs to the last file that begins at or before it; to the first, if none does.
+        parts, ends = [], [f.low for f in files[1:]] + [None]
+        for k, (f, end) in enumerate(zip(files, ends, strict=True)):
+            if after is not None and end is not None and end.encode() <= after.encode():
+                continue
+            if prefix and (end is not None and end.encode() < prefix.encode() or k and f.low.encode() > prefix.encode() and not f.low.startswith(prefix)):
+                continue
+            part = self.spark.read.schema(COUNTS_SCHEMA).parquet(f.file).where(wanted)
+            if now.layers:
+                own = F.lit(True) if k == 0 else F.col("phrase") >= f.low
+                own = own & (F.col("phrase") < end) if end is not None else own
+                changed = self._changed(now).where(own & wanted)
+                part = self._over(part, changed).coalesce(1).sortWithinPartitions("phrase")
+            parts.append(part)
+        if not parts:
+            rest = self._changed(now).where(wanted) if now.layers and not files else None
+            return published_rows(rest).orderBy("phrase") if rest else self.spark.createDataFrame([], COUNTS_SCHEMA)
+        return reduce(DataFrame.union, parts)
 
     def lookup(self, requests: DataFrame) -> DataFrame:
         """Counts of the requested phrases, (0, 0) where there are none."""
@@ -96,15 +185,21 @@ class ExportSink:
         rows = exports.select("phrase", "seq", "doc_count", "total_count")
         rows.write.mode("overwrite").parquet(f"{self.root}/deliveries/delivery={delivery}")
 
+    def _has(self, name: str) -> bool:
+        fs, path = file_system(self.spark, f"{self.root}/{name}")
+        return fs.exists(path)
+
     def _folds(self) -> Row | None:
-        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.root}/folds")
-        if not path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+        if not self._has("folds"):
             return None
         log = self.spark.read.schema(self.FOLD_SCHEMA).json(f"{self.root}/folds")
         return log.orderBy(F.desc("made")).first()
 
     def _deliveries(self) -> DataFrame:
-        return self.spark.read.schema(EXPORT_SCHEMA + ", delivery bigint").parquet(f"{self.root}/deliveries")
+        schema = EXPORT_SCHEMA + ", delivery bigint"
+        if not self._has("deliveries"):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(f"{self.root}/deliveries")
 
     def newest(self) -> DataFrame:
         """The newest export of every phrase: the base and what came after it."""
@@ -117,13 +212,21 @@ class ExportSink:
         return newest_exports(rows.select(columns))
 
     def fold(self) -> None:
-        """Folds all deliveries so far into a new base. A delivery repeated later changes nothing by its sequence."""
+        """Folds all deliveries so far into a new base. A delivery repeated later changes nothing by its sequence.
+
+        Folders that the fold before took in are deleted: who reads since then does without them.
+        """
         base = self._folds()
         folder = f"base-{uuid.uuid4().hex}"
+        folded = base.deliveries if base else []
         done = [r.delivery for r in self._deliveries().select("delivery").distinct().collect()]
         self.newest().write.parquet(f"{self.root}/{folder}")
-        row = self.spark.createDataFrame([((base.made if base else 0) + 1, folder, done)], self.FOLD_SCHEMA)
+        still = sorted(set(done) - set(folded))
+        row = self.spark.createDataFrame([((base.made if base else 0) + 1, folder, still)], self.FOLD_SCHEMA)
         row.coalesce(1).write.mode("append").json(f"{self.root}/folds")
+        for name in folded:
+            fs, path = file_system(self.spark, f"{self.root}/deliveries/delivery={name}")
+            fs.delete(path, True)
 
     def scan(self) -> DataFrame:
         return published_rows(self.newest())

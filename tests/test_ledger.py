@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import random
+import shutil
+from collections import Counter
 
 import model
 import pytest
@@ -9,6 +11,7 @@ from pyspark.sql import functions as F
 from gramledger import Ledger, LedgerOptions
 from gramledger.operators.documents import current_docs, latest_by_uri, ref_counts, unique_docs
 from gramledger.plans import delta as D
+from gramledger.plans.combined import CombinedTable, most, sketched, summed
 from gramledger.sources.change_feed import change_feed, complete
 
 OPTIONS = LedgerOptions(buckets=2)
@@ -123,7 +126,7 @@ def test_folding_bounds_what_is_read(spark, feed, tmp_path):
             gone = ledger.vacuum()
             assert gone
     assert_like(ledger, want)
-    assert ledger._texts(ledger._position()).count() == len(want.texts)  # dead ones are left behind
+    assert ledger._base("text", ledger._position()).count() == len(want.texts)  # dead ones are left behind
     for name in ("write", "uri", "doc", "text", "phrase"):
         assert ledger._folders(f"{root}/{name}_log", lambda _: True) == []
     assert len(ledger._folders(f"{root}/phrase_base", lambda _: True)) == 1
@@ -133,6 +136,112 @@ def test_folding_bounds_what_is_read(spark, feed, tmp_path):
     assert_like(ledger, want)
 
 
+def test_vacuum_keeps_what_the_kept_batches_are_read_from(spark, feed, tmp_path):
+    root = str(tmp_path)
+    ledger, totals, bases = Ledger.create(spark, root, OPTIONS), [], []
+    for k in range(9):
+        ledger.load(feed([(f"u{k}", f"one two three four {'x ' * k}", k)]))
+        totals.append(k + 1)
+        if k % 3 == 2:
+            ledger.compact()
+            bases.append(k)
+    ledger.vacuum(keep_batches=4)
+    kept = {int(f.rsplit("version=", 1)[1].split("_")[0]) for f in ledger._folders(f"{root}/phrase_base", lambda _: True)}
+    assert kept == {2, 5, 8}  # batch 5 is read from the base at 5, batch 4 from the one at 2
+    for batch in (5, 6, 7, 8):
+        got = {r.phrase: r.doc_count for r in ledger.changed_values(batch).collect()}
+        assert got["one two three four"] == totals[batch]
+    ledger.vacuum(keep_batches=2)
+    for batch in (6, 7, 8):
+        assert {r.phrase: r.doc_count for r in ledger.changed_values(batch).collect()}["one two three four"] == totals[batch]
+    for batch in (0, 2, 4, 5):
+        with pytest.raises(ValueError, match="vacuum"):
+            ledger.changed_values(batch)
+    assert ledger.lookup_one("one two three four") == (9, 9)
+
+
+def test_a_missing_base_is_no_empty_one(spark, feed, tmp_path):
+    ledger = Ledger.create(spark, str(tmp_path), OPTIONS)
+    ledger.load(feed([("a", "one two three four", 0)]))
+    ledger.compact()
+    (folder,) = tmp_path.glob("phrase_base/*")
+    shutil.rmtree(folder)
+    with pytest.raises(FileNotFoundError):
+        ledger.phrase_counts()
+
+
+def test_compactions_at_one_batch_leave_each_other_alone(spark, feed, tmp_path):
+    ledger = Ledger.create(spark, str(tmp_path), OPTIONS)
+    ledger.load(feed([("a", "one two three four five", 0)]))
+    ledger.compact(buckets=4)
+    reading = ledger.phrase_counts()
+    ledger.compact(buckets=3)
+    ledger.compact(buckets=4)
+    assert reading.count() == ledger.phrase_counts().count() == 2
+
+
+def test_commit_rows_are_folded(spark, feed, tmp_path):
+    ledger, want = Ledger.create(spark, str(tmp_path), OPTIONS), model.Model()
+    for k, rows in enumerate(history(random.Random(9), 6)):
+        assert ledger.load(feed(rows), "s", k) == k
+        want.apply(rows)
+        if k in (1, 3):
+            ledger.compact()
+            assert len(list(tmp_path.glob("commits/*.json"))) == 0
+            assert len(list(tmp_path.glob("commits_folded/*"))) == 1
+            assert ledger.commits().count() <= 3 + k
+    assert_like(Ledger.open(spark, str(tmp_path)), want)
+    assert ledger.load(feed([("u0", "never to be seen at all", 99)]), "s", 3) == 3
+    assert ledger.load(feed([("u0", "never to be seen at all", 99)]), "s", 5) == 5
+    for batch in range(2, 6):
+        assert ledger.changed_values(batch).count() >= 0
+    assert_like(ledger, want)
+
+
+def test_counters_are_kept_and_show_a_lag(spark, feed, tmp_path):
+    ledger = Ledger.create(spark, str(tmp_path), OPTIONS)
+    assert tuple(ledger.corpus_stats().first()) == (0, 0, 0)
+    for k, rows in enumerate(history(random.Random(5), 4)):
+        ledger.load(feed(rows))
+        if k == 2:
+            ledger.compact()
+        assert tuple(ledger.corpus_stats().first()) == tuple(ledger.counted_stats().first())
+    uris, docs, done = ledger.corpus_stats().first()
+    assert docs == done
+    stopping = ledger.within(spark)
+    stopping._signed_texts = lambda *_: (_ for _ in ()).throw(InterruptedError())
+    late = feed([("new", "a text that nobody has seen", 1000), ("new", "a text that nobody saw", 1001)])
+    with pytest.raises(InterruptedError):
+        stopping.load(late)
+    assert tuple(ledger.corpus_stats().first()) == (uris + 1, docs + 1, docs)
+    assert ledger.lookup_one("a text that nobody") == (0, 0)
+    row = ledger.progress().orderBy(F.desc("batch_id")).first()
+    assert (row.batch_id, row.done, row.rows_read, row.born, row.gone, row.phrases, row.backlog) == (4, False, 2, 1, 0, None, 1)
+    assert ledger.load(late) == 4
+    assert tuple(ledger.corpus_stats().first()) == (uris + 1, docs + 1, docs + 1) == tuple(ledger.counted_stats().first())
+    row = ledger.progress().orderBy(F.desc("batch_id")).first()
+    assert (row.done, row.rows_read, row.phrases, row.backlog) == (True, 2, 2, 0)
+
+
+@pytest.mark.parametrize("few", [1000, 0])
+def test_texts_are_found_in_the_base_and_in_the_logs(spark, feed, tmp_path, monkeypatch, few):
+    """Documents die and come back before and after texts are folded, with few keys to look up and with many."""
+    monkeypatch.setattr("gramledger.plans.ledger.FEW_KEYS", few)
+    ledger, want = Ledger.create(spark, str(tmp_path), OPTIONS), model.Model()
+    for k, rows in enumerate(history(random.Random(11), 8)):
+        ledger.load(feed(rows))
+        want.apply(rows)
+        if k in (2, 5):
+            ledger.compact_texts()
+        if k == 3:
+            ledger.compact(buckets=3)
+        if k == 6:
+            ledger.compact()
+            ledger.compact_texts()
+            ledger.vacuum()
+    assert_like(ledger, want)
+
+
 def test_repeated_and_interrupted_batches(spark, feed, tmp_path):
     ledger, want = Ledger.create(spark, str(tmp_path), OPTIONS), model.Model()
     first = [("a", "one two three four five", 0), ("b", "one two three four", 1)]
@@ -282,3 +391,34 @@ def test_batch_operators_on_a_feed_with_repeats(spark, feed):
     assert docs == {("Two", 2), ("three", 1)}
     refs = {r.hash: r.ref_count for r in ref_counts(latest_by_uri(feed(rows))).collect()}
     assert refs == {model.digest("two"): 2, model.digest("three"): 1}
+
+
+def test_combiners_with_and_without_undo(spark, feed, tmp_path):
+    ledger, want = Ledger.create(spark, str(tmp_path / "ledger"), OPTIONS), model.Model()
+    values = CombinedTable(ledger, str(tmp_path / "values"), [
+        summed("total", lambda: F.col("n")), most("most", lambda: F.col("n")), sketched("about", lambda: F.col("hash"))])
+
+    def expected():
+        out = {}
+        for text in want.texts.values():
+            for phrase, n in Counter(model.phrases(text)).items():
+                d, total, most_, _ = out.get(phrase, (0, 0, 0, 0))
+                out[phrase] = (d + 1, total + n, max(most_, n), d + 1)
+        return out
+
+    for k, rows in enumerate(history(random.Random(21), 6)):
+        ledger.load(feed(rows))
+        want.apply(rows)
+        if k != 3:  # then two batches at a time
+            assert values.advance() == k == values.batch()
+            assert {r.phrase: tuple(r)[1:] for r in values.read().collect()} == expected()
+        if k == 4:
+            ledger.compact()
+    assert values.advance() == 5
+    ledger.load(feed([("u0", "quite another text this time", 999)]))
+    ledger.compact_texts()
+    with pytest.raises(ValueError, match="not kept"):
+        values.advance()
+    want.apply([("u0", "quite another text this time", 999)])
+    values.rebuild()
+    assert {r.phrase: tuple(r)[1:] for r in values.read().collect()} == expected()

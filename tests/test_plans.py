@@ -103,7 +103,7 @@ def test_small_batch_is_broadcast_past_the_base(ledger):
 
 def test_point_lookup_reads_one_bucket_with_a_pushed_filter(ledger):
     at = ledger._position()
-    text = plan(ledger._base("phrase", at.base, at.buckets).where(F.col("phrase") == "a b c d"), "formatted")
+    text = plan(ledger._base("phrase", at).where(F.col("phrase") == "a b c d"), "formatted")
     assert "PushedFilters: [IsNotNull(phrase), EqualTo(phrase,a b c d)]" in text
 
 
@@ -140,3 +140,80 @@ def test_changes_move_no_text(spark):
     for line in text.splitlines():
         if "Aggregate" in line:
             assert "content" not in line
+
+
+def wide_ledger(spark, folder, buckets=8):
+    """Texts folded into a base, a batch behind it."""
+    ledger = Ledger.create(spark, str(folder), LedgerOptions(buckets=buckets))
+    feed = "uri string, content string, seq bigint"
+    ledger.load(spark.createDataFrame([(f"u{i}", f"the text of document number {i}", 0) for i in range(300)], feed))
+    ledger.compact()
+    ledger.compact_texts()
+    ledger.load(spark.createDataFrame([("u7", "now another text is here", 1)], feed))
+    return ledger
+
+
+def test_one_retracted_document_opens_one_bucket_of_the_texts(spark, tmp_path):
+    ledger = wide_ledger(spark, tmp_path)
+    moved = ledger._log("doc", 0, 1)
+    assert moved.where("multiplier = -1").count() == 1
+    text = plan(ledger._signed_texts(ledger._log("text", 0, 1), moved, 1, ledger._position()), "formatted")
+    assert re.search(r"PushedFilters: \[[^\n]*EqualTo\(hash,", text)
+    gone = moved.where("multiplier = -1").first().hash
+    base = ledger._base("text", ledger._position()).where(F.col("hash").isin([gone]))
+    scan = base._jdf.queryExecution().executedPlan().collectLeaves().head()
+    assert sum(len(part.files()) for part in scan.inputRDD().getPartitions()) == 1  # of 8
+    assert base.count() == 1
+
+
+def test_folded_texts_stay_in_their_buckets(spark, tmp_path, no_broadcast):
+    ledger = wide_ledger(spark, tmp_path)
+    moved = ledger._log("doc", 0, 1)
+    for rows in (ledger.documents(), ledger._live_texts(ledger._position()), ledger._base_texts(moved, ledger._position())):
+        lines = plan(rows).splitlines()
+        base = next(i for i, line in enumerate(lines) if "Bucketed: true" in line and "content" in line)
+        above = [line for line in lines[:base] if re.search(r"Exchange|Sort ", line)]
+        indent = len(lines[base]) - len(lines[base].lstrip(" :+-"))
+        # An operator stands above another if it is less indented and nothing in between is as little.
+        depth, moved_ = indent, []
+        for line in reversed(lines[:base]):
+            own = len(line) - len(line.lstrip(" :+-"))
+            if own < depth:
+                depth = own
+                moved_ += [line] if line in above and "Join" not in line else []
+                if "Join" in line:
+                    break
+        assert moved_ == []
+
+
+def test_phrases_and_texts_are_written_with_bloom_filters(spark, tmp_path):
+    """A look-up over many logs opens the footers, and of the row groups few."""
+    ledger = Ledger.create(spark, str(tmp_path), LedgerOptions(buckets=2))
+    feed = "uri string, content string, seq bigint"
+    for k in range(50):
+        ledger.load(spark.createDataFrame([(f"u{k}", f"aa bb cc dd{k} and zz yy xx ww", k)], feed))
+    at = ledger._position()
+    here = ledger._log("phrase", at.base, at.last).where(F.col("phrase") == "bb cc dd17 and")
+    assert [r.batch_id for r in here.collect()] == [17]
+    found = here._jdf.queryExecution().executedPlan()
+    scan = found.collectLeaves().head()
+    rows = here.sparkSession._jvm.scala.jdk.javaapi.CollectionConverters.asJava(scan.metrics())["numOutputRows"].value()
+    assert rows < 10 * 6  # without the filter all 50 logs would be read, 6 rows each
+
+
+def test_ordered_scan_shuffles_nothing_and_opens_few_files(spark, tmp_path):
+    from gramledger.sinks.query_table import QueryTable
+
+    table = QueryTable(spark, str(tmp_path)).recreate()
+    rows = spark.range(4000).select(F.format_string("p%05d", "id").alias("phrase"), F.lit(1).cast("bigint").alias("doc_count"), F.col("id").alias("total_count"))
+    table.publish(rows, 0, files=16)
+    assert "Exchange" not in plan(C.report(table.scan_ordered(), in_order=True))
+    assert plan(table.scan_ordered()).count("FileScan") == 16
+    assert plan(table.scan_ordered("p012", "p01234")).count("FileScan") <= 2
+    assert [r.total_count for r in table.scan_ordered("p012", "p01234").collect()] == list(range(1235, 1300))
+    assert [r.total_count for r in table.scan_ordered().collect()] == list(range(4000))
+    changes = [("a first", 1, -1), ("p01236", 0, 0), ("p01237", 9, 99), ("p01237x", 1, 7), ("z last", 1, -2)]
+    assert table.apply(spark.createDataFrame(changes, "phrase string, doc_count bigint, total_count bigint"), 1)
+    assert [r.total_count for r in table.scan_ordered("p012", "p01234").collect()] == [1235, 99, 7, *range(1238, 1300)]
+    assert [r.total_count for r in table.scan_ordered().collect()] == [-1, *range(1236), 99, 7, *range(1238, 4000), -2]
+    assert [r.phrase for r in table.scan_ordered(after="p03998").collect()] == ["p03999", "z last"]

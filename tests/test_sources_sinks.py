@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import os
 import random
 
 import pytest
@@ -8,8 +9,10 @@ from pyspark.sql import functions as F
 from gramledger import Ledger, LedgerOptions
 from gramledger.__main__ import main
 from gramledger.operators.counts import combine, newest_exports, published_rows, report, stats_report
+from gramledger.sinks.outside import OutsideStore, Store
 from gramledger.sinks.query_table import ExportSink, QueryTable
-from gramledger.sources.text_directory import read_text_directory, stream_text_directory
+from gramledger.sources.changes import stream_changes
+from gramledger.sources.text_directory import Folder, FolderStream, read_text_directory, stream_text_directory
 from gramledger.streaming.stream import drain, lag, start_stream
 
 OPTIONS = LedgerOptions(buckets=2)
@@ -170,6 +173,139 @@ def test_stream_of_a_directory_catches_up_and_restarts(spark, tmp_path):
     assert seen == sorted(seen) and seen
 
 
+def test_stream_of_a_directory_sees_edits_and_empty_files(spark, tmp_path):
+    folder = tmp_path / "texts"
+    make_texts(folder)
+    ledger = Ledger.create(spark, str(tmp_path / "ledger"), OPTIONS)
+
+    def run():
+        drain(start_stream(ledger, stream_text_directory(spark, str(folder)), str(tmp_path / "checkpoint"), "texts"))
+        return ledger.commits().where("batch_id >= 0").count()
+
+    batches = run()
+    assert ledger.lookup_one("two three four five") == (1, 1)
+    assert ledger.corpus_stats().first().uris == 3
+    assert run() == batches  # nothing new, no batch
+    (folder / "a.txt").write_text("something else is here now")
+    run()
+    assert ledger.lookup_one("two three four five") == (0, 0)
+    assert ledger.lookup_one("something else is here") == (1, 1)
+    (folder / "a.txt").write_text("")
+    (folder / "late.txt").write_text("")
+    run()
+    assert ledger.lookup_one("something else is here") == (0, 0)
+    assert tuple(ledger.corpus_stats().first()) == (4, 2, 2)
+
+
+def test_files_of_one_time_are_all_seen(spark, tmp_path):
+    """A file that gets the very time another one had, after that was read."""
+    (tmp_path / "b.txt").write_text("b")
+    os.utime(tmp_path / "b.txt", ns=(10**18, 10**18))
+    stream = FolderStream(Folder({"path": str(tmp_path)}), None)
+    first = stream.initialOffset()
+    second = stream.latestOffset()
+    for name in ("a.txt", "c.txt"):
+        (tmp_path / name).write_text(name)
+        os.utime(tmp_path / name, ns=(10**18, 10**18))
+    again = FolderStream(Folder({"path": str(tmp_path)}), None)
+    shares = again.partitions(second, third := again.latestOffset())
+    got = sorted(c for s in shares for rows in again.read(s) for c in rows.column(1).to_pylist())
+    assert got == ["a.txt", "c.txt"]
+    assert again.latestOffset() == third
+    assert sorted(c for s in again.partitions(first, second) for rows in again.read(s) for c in rows.column(1).to_pylist()) == ["b"]
+    few = FolderStream(Folder({"path": str(tmp_path)}), 2)
+    places = [few.initialOffset()]
+    while (at := few.latestOffset()) != places[-1]:
+        places.append(at)
+    read = [sorted(c for s in few.partitions(x, y) for rows in few.read(s) for c in rows.column(1).to_pylist()) for x, y in zip(places, places[1:])]
+    assert read == [["a.txt", "b"], ["c.txt"]]
+
+
+def test_changes_as_a_stream_and_to_a_store_outside(spark, feed, tmp_path):
+    ledger = Ledger.create(spark, str(tmp_path / "ledger"), OPTIONS)
+    store = OutsideStore(spark, str(tmp_path / "store"))
+
+    late = OutsideStore(spark, str(tmp_path / "late"))
+
+    def run(store=store, checkpoint="checkpoint"):
+        drain(store.stream(stream_changes(spark, ledger.root), str(tmp_path / checkpoint)))
+        return len(list((tmp_path / "store" / "deliveries").glob("*.json")))
+
+    texts = ["one two three four", "two three four five", "three four five six"]
+    for k, text in enumerate(texts):
+        ledger.store_values(ledger.load(feed([("a", text, k)])))
+    assert run() == 1
+    assert run() == 1
+    run(late, "late checkpoint")
+    assert list(map(tuple, store.scan().collect())) == [("three four five six", 1, 1)]
+    assert store.newest().count() == 3
+    ledger.store_values(ledger.load(feed([("a", "one two three four", 9)])))
+    ledger.store_values(3)  # again: nothing happens
+    ledger.compact()
+    ledger.load(feed([("a", "not stored yet at all", 10)]))
+    assert run() == 2
+    assert list(map(tuple, store.scan().collect())) == [("one two three four", 1, 1)]
+    with pytest.raises(ValueError, match="not the next"):
+        ledger.store_values(ledger.load(feed([("a", "one more text is here", 11)])))
+    ledger.vacuum()
+    with pytest.raises(Exception, match="value_log/batch_id=3"):  # it has not read that one, and must not go on as if it had
+        run(late, "late checkpoint")
+    run(OutsideStore(spark, str(tmp_path / "new")), "new checkpoint")  # begins behind what there was
+
+
+def test_a_delivery_is_seen_whole_or_not_at_all(spark, tmp_path):
+    store = OutsideStore(spark, str(tmp_path / "store"))
+    rows = [(f"p{i}", 1, i + 1, i + 1) for i in range(100)]
+    store.apply(exports(spark, rows).repartition(4), 0)
+    assert store.scan().count() == 100
+    broken = exports(spark, rows).repartition(4).withColumn("doc_count", F.when(F.col("phrase") == "p50", F.raise_error(F.lit("lost"))).otherwise(F.lit(7)).cast("bigint"))
+    with pytest.raises(Exception, match="lost"):
+        store.apply(broken.withColumn("seq", F.lit(2).cast("bigint")), 1)
+    assert sorted(map(tuple, store.newest().collect())) == sorted(rows)
+    store.apply(exports(spark, rows[:10]), 0)  # a repeat replaces what it delivered before
+    assert store.scan().count() == 10
+    assert set(Store(store.root).parts()) <= {f.name for f in (tmp_path / "store" / "parts").iterdir()}
+
+
+def test_small_changes_are_published_as_layers(spark, feed, tmp_path):
+    ledger = Ledger.create(spark, str(tmp_path / "ledger"), OPTIONS)
+    table = QueryTable(spark, str(tmp_path / "table")).recreate()
+    ledger.load(feed([(f"u{i}", f"text number {i} of many others", 0) for i in range(200)]))
+    ledger.publish(table, files=4)
+    before, files = table.scan(), set((tmp_path / "table").glob("version-*/*.parquet"))
+    for k in range(3):
+        ledger.load(feed([(f"u{k}", f"now {k} is another one", k + 1), ("u9", f"the ninth is at {k}", k + 1)]))
+        assert ledger.publish(table) == k + 1 == table.version()
+        assert sorted(map(tuple, table.scan().collect())) == sorted(map(tuple, ledger.phrase_counts().collect()))
+        assert [r.phrase for r in table.scan_ordered().collect()] == sorted(r.phrase for r in ledger.phrase_counts().collect())
+    assert set((tmp_path / "table").glob("version-*/*.parquet")) == files  # not one of them written anew
+    assert len(list((tmp_path / "table").glob("layer-*"))) == 3
+    assert ledger.publish(table) == 3 and len(list((tmp_path / "table").glob("layer-*"))) == 3
+    wanted = spark.createDataFrame([("the ninth is at",), ("text number 9 of",), ("text number 10 of",)], "phrase string")
+    assert sorted(map(tuple, table.lookup(wanted).collect())) == [("text number 10 of", 1, 1), ("text number 9 of", 0, 0), ("the ninth is at", 1, 1)]
+    assert before.count() == 2 * 200 + 200  # 'text number i of', 'number i of many', 'i of many others'
+    ledger.load(feed([(f"u{i}", f"all of it is new, {i}", 50) for i in range(200)]))
+    ledger.publish(table)  # too much for a layer
+    assert sorted(map(tuple, table.scan().collect())) == sorted(map(tuple, ledger.phrase_counts().collect()))
+    assert len(set((tmp_path / "table").glob("version-*"))) > 2
+    ledger.load(feed([("u0", "and a small one again", 60)]))
+    ledger.compact()
+    ledger.vacuum()
+    ledger.publish(table)  # the logs since then are gone
+    assert sorted(map(tuple, table.scan().collect())) == sorted(map(tuple, ledger.phrase_counts().collect()))
+
+
+def test_sink_before_its_first_delivery(spark, tmp_path):
+    sink = ExportSink(spark, str(tmp_path))
+    assert sink.scan().collect() == []
+    for k in range(4):
+        sink.apply(exports(spark, [("p", k, k, k)]), k)
+        sink.fold()
+    assert sorted(f.name for f in (tmp_path / "deliveries").glob("delivery=*")) == ["delivery=3"]
+    sink.apply(exports(spark, [("p", 0, 5, 5)]), 0)  # a late repeat of what was folded and deleted
+    assert list(map(tuple, sink.scan().collect())) == [("p", 3, 3)]
+
+
 def test_command_line(spark, tmp_path, capsys, monkeypatch):
     monkeypatch.setattr("gramledger.__main__.build_session", lambda **_: spark)
     make_texts(tmp_path / "texts")
