@@ -82,6 +82,12 @@ def main() -> None:
         timed("ledger_lookup_many", lambda: drain(ledger.lookup(wanted)))
         timed("ledger_publish", lambda: ledger.publish(table))
         timed("phrase_table_scan", lambda: drain(table.scan()))
+        timed("phrase_table_ordered", lambda: drain(table.scan_ordered()))
+        timed("ledger_compact_texts", lambda: ledger.compact_texts())
+        again = small.withColumn("seq", F.col("seq") + 10).withColumn("content", F.concat("content", F.lit(" more")))
+        timed("ledger_small_load_on_folded_texts", lambda: ledger.load(again))
+        timed("ledger_publish_small", lambda: ledger.publish(table))
+        timed("phrase_table_layered_scan", lambda: drain(table.scan()))
 
     print(
         json.dumps(
