@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gramledger.llm.text import WORD_BYTES, WordHashes, batch, hashes_of, mixed, stored, utf8
+from gramledger.llm.text import WORD_BYTES, WordHashes, batch, forget, hashes_of, mixed, stored, utf8
 
 SHINGLE = 5
 SIMILARITY = 75  # per cent
@@ -41,6 +41,7 @@ LOWEST = sum(1 << k for k in range(0, 64, BITS))  # the lowest bit of each minim
 SMALL_PART = 100_000  # rows of a few numbers that one task writes
 BLOCK = 2048  # members of a group compared at a time with as many
 BLOCK_SHINGLES = 1 << 20  # and shingles, about, where full sets are compared
+SENT_IDS = 1 << 22  # ids that are sent to all tasks at most: some 100 MB
 
 _random = np.random.default_rng(20240229)
 FACTORS = _random.integers(1, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -156,14 +157,16 @@ def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, repeated: b
     common = F.size(F.array_intersect("xa", "xb"))
     both = likely.join(sets.toDF("a", "da", "xa"), ["a", "da"]).join(sets.toDF("b", "db", "xb"), ["b", "db"])
     linked = 100 * common >= SIMILARITY * (F.col("na") + F.col("nb") - common)
-    return stored(both.groupBy("a", "b").agg(F.max(linked).alias("linked")), "confirmed", parts)
+    out = stored(both.groupBy("a", "b").agg(F.max(linked).alias("linked")), "confirmed", parts)
+    forget(likely, sets)
+    return out
 
 
 # -- components -----------------------------------------------------------------
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(node, component) of the nodes of edges (a, b); a component is known by its smallest node."""
+    """(node, component) of the nodes of edges (a, b), stored; a component is known by its smallest node."""
     edges = stored(_falling(edges.select("a", "b")), "edges")
     # Stars never have more edges than there were: their number says how many files they fill.
     parts = edges.count() // SMALL_PART + 1
@@ -173,16 +176,20 @@ def components(edges: DataFrame) -> DataFrame:
         least = stored(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), "least", parts)
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = stored(_falling(large), "large-star", parts)
+        forget(edges, least)
         least = stored(large.groupBy("a").agg(F.min("b").alias("m")), "least", parts)
         small = large.join(least, "a").select(F.explode(F.array(F.struct("a", "m"), F.struct(F.col("b").alias("a"), "m"))).alias("e"))
         edges = stored(_falling(small.select(F.col("e.a").alias("a"), F.col("e.m").alias("b"))), "edges", parts)
+        forget(large, least)
         # Done when every edge leads from a node to a root: a node with one edge, to one that has none.
         ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("out")).unionByName(
             edges.select(F.col("b").alias("node"), F.lit(0).alias("out")).distinct())
         if ends.groupBy("node").agg(F.count("*").alias("m")).where("m > 1").isEmpty():
             break
     roots = edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
-    return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots)
+    out = stored(edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots), "components", parts)
+    forget(edges)
+    return out
 
 
 def _falling(edges: DataFrame) -> DataFrame:
@@ -222,12 +229,12 @@ def group_rows(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Tabl
         yield pa.Table.from_batches(rest)
 
 
-def in_blocks(rows: DataFrame, key: str, block: int, block_shingles: int, parts: int) -> DataFrame:
+def in_blocks(rows: DataFrame, key: str, block: int, block_shingles: int, parts: int) -> tuple[DataFrame, DataFrame]:
     """Rows of groups with several components, dealt out so that any two that differ in it meet in one (key, low, high).
 
     Members of the group's largest component go to blocks of their own, which meet the
     blocks of the others but not each other: work grows with the others times all.
-    part says which of the two blocks a row is in.
+    part says which of the two blocks a row is in. The second table is what they are dealt by.
     """
     sizes = rows.groupBy(key, "component").agg(F.count("*").alias("m"), F.sum("n").alias("w"))
     largest = F.max(F.struct("m", "component", "w")).alias("top")
@@ -247,7 +254,7 @@ def in_blocks(rows: DataFrame, key: str, block: int, block_shingles: int, parts:
     dealt = dealt.withColumn("part", part).withColumn("meets", F.explode(F.sequence(F.lit(0), last)))
     dealt = dealt.withColumn("low", F.least("part", "meets")).withColumn("high", F.greatest("part", "meets"))
     dealt = dealt.select(key, "low", "high", "part", *[c for c in rows.columns if c != key])
-    return dealt.repartition(key, "low", "high").sortWithinPartitions(key, "low", "high")
+    return dealt.repartition(key, "low", "high").sortWithinPartitions(key, "low", "high"), groups
 
 
 def sides(group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
@@ -348,8 +355,10 @@ def open_links(members: DataFrame, classes: DataFrame, labels: DataFrame, docs:
     mixed_ = now.groupBy("key").agg(F.min("component").alias("c"), F.max("component").alias("d")).where("c <> d").select("key")
     rows = now.join(mixed_, "key").join(classes.select("rep", F.col("n_shingles").alias("n"), "signature"), "rep")
     rows = stored(rows.select("key", "rep", "component", "n", "signature"), "open-members", parts)
-    pairs = stored(by_group(block_clusters, in_blocks(rows, "key", BLOCK, 1 << 62, parts)), "open-pairs", parts)
-    clusters = stored(components(pairs), "clusters", parts)
+    dealt, groups = in_blocks(rows, "key", BLOCK, 1 << 62, parts)
+    pairs = stored(by_group(block_clusters, dealt), "open-pairs", parts)
+    forget(rows, groups)
+    clusters = components(pairs)
     inside = (
         clusters.toDF("node", "cluster").join(labels.toDF("node", "component"), "node", "left")
         .select("node", "cluster", F.coalesce("component", "node").alias("component"))
@@ -358,8 +367,10 @@ def open_links(members: DataFrame, classes: DataFrame, labels: DataFrame, docs:
     sets = sets_of(docs, inside.select("rep").distinct(), repeated)
     rows = inside.join(sets.toDF("rep", "digest", "shingles"), ["rep", "digest"])
     rows = stored(rows.select("cluster", "rep", "component", F.size("shingles").cast("bigint").alias("n"), "shingles"), "clustered")
-    dealt = in_blocks(rows, "cluster", BLOCK, BLOCK_SHINGLES, parts)
-    return stored(by_group(block_links, dealt), "open-links", parts)
+    dealt, groups = in_blocks(rows, "cluster", BLOCK, BLOCK_SHINGLES, parts)
+    out = stored(by_group(block_links, dealt), "open-links", parts)
+    forget(pairs, clusters, rows, groups)
+    return out
 
 
 # -- all of it ------------------------------------------------------------------
@@ -403,14 +414,16 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     same = _same_document(repeated.where("d <> e"), real, classes)
 
     first = members.where("rep <> hub").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()
-    links = confirmed(first, classes, docs, again, parts).where("linked").select("a", "b").unionByName(same)
-    labels = stored(components(links), "labels", parts)
-    links = links.unionByName(open_links(members, classes, labels, docs, again, parts))
-    labels = stored(components(links), "labels", parts)
+    near = confirmed(first, classes, docs, again, parts)
+    links = near.where("linked").select("a", "b").unionByName(same)
+    early = components(links)
+    late = open_links(members, classes, early, docs, again, parts)
+    labels = components(links.unionByName(late))
     named = stored(
         classes.join(labels, classes.rep == labels.node, "left").select("digest", F.coalesce("component", "rep").alias("component")),
-        "components", parts,
+        "named", parts,
     )
+    forget(classes, hubs, members, repeated, same, near, early, late, labels)
     whole = sketch.join(named, "digest", "left")
     linked = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
     component = F.when(linked, F.col("component")).otherwise(F.col("doc_id"))
@@ -426,8 +439,10 @@ def _same_document(ids: DataFrame, real: DataFrame, classes: DataFrame) -> DataF
 def drop_near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """docs with one document of each group left, the one with the smallest doc_id, and one row of each doc_id."""
     groups = stored(near_duplicates(docs, doc_id=doc_id, text=text), "near-duplicates")
-    gone = groups.where("NOT kept").select(F.col("doc_id").alias("__gone")).distinct()
-    left = docs.join(gone, docs[doc_id] == gone["__gone"], "left_anti")
+    gone = stored(groups.where("NOT kept").select(F.col("doc_id").alias("__gone")).distinct(), "dropped-ids")
+    # The texts stay where they are while the ids are few enough, by count, for every task to have them.
+    sent = F.broadcast(gone) if gone.count() <= SENT_IDS else gone
+    left = docs.join(sent, docs[doc_id] == sent["__gone"], "left_anti")
     again = groups.where("kept AND doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1")
     again = stored(again.select(F.col("doc_id").alias("__again")), "repeated-ids")
     if again.isEmpty():

@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gramledger.session import new_folder
+from gramledger.session import file_system, new_folder
 
 UPPER, LOWER = bytes(range(65, 91)), bytes(range(97, 123))
 
@@ -27,6 +27,7 @@ TERM_BYTES = bytes(
 WORD_BYTES = bytes(b + 32 if 65 <= b <= 90 else 32 if b == 32 or 9 <= b <= 13 else b for b in range(256))
 
 CHUNK = 1 << 22
+SENT_ROWS = 1 << 22  # rejected rows, of an id and a hash, that are sent to all tasks at most: some 150 MB
 CACHED_WORDS = 1 << 18
 
 
@@ -95,4 +96,25 @@ def stored(df: DataFrame, purpose: str, parts: int | None = None) -> DataFrame:
     """
     folder = new_folder(df.sparkSession, purpose)
     (df.coalesce(parts) if parts else df).write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+    out = df.sparkSession.read.schema(df.schema).parquet(folder)
+    out.stored_in = folder
+    return out
+
+
+def without_rows(docs: DataFrame, rejected: DataFrame, *keys: Column) -> DataFrame:
+    """docs without the rows whose keys are those of a rejected row, column by column; null equals null.
+
+    The keys say all that the verdict depends on, so that each row is judged by what it holds itself.
+    The texts stay where they are while the rejected are few enough, by count, for every task to have them.
+    """
+    names = [f"__rejected_{k}" for k in range(len(keys))]
+    rejected = stored(rejected.toDF(*names).distinct(), "rejected")
+    sent = F.broadcast(rejected) if rejected.count() <= SENT_ROWS else rejected
+    return docs.join(sent, [key.eqNullSafe(F.col(name)) for key, name in zip(keys, names, strict=True)], "left_anti")
+
+
+def forget(*tables: DataFrame) -> None:
+    """Deletes tables that stored() has written, once all that reads them is stored itself."""
+    for table in tables:
+        fs, path = file_system(table.sparkSession, table.stored_in)
+        fs.delete(path, True)
