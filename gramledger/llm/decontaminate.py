@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gramledger.llm.text import TERM_BYTES, batch, split_words, stored, utf8
+from gramledger.llm.text import TERM_BYTES, batch, split_words, stored, utf8, without_rows
 
 WINDOW = 13
 SHARD_WORDS = 1 << 21
@@ -312,14 +312,15 @@ def judged(found: DataFrame) -> DataFrame:
     )
 
 
-def remove_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """docs without the contaminated documents. Rows that share the doc_id of one go with it; a null doc_id stays."""
-    doc_id = options.get("doc_id", "doc_id")
-    bad = judged(find_matches(docs, benchmark, **options)).where("contaminated").select("doc_id").distinct()
-    bad = stored(bad.where(F.col("doc_id").isNotNull()), "contaminated").withColumnRenamed("doc_id", "__bad")
-    return docs.join(bad, docs[doc_id] == bad["__bad"], "left_anti")
-
+def remove_contaminated(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """docs without the contaminated rows. Rows that share a doc_id, or have none, are judged each for itself.
 
+    Rows are told apart by 64 bits of a hash of id and text. Options as for find_matches().
+    """
+    key = F.xxhash64(F.col(doc_id), F.col(text))
+    rows = docs.select(key.alias("key"), F.col(text).alias("text"))
+    bad = judged(find_matches(rows, benchmark, doc_id="key", text="text", **options)).where("contaminated")
+    return without_rows(docs, bad.select("doc_id"), key)
 
 
 def oracle_sql(docs: str = "documents", benchmark: str = "benchmark", window: int = WINDOW) -> str:

@@ -17,7 +17,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gramledger.llm.text import stored
+from gramledger.llm.text import stored, without_rows
 
 WINDOW = 5
 LEAST_WORDS = 10
@@ -185,10 +185,11 @@ def judge(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", lang:
 
 
 def keep_good(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
-    """docs without those judge() does not keep. Rows that share the doc_id of one go with it; a null doc_id stays."""
-    bad = judge(docs, doc_id=doc_id, text=text, lang=lang).where("NOT kept AND doc_id IS NOT NULL")
-    bad = stored(bad.select(F.col("doc_id").alias("__bad")).distinct(), "quality-rejected")
-    return docs.join(bad, docs[doc_id] == bad["__bad"], "left_anti")
+    """docs without the rows judge() does not keep. Rows that share a doc_id, or have none, are judged each for itself."""
+    key = F.xxhash64(F.col(text), F.col(lang))
+    rows = docs.select(F.struct(F.col(doc_id).alias("id"), key.alias("key")).alias("row"), F.col(text).alias("text"), F.col(lang).alias("lang"))
+    bad = judge(rows, doc_id="row", text="text", lang="lang").where("NOT kept").select("doc_id.id", "doc_id.key")
+    return without_rows(docs, bad, F.col(doc_id), key)
 
 
 def oracle_sql(table: str = "documents") -> str:

@@ -62,3 +62,15 @@ def test_odd_rows_pass_through(spark, messy, tmp_path):
     got = corpus_pipeline.run(spark, str(tmp_path)).collect()
     left = [r.doc_id for r in got]
     assert len([i for i in left if i is not None]) == len({i for i in left if i is not None})
+
+
+def test_filters_judge_rows_and_not_ids(spark):
+    """A bad row and a good one of the same id, and of none."""
+    words = ["alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau upsilon"]
+    good, bad = words[0], "one two three four five six seven"
+    rows = [(1, good, "en"), (1, bad, "en"), (2, bad, "en"), (None, good, "en"), (None, bad, None), (3, None, "en"), (4, good, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    assert sorted(map(str, map(tuple, quality.keep_good(docs).collect()))) == sorted(str(r) for r in rows if r[1] == good)
+    benchmark = spark.createDataFrame([(1, bad)], "item_id bigint, text string")
+    left = decontaminate.remove_contaminated(docs, benchmark).collect()
+    assert sorted(map(str, map(tuple, left))) == sorted(str(r) for r in rows if r[1] != bad)
