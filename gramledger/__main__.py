@@ -25,7 +25,7 @@ def parser() -> argparse.ArgumentParser:
         return sub
 
     sub = command("setup", "create an empty ledger")
-    sub.add_argument("--buckets", type=int, default=LedgerOptions.buckets)
+    sub.add_argument("--buckets", type=int, help="files per compacted table; default: as many as shuffle partitions")
     sub.add_argument("--phrase-length", type=int, default=LedgerOptions.phrase_length)
     sub = command("load", "load the *.txt files of a folder")
     sub.add_argument("folder")
@@ -49,9 +49,8 @@ def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
     spark = build_session(master=args.master)
     if args.command == "setup":
-        Ledger.create(
-            spark, args.ledger, LedgerOptions(phrase_length=args.phrase_length, buckets=args.buckets)
-        )
+        buckets = args.buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        Ledger.create(spark, args.ledger, LedgerOptions(phrase_length=args.phrase_length, buckets=buckets))
         return
     ledger = Ledger.open(spark, args.ledger)
     if args.command == "load":

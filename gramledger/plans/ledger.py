@@ -67,8 +67,11 @@ class Ledger:
 
     @classmethod
     def create(cls, spark: SparkSession, root: str, options: LedgerOptions | None = None) -> Ledger:
-        """A new, empty ledger; one that was there before is no longer visible."""
-        ledger = cls(spark, root, options or LedgerOptions())
+        """A new, empty ledger; one that was there before is no longer visible.
+
+        Without options it has as many buckets as the session has shuffle partitions.
+        """
+        ledger = cls(spark, root, options or LedgerOptions(buckets=int(spark.conf.get("spark.sql.shuffle.partitions"))))
         ledger._commits.add({**ledger._record(), "made": 0}, "overwrite")
         return ledger
 

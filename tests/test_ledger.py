@@ -350,6 +350,11 @@ def test_other_tokenizer_version_is_refused(spark, tmp_path):
         Ledger.open(spark, str(tmp_path))
 
 
+def test_buckets_follow_the_session(spark, tmp_path):
+    Ledger.create(spark, str(tmp_path))
+    assert Ledger.open(spark, str(tmp_path)).options.buckets == int(spark.conf.get("spark.sql.shuffle.partitions")) == 2
+
+
 def test_phrase_length_option(spark, feed, tmp_path):
     ledger = Ledger.create(spark, str(tmp_path), LedgerOptions(buckets=2, phrase_length=2))
     ledger.load(feed([("a", "x y x y", 0)]))
