@@ -1,9 +1,11 @@
 """SentencePiece BPE by a score-ordered agenda, checked against the library.
 
-A text becomes one symbol per character; the agenda holds every pair of neighbours
-that together are a piece, best score first and then leftmost; the best pair is
-merged and its new neighbours join the agenda, until none is left. Symbols that are
-no piece become byte pieces.
+A text becomes one symbol per character, a symbol being a number; the agenda holds every
+pair of neighbours that together are a piece, best score first and then leftmost; the best
+pair is merged and its new neighbours join the agenda, until none is left. Symbols that are
+no piece become byte pieces. The agendas of short stretches are the rows of an array, with a
+place for each pair of neighbours; the best pair of every row is merged at a time. That of a
+long stretch is a heap.
 
 Merges never reach across a place where no piece could: before a word marker that
 follows another character, and around a character that is in no longer piece. Texts
@@ -20,8 +22,8 @@ import re
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
-from operator import add
 
+import numpy as np
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
@@ -32,6 +34,8 @@ from gramledger.llm.text import batch, utf8
 MARK = "▁"  # stands for a space
 REMEMBERED = 1 << 19  # a worker remembers up to twice as many stretches
 REMEMBERED_LENGTH = 64
+WIDTHS = (4, 8, 12, 16, 24, 32)  # symbols to a row of agendas; longer stretches have heaps
+ROWS = 1 << 14  # agendas in one array
 SLICE = 256
 
 
@@ -47,88 +51,186 @@ class Vocabulary:
         self.bytes = {int(sp.id_to_piece(i)[1:-1], 16): i for i in range(n) if sp.is_byte(i)}
         usual = [i for i in range(n) if not (sp.is_byte(i) or sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i))]
         self.pieces = {sp.id_to_piece(i): i for i in usual}
-        self.rank = {sp.id_to_piece(i): -sp.get_score(i) for i in usual}
         longer = [p for p in self.pieces if len(p) > 1]
         if any(MARK in p.lstrip(MARK) for p in longer):
             raise ValueError("pieces that go on after a word marker are not supported")
         joining = sorted({c for p in longer for c in p} - {MARK})
         inside = "".join(re.escape(c) for c in joining)
         self.stretch = re.compile(f"{MARK}*[{inside}]+|{MARK}+|[^{inside}{MARK}]", re.DOTALL)
+        # Symbols: pieces by their ids, then characters that are none but are in longer pieces.
+        self.symbols = dict(self.pieces)
+        for c in sorted({c for p in longer for c in p}):
+            self.symbols.setdefault(c, n + len(self.symbols) - len(self.pieces))
+        self.first_other = n
+        self.letters = {k: c for c, k in self.symbols.items() if k >= n}
+        self.of_letter = np.full(0x110000, -1, np.int32)  # by code point; only joining characters and markers are looked up
+        for c, k in self.symbols.items():
+            if len(c) == 1:
+                self.of_letter[ord(c)] = k
+        # (left, right) as one number: what they make, and its rank by score. Equal scores share a rank.
+        self.width = n + len(self.letters)
+        ranks = {score: k for k, score in enumerate(sorted({-sp.get_score(self.pieces[p]) for p in longer}))}
+        pairs = {}
+        for p in longer:
+            for cut in range(1, len(p)):
+                left, right = self.symbols.get(p[:cut]), self.symbols.get(p[cut:])
+                if left is not None and right is not None:
+                    pairs[left * self.width + right] = ranks[-sp.get_score(self.pieces[p])], self.pieces[p]
+        self.pairs = pairs
+        self.no_rank = len(ranks)
+        self.keys = np.array([*sorted(pairs), np.iinfo(np.int64).max], np.int64)
+        found = [pairs[k] for k in self.keys[:-1].tolist()] + [(self.no_rank, -1)]
+        self.rank_of, self.made_of = (np.array(c, np.int32) for c in zip(*found, strict=True))
         if sp.encode("a b") != sp.encode(["a", "b"])[0] + sp.encode("b"):
             raise ValueError("only models that put a word marker before every text are supported")
 
-    def agenda(self, text: str) -> list[int]:
-        """The ids of a stretch of a text whose spaces are markers."""
-        symbols = list(text)
-        n = len(symbols)
+    def agendas(self, texts: list[str]) -> list[bytes]:
+        """The ids of stretches of texts whose spaces are markers, each id as four bytes."""
+        out: list[bytes | None] = [None] * len(texts)
+        rows: dict[int, list[int]] = {w: [] for w in WIDTHS}
+        for i, text in enumerate(texts):
+            n = len(text)
+            if n == 1:
+                piece = self.pieces.get(text)
+                out[i] = packed([piece] if piece is not None else [self.bytes[b] for b in text.encode()])
+            elif n > WIDTHS[-1]:
+                out[i] = self._spelt(self._by_heap(self.of_letter[_code_points(text)].tolist()))
+            else:
+                rows[next(w for w in WIDTHS if n <= w)].append(i)
+        for width, of in rows.items():
+            for start in range(0, len(of), ROWS):
+                some = of[start : start + ROWS]
+                for i, ids in zip(some, self._by_rows([texts[i] for i in some], width), strict=True):
+                    out[i] = ids
+        return out
+
+    def _spelt(self, symbols: list[int]) -> bytes:
+        """Symbols with those that are no piece as byte pieces."""
+        return packed([*chain.from_iterable([s] if s < self.first_other else [self.bytes[b] for b in self.letters[s].encode()] for s in symbols)])
+
+    def _look_up(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ranks of pairs of symbols, and what they make. Symbols below 0 are in no pair."""
+        key = left.astype(np.int64) * self.width + right
+        at = np.searchsorted(self.keys, key)
+        at[(self.keys[at] != key) | (left < 0) | (right < 0)] = len(self.keys) - 1
+        return self.rank_of[at], self.made_of[at]
+
+    def _by_rows(self, texts: list[str], width: int) -> list[bytes]:
+        n = len(texts)
+        # Two places more than symbols: what lies before and after a stretch is in no pair.
+        symbols = np.full((n, width + 2), -1, np.int32)
+        points = _code_points("".join(t.ljust(width, "\0") for t in texts)).reshape(n, width)
+        sizes = np.fromiter(map(len, texts), np.int64, n)
+        inside = np.arange(width) < sizes[:, None]
+        symbols[:, 1:-1][inside] = self.of_letter[points[inside]]
+        # rank, made: of the pair that begins at a place.
+        rank, made = (np.full((n, width + 2), x, np.int32) for x in (self.no_rank, -1))
+        rank[:, :-1], made[:, :-1] = self._look_up(symbols[:, :-1], symbols[:, 1:])
+        before, after = (np.tile(np.arange(width + 2) + d, (n, 1)) for d in (-1, 1))
+        open_ = np.arange(n)
+        while len(open_):
+            best = rank[open_].argmin(axis=1)
+            some = rank[open_, best] < self.no_rank
+            open_, k = open_[some], best[some]
+            if not len(open_):
+                break
+            symbols[open_, k] = new = made[open_, k]
+            gone = after[open_, k]
+            symbols[open_, gone] = -1
+            rank[open_, gone] = self.no_rank
+            beyond, ahead = after[open_, gone], before[open_, k]
+            after[open_, k], before[open_, beyond] = beyond, k
+            rank[open_, k], made[open_, k] = self._look_up(new, symbols[open_, beyond])
+            rank[open_, ahead], made[open_, ahead] = self._look_up(symbols[open_, ahead], new)
+        left = symbols >= 0
+        flat, ends = symbols[left].tobytes(), [0, *(4 * np.cumsum(left.sum(axis=1))).tolist()]
+        out = [flat[i:j] for i, j in zip(ends, ends[1:])]
+        for k in np.flatnonzero((symbols >= self.first_other).any(axis=1)).tolist():
+            out[k] = self._spelt(np.frombuffer(out[k], np.int32).tolist())
+        return out
+
+    def _by_heap(self, symbols: list[int]) -> list[int]:
+        pairs, width, n = self.pairs.get, self.width, len(symbols)
         before, after = list(range(-1, n - 1)), [*range(1, n), -1]
-        rank = self.rank.get
-        agenda = [(r, i, pair) for i, pair in enumerate(map(add, symbols, symbols[1:])) if (r := rank(pair)) is not None]
+        agenda = [(p[0], i, a * width + b, p[1]) for i, (a, b) in enumerate(zip(symbols, symbols[1:])) if (p := pairs(a * width + b))]
         heapq.heapify(agenda)
         while agenda:
-            _, left, pair = heapq.heappop(agenda)
+            _, left, pair, made = heapq.heappop(agenda)
             right = after[left]
-            if right < 0 or symbols[left] + symbols[right] != pair or not symbols[left]:
+            if right < 0 or symbols[left] < 0 or symbols[left] * width + symbols[right] != pair:
                 continue  # one of the two has been merged since
-            symbols[left], symbols[right] = pair, ""
-            beyond = after[left] = after[right]
+            symbols[left], symbols[right] = made, -1
+            beyond, ahead = after[right], before[left]
+            after[left] = beyond
             if beyond >= 0:
                 before[beyond] = left
-                if (r := rank(pair + symbols[beyond])) is not None:
-                    heapq.heappush(agenda, (r, left, pair + symbols[beyond]))
-            ahead = before[left]
-            if ahead >= 0 and (r := rank(symbols[ahead] + pair)) is not None:
-                heapq.heappush(agenda, (r, ahead, symbols[ahead] + pair))
-        ids: list[int] = []
-        for s in symbols:
-            if s in self.pieces:
-                ids.append(self.pieces[s])
-            elif s:
-                ids += [self.bytes[b] for b in s.encode()]
-        return ids
-
-    def by_library(self, stretches: list[str]) -> list[list[int]]:
-        """The library's ids of stretches. It puts a marker before each text, so what has none follows a line end."""
+                if p := pairs(made * width + symbols[beyond]):
+                    heapq.heappush(agenda, (p[0], left, made * width + symbols[beyond], p[1]))
+            if ahead >= 0 and (p := pairs(symbols[ahead] * width + made)):
+                heapq.heappush(agenda, (p[0], ahead, symbols[ahead] * width + made, p[1]))
+        return [s for s in symbols if s >= 0]
+
+    def by_library(self, stretches: list[str]) -> list[bytes]:
+        """The library's ids of stretches, packed. It puts a marker before each text, so what has none follows a line end."""
         line_end = "\n"  # always a byte piece of its own
-        head, texts, cuts = len(self.library.encode(line_end)), [], []
-        for s in stretches:
+        head, texts, odd = len(self.library.encode(line_end)), [], []
+        for k, s in enumerate(stretches):
+            own = s[1:]
+            if s[0] == MARK and own and own[0] != MARK:  # a word
+                texts.append(own)
+                continue
             only_marks = not s.strip(MARK)
-            own = s[1:] if s[0] == MARK else line_end + s
-            texts.append(own.replace(MARK, " ") + line_end * only_marks)
-            cuts.append((0 if s[0] == MARK else head, -1 if only_marks else None))
+            odd.append((k, 0 if s[0] == MARK else head, -1 if only_marks else None))
+            texts.append((own if s[0] == MARK else line_end + s).replace(MARK, " ") + line_end * only_marks)
         found = self.library.encode(texts, num_threads=1)
-        return [ids[i:j] for ids, (i, j) in zip(found, cuts, strict=True)]
+        for k, i, j in odd:
+            found[k] = found[k][i:j]
+        flat, ends = packed([*chain.from_iterable(found)]), np.cumsum([0, *(4 * n for n in map(len, found))]).tolist()
+        return [flat[i:j] for i, j in zip(ends, ends[1:])]
+
+
+def packed(ids: list[int]) -> bytes:
+    return np.array(ids, np.int32).tobytes()
+
+
+def _code_points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
 class Encoder:
-    """Encodes texts and remembers the ids of stretches: the recent ones, and those that were before."""
+    """Encodes texts and remembers the ids of stretches: the recent ones, and those that were before.
+
+    differing: how many stretches of the last call the library encodes otherwise.
+    """
 
     def __init__(self, vocabulary: Vocabulary):
         self.v, self.recent, self.earlier, self.differing = vocabulary, {}, {}, 0
 
     def encode(self, texts: list[str], checked: bool = True) -> list[list[int]]:
         """The ids of each text and the end id; all stretches that are new are compared with the library's."""
-        v = self.v
+        v, known = self.v, self.recent
         split = [v.stretch.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
-        ids: dict[str, list[int]] = {}
-        new = []
-        for s in set(chain.from_iterable(split)):
-            known = self.recent.get(s) or self.earlier.get(s)
-            if known:
-                ids[s] = known
-            else:
-                new.append(s)
-        ids.update(zip(new, map(v.agenda, new), strict=True))
+        new = list(set(chain.from_iterable(split)).difference(known))
+        if self.earlier:
+            again = [s for s in new if s in self.earlier]
+            known.update(zip(again, map(self.earlier.__getitem__, again), strict=True))
+            new = [s for s in new if s not in self.earlier]
+        ids = v.agendas(new)
         self.differing = 0
         if checked and new:
-            for s, theirs in zip(new, v.by_library(new), strict=True):
-                if ids[s] != theirs:
-                    ids[s] = theirs
+            for k, theirs in enumerate(v.by_library(new)):
+                if ids[k] != theirs:
+                    ids[k] = theirs
                     self.differing += 1
-        self.recent.update((s, i) for s, i in ids.items() if len(s) <= REMEMBERED_LENGTH)
-        if len(self.recent) > REMEMBERED:
-            self.earlier, self.recent = self.recent, {}
-        return [[*chain.from_iterable(map(ids.__getitem__, parts)), v.end] for parts in split]
+        known.update(zip(new, ids, strict=True))
+        end = packed([v.end])
+        out = [np.frombuffer(b"".join([*map(known.__getitem__, parts), end]), np.int32).tolist() for parts in split]
+        for s in new:
+            if len(s) > REMEMBERED_LENGTH:
+                del known[s]
+        if len(known) > REMEMBERED:
+            self.earlier, self.recent = known, {}
+        return out
 
 
 @lru_cache(maxsize=1)
@@ -141,7 +243,7 @@ ENCODED = pa.schema(
     [("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.list_(pa.int32())), ("decoded", pa.large_string()), ("differing", pa.int64())]
 )
 DIGESTS = pa.schema(
-    [("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())]
+    [("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string()), ("differing", pa.int64())]
 )
 
 
@@ -193,7 +295,8 @@ def digests(docs: DataFrame, model: str, *, doc_id: str = "doc_id", text: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digits = encoder_of(data.value).v.digits
-        for names, ids, texts, _ in encoded(batches, data.value, checked):
-            yield batch(DIGESTS, [names, [len(i) for i in ids], [sha(" ".join(map(digits.__getitem__, i))) for i in ids], [sha(t) for t in texts]])
+        for names, ids, texts, differing in encoded(batches, data.value, checked):
+            yield batch(DIGESTS, [names, [len(i) for i in ids], [sha(" ".join(map(digits.__getitem__, i))) for i in ids], [sha(t) for t in texts],
+                                  [differing] * len(ids)])
 
-    return _rows(docs, doc_id, text).mapInArrow(run, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+    return _rows(docs, doc_id, text).mapInArrow(run, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string, differing bigint")
