@@ -40,9 +40,10 @@ PLACES = tuple(k for k in range(-SIDE, SIDE + 1) if k)
 HIDDEN = 16
 STEP = 1024  # tokens per gradient step
 RATE = 1.0
-HEAD = 1 << 17  # tasks hold the counts of words that are no rarer than one token in so many
+HEAD = 1 << 19  # tasks hold the counts of words that are no rarer than one token in so many
 LETTERS = 164  # bytes that words are made of
 COUNTED_WORDS = 1 << 18  # different words a task counts before it hands them on
+ONES, UNITS = np.ones(CLASSES, np.float32), np.arange(HIDDEN)
 
 
 class Classes(dict):
@@ -80,6 +81,7 @@ class Network:
     tables: np.ndarray
     out: np.ndarray
     bias: np.ndarray
+    room: np.ndarray | None = None
 
     @staticmethod
     def start(frequency: np.ndarray) -> Network:
@@ -99,40 +101,44 @@ class Network:
         return Network(flat[:n].reshape(len(PLACES), CLASSES + 1, HIDDEN).copy(), flat[n : n + m].reshape(HIDDEN, CLASSES).copy(), flat[n + m :].copy())
 
     def hidden(self, contexts: list[np.ndarray]) -> np.ndarray:
-        return np.tanh(sum(t[c] for t, c in zip(self.tables, contexts, strict=True)))
+        total = self.tables[0].take(contexts[0], axis=0)
+        for t, c in zip(self.tables[1:], contexts[1:], strict=True):
+            total += t.take(c, axis=0)
+        return np.tanh(total, out=total)
+
+    def _scores(self, hidden: np.ndarray) -> np.ndarray:
+        """The scores of all classes, low enough for their exponentials, in an array that the next call takes again."""
+        if self.room is None or len(self.room) < len(hidden):
+            self.room = np.empty((len(hidden), CLASSES), np.float32)
+        scores = np.matmul(hidden, self.out, out=self.room[: len(hidden)])
+        scores += self.bias
+        if scores.max() > 60:
+            scores -= scores.max(axis=1, keepdims=True)
+        return scores
 
     def log_probabilities(self, contexts: list[np.ndarray], targets: np.ndarray) -> np.ndarray:
-        scores = self.hidden(contexts) @ self.out + self.bias
-        top = scores.max(axis=1)
-        own = scores[np.arange(len(targets)), targets] - top
-        scores -= top[:, None]
-        return own - np.log(np.exp(scores, out=scores).sum(axis=1))
+        scores = self._scores(self.hidden(contexts))
+        own = scores[np.arange(len(targets)), targets]
+        return own - np.log(np.exp(scores, out=scores) @ ONES)
 
     def learn(self, contexts: list[np.ndarray], targets: np.ndarray, rate: float) -> None:
         """One gradient step on the mean log-probability of the targets."""
         n = len(targets)
         hidden = self.hidden(contexts)
-        error = hidden @ self.out + self.bias
-        error -= error.max(axis=1, keepdims=True)
+        error = self._scores(hidden)
         np.exp(error, out=error)
-        error /= error.sum(axis=1, keepdims=True)
+        error /= (error @ ONES)[:, None]
         error[np.arange(n), targets] -= 1
         inner = (error @ self.out.T) * (1 - hidden * hidden)
         self.out -= rate / n * (hidden.T @ error)
-        self.bias -= rate / n * error.sum(axis=0)
+        self.bias -= rate / n * (np.ones(n, np.float32) @ error)
+        weights = inner.ravel().astype(np.float64)
         for table, context in zip(self.tables, contexts, strict=True):
-            order = np.argsort(context, kind="stable")
-            seen = context[order]
-            first = np.flatnonzero(np.append(True, seen[1:] != seen[:-1]))
             # Rare context tokens move as far as frequent ones do: the sum over a token by the root of its count.
-            sums = np.add.reduceat(inner[order], first, axis=0)
-            counts = np.diff(np.append(first, n))[:, None]
-            table[seen[first]] -= rate / 8 * sums / np.sqrt(counts * n)
-
-
-def windows(classes: np.ndarray, start: int, stop: int) -> tuple[list[np.ndarray], np.ndarray]:
-    """The contexts and targets of the tokens from start to stop; classes: with SIDE times OUTSIDE at both ends."""
-    return [classes[SIDE + start + k : SIDE + stop + k] for k in PLACES], classes[SIDE + start : SIDE + stop]
+            at = (context.astype(np.int64)[:, None] * HIDDEN + UNITS).ravel()
+            sums = np.bincount(at, weights, table.size).reshape(table.shape)
+            counts = np.bincount(context, minlength=len(table))[:, None]
+            table -= (rate / 8 * sums / np.sqrt(np.maximum(counts, 1) * n)).astype(np.float32)
 
 
 def padded(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -238,17 +244,18 @@ def fit(docs: DataFrame, *, text: str = "text", rounds: int = 1) -> Model:
 
 
 SCORED = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("log_likelihood", pa.float64())])
-BLOCK = 8192
 
 
-def text_score(classes: np.ndarray, network: Network) -> float:
-    """The summed log-probability of the tokens of a text."""
-    line, _ = padded([classes])
-    total = 0.0
-    for start in range(0, len(classes), BLOCK):
-        contexts, targets = windows(line, start, min(len(classes), start + BLOCK))
-        total += float(network.log_probabilities(contexts, targets).sum(dtype=np.float64))
-    return total
+def text_scores(texts: list[np.ndarray], network: Network) -> np.ndarray:
+    """The summed log-probability of the tokens of each text."""
+    line, at = padded(texts)
+    found = np.zeros(len(at) + 1)
+    for start in range(0, len(at), STEP):
+        here = at[start : start + STEP] + SIDE
+        found[start + 1 : start + 1 + len(here)] = network.log_probabilities([line[here + p] for p in PLACES], line[here])
+    up_to = np.cumsum(found)
+    ends = np.cumsum([0, *map(len, texts)])
+    return up_to[ends[1:]] - up_to[ends[:-1]]
 
 
 def scores(docs: DataFrame, model: Model, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -259,7 +266,7 @@ def scores(docs: DataFrame, model: Model, *, doc_id: str = "doc_id", text: str =
         classes, network = Classes(sent.value[0]), sent.value[1]
         for rows in batches:
             texts = [classes.of(t.as_py()) for t in rows.column(1)]
-            yield batch(SCORED, [rows.column(0), [len(t) for t in texts], [text_score(t, network) for t in texts]])
+            yield batch(SCORED, [rows.column(0), [len(t) for t in texts], text_scores(texts, network)])
 
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), utf8(text).alias("text"))
     out = rows.mapInArrow(run, "doc_id bigint, n_tokens bigint, log_likelihood double")
@@ -276,12 +283,32 @@ def new_word(word: bytes, kinds: float) -> float:
     return math.log((kinds + 1) * BUCKETS) - (len(word) + 1) * math.log(LETTERS + 1)
 
 
+class Codes(dict):
+    """word -> code: the frequent words, then the common ones whose counts are known, then one code for the others of each bucket."""
+
+    def __init__(self, words: list[bytes], head: dict[bytes, int]):
+        self.common = [w for w in head if w not in set(words)]
+        self.fixed = {w: k for k, w in enumerate([*words, *self.common])}
+        self.rare = len(self.fixed)
+        super().__init__(self.fixed)
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= self.rare + CACHED_WORDS:
+            self.clear()
+            self.update(self.fixed)
+            if word in self:
+                return self[word]
+        value = self[word] = self.rare + bucket(word) - WORDS
+        return value
+
+
 def word_scores(docs: DataFrame, model: Model, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_tokens, log_likelihood (summed), mean_log_likelihood: one row per row of docs.
 
     Null, empty and word-less texts have no tokens, log_likelihood 0 and a null mean.
     Repeated rows give repeated results; a null doc_id stays null; an empty table gives
-    no rows. Other columns are not read.
+    no rows. Other columns are not read. What the network has learnt depends in its last
+    digits on which texts were in one task.
     """
     # At most HEAD words have so large a share.
     common = model.counts.where(F.col("n") * HEAD >= int(model.tokens.sum())).collect()
@@ -290,27 +317,28 @@ def word_scores(docs: DataFrame, model: Model, *, doc_id: str = "doc_id", text:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, network, head, tokens, kinds = sent.value
-        classes, whole = Classes(words), np.log(tokens + kinds + 1)
-        known = {}  # the logarithms of the shares of common words in their classes
-        for w, n in head.items():
-            k = bucket(w)
-            known[w] = math.log(n + math.exp(new_word(w, kinds[k]))) - float(whole[k])
-        known.update((w, 0.0) for w in words)
+        codes = Codes(words, head)
+        # By code: the class, and the logarithm of the share in it; that of a word to be looked up lacks its count.
+        whole = np.log(tokens + kinds + 1)
+        class_of = np.array([*range(len(words)), *map(bucket, codes.common), *range(WORDS, CLASSES)], np.int16)
+        share_of = np.zeros(len(class_of))
+        for code, w in enumerate(codes.common, len(words)):
+            share_of[code] = math.log(head[w] + math.exp(new_word(w, kinds[class_of[code]]))) - float(whole[class_of[code]])
+        share_of[codes.rare :] = -whole[WORDS:]
         for rows in (r.slice(k, SLICE) for r in batches for k in range(0, r.num_rows, SLICE)):
-            out = []
+            out, lines = [], []
             for value in rows.column(1):
                 parts, inside, rare = [np.empty(0, np.int16)], 0.0, Counter()
                 for some in split_words(value.as_py(), TERM_BYTES):
-                    parts.append(classes.among(some))
-                    shares = np.fromiter((known.get(w, 1.0) for w in some), np.float64, len(some))
-                    inside += float(shares[shares <= 0].sum())
-                    rare.update(some[k] for k in np.flatnonzero(shares > 0).tolist())
-                own = [bucket(w) for w in rare]
-                inside -= sum(n * whole[k] for n, k in zip(rare.values(), own, strict=True))
-                line = np.concatenate(parts)
-                out.append((len(line), text_score(line, network) + inside, list(rare), list(rare.values()),
-                            [new_word(w, kinds[k]) for w, k in zip(rare, own, strict=True)]))
-            n, value, rare, times, fresh = zip(*out, strict=True)
+                    found = np.fromiter(map(codes.__getitem__, some), np.int32, len(some))
+                    parts.append(class_of[found])
+                    inside += float(share_of[found].sum())
+                    rare.update(some[k] for k in np.flatnonzero(found >= codes.rare).tolist())
+                lines.append(np.concatenate(parts))
+                own = [int(class_of[codes[w]]) for w in rare]
+                out.append((len(lines[-1]), inside, list(rare), list(rare.values()), [new_word(w, kinds[k]) for w, k in zip(rare, own, strict=True)]))
+            n, inside, rare, times, fresh = zip(*out, strict=True)
+            value = text_scores(lines, network) + inside
             yield batch(PARTS, [rows.column(0), n, value, rows.column(2), rare, times, fresh])
 
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), utf8(text).alias("text"), F.monotonically_increasing_id().alias("row"))
