@@ -16,7 +16,7 @@ from gramledger.operators import documents as O
 from gramledger.plans import delta as D
 from gramledger.plans.combined import CombinedTable, most, sketched, summed
 from gramledger.plans.ledger import Ledger
-from gramledger.session import new_folder, tune
+from gramledger.session import new_folder, tune_for_phrases
 from gramledger.sinks.outside import OutsideStore
 from gramledger.sinks.query_table import ExportSink, QueryTable
 from gramledger.sources.change_feed import FEED_SCHEMA, change_feed
@@ -33,7 +33,7 @@ ROUNDS = 3
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return tune(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    return tune_for_phrases(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gramledger.config import PHRASE_LENGTH
@@ -10,6 +10,8 @@ from gramledger.functions.text import content_hash, normalized, phrases, pieces
 from gramledger.sources.change_feed import complete
 
 PIECE_TOKENS = 4096
+# A text of more characters is counted in shares of so many: each holds only its part of the phrases.
+SHARE_CHARS = 1 << 22
 
 
 def hashed_feed(feed: DataFrame) -> DataFrame:
@@ -111,15 +113,34 @@ def text_pieces(texts: DataFrame, length: int = PHRASE_LENGTH, tokens: int = PIE
     return exploded(cut, "pieces", "text", *keep).withColumnRenamed("pos", "piece")
 
 
+def counted(found: Column) -> Column:
+    """Each element of an array and how often it is there, as an array of structs (phrase, n).
+
+    Sorted, equal elements stand together and are counted from one start of a run to the next.
+    Arrays bound by transform() are computed once, not once per element.
+    """
+    def runs(s: Column) -> Column:
+        starts = F.filter(F.sequence(F.lit(0), F.size(s) - 1), lambda i: (i == 0) | (F.get(s, i) != F.get(s, i - 1)))
+        return F.get(F.transform(F.array(starts), lambda at: F.transform(at, lambda i, k: F.struct(
+            F.get(s, i).alias("phrase"), (F.coalesce(F.get(at, k + 1), F.size(s)) - i).cast("bigint").alias("n")))), F.lit(0))
+
+    return F.get(F.transform(F.array(F.sort_array(found)), lambda s: F.when(F.size(s) > 0, runs(s))), F.lit(0))
+
+
 def document_phrase_counts(texts: DataFrame, length: int = PHRASE_LENGTH, *keep: str) -> DataFrame:
-    """(hash, phrase, n): positions at which each phrase starts in each document.
+    """(hash, phrase, n): positions at which each phrase starts in each document, one row per hash in `texts`.
 
-    Every text goes the same way: in pieces, whose phrases are counted together.
-    Texts that lie by hash are counted where they are.
+    A document's phrases are counted within its row: no table of all documents' phrases is held
+    or spilled. A long text is worked in shares of its phrases, each cut from its pieces.
     """
     rows = texts.select("hash", "text", *keep)
-    return (
-        document_phrases(text_pieces(rows, length), length, "hash", *keep)
-        .groupBy("hash", *keep, "phrase")
-        .agg(F.count("*").alias("n"))
-    )
+    shares = (F.length("text") / SHARE_CHARS).cast("int")
+    rows = rows.select("*", shares.alias("last"), F.explode(F.sequence(F.lit(0), shares)).alias("share"))
+
+    def of_share(found: Column) -> Column:
+        return F.filter(found, lambda p: F.pmod(F.xxhash64(p), F.col("last") + 1) == F.col("share"))
+
+    cut = F.flatten(F.transform(pieces(F.col("text"), length, PIECE_TOKENS), lambda piece: of_share(phrases(piece, length))))
+    found = F.when(F.col("last") == 0, phrases(F.col("text"), length)).otherwise(cut)
+    rows = exploded(rows.withColumn("found", counted(found)), "found", "of", "hash", *keep)
+    return rows.select("hash", *keep, "of.phrase", "of.n")

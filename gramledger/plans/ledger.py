@@ -30,7 +30,7 @@ from gramledger.operators import counts as C
 from gramledger.operators.documents import latest_by_uri, with_normalized, with_text
 from gramledger.plans import delta as D
 from gramledger.plans.commits import COUNTERS, NOTHING, CommitLog, Position
-from gramledger.session import file_system, tune
+from gramledger.session import file_system, tune_for_phrases
 from gramledger.sinks.query_table import EXPORT_SCHEMA, QueryTable
 from gramledger.sources.change_feed import change_feed, complete
 
@@ -58,7 +58,7 @@ FEW_KEYS = 1000
 
 class Ledger:
     def __init__(self, spark: SparkSession, root: str, options: LedgerOptions):
-        self.spark = tune(spark)
+        self.spark = tune_for_phrases(spark)
         self.root = root.rstrip("/")
         self.options = options
         self._commits = CommitLog(self.spark, self.root)

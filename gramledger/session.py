@@ -30,14 +30,23 @@ RECOMMENDED = {
     "spark.sql.parquet.pushdown.inFilterThreshold": "1024",
 }
 
+# Texts and phrases are dealt to so many tasks, and small neighbours are put together again once
+# their sizes are known: what one task holds then does not grow with the input. Whoever wants
+# another number sets this; spark.sql.shuffle.partitions is what a session without AQE has.
+PHRASES = {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": "600"}
 
-def tune(spark: SparkSession) -> SparkSession:
-    for key, value in RECOMMENDED.items():
+
+def tune(spark: SparkSession, settings: dict[str, str] = RECOMMENDED) -> SparkSession:
+    for key, value in settings.items():
         if spark.conf.get(key, None) is None:
             spark.conf.set(key, value)
     return spark
 
 
+def tune_for_phrases(spark: SparkSession) -> SparkSession:
+    return tune(spark, RECOMMENDED | PHRASES)
+
+
 def build_session(app: str = "gramledger", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:

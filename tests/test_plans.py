@@ -217,3 +217,17 @@ def test_ordered_scan_shuffles_nothing_and_opens_few_files(spark, tmp_path):
     assert [r.total_count for r in table.scan_ordered("p012", "p01234").collect()] == [1235, 99, 7, *range(1238, 1300)]
     assert [r.total_count for r in table.scan_ordered().collect()] == [-1, *range(1236), 99, 7, *range(1238, 4000), -2]
     assert [r.phrase for r in table.scan_ordered(after="p03998").collect()] == ["p03999", "z last"]
+
+
+def test_phrases_of_a_document_are_counted_without_a_table_of_all(spark):
+    """Only the texts are aggregated (by hash) and the sums (by phrase); no task holds (hash, phrase) of its documents."""
+    assert not re.search(r"Aggregate\(keys=\[[^\]]*phrase", plan(Q.doc_phrase_counts(spark, SF)))
+    keys = re.findall(r"Aggregate\(keys=\[([^\]]*)\]", plan(Q.phrase_counts(spark, SF)))
+    assert {re.sub(r"#\d+L?", "", k) for k in keys} == {"phrase", "hash"}
+
+
+def test_phrases_are_dealt_to_more_tasks_than_the_session_has_partitions(spark):
+    found = Q.phrase_counts(spark, SF)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "2"
+    assert "hashpartitioning(phrase" in plan(found)
+    assert all(int(n) >= 600 for n in re.findall(r"Exchange hashpartitioning\([^\n]*, (\d+)\)", plan(found)))

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 import time
+from collections import Counter
 
 import model
 import pytest
@@ -118,3 +119,16 @@ def test_texts_in_pieces_count_like_the_model(spark, monkeypatch):
     for tokens in (1, 3, 4096):
         monkeypatch.setattr(documents, "text_pieces", lambda t, n, tokens=tokens: text_pieces(t, n, tokens))
         assert sorted(map(tuple, text_counts(docs).collect())) == want
+
+
+@pytest.mark.parametrize("chars", [1 << 22, 50, 7])
+def test_texts_in_shares_count_like_the_model(spark, monkeypatch, chars):
+    """Within a row, whole or in shares; an empty text and one too short have nothing."""
+    rng = random.Random(11)
+    texts = ["", "one two three", *(random_text(rng, rng.randrange(0, 400)) for _ in range(30))]
+    docs = with_normalized(spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "hash string, content string"))
+    monkeypatch.setattr(documents, "SHARE_CHARS", chars)
+    monkeypatch.setattr(documents, "PIECE_TOKENS", 5)
+    counts = documents.document_phrase_counts(docs)
+    want = sorted((str(i), p, n) for i, t in enumerate(texts) for p, n in Counter(model.phrases(t)).items())
+    assert sorted(map(tuple, counts.collect())) == want
