@@ -7,6 +7,7 @@ import json
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from heapq import nsmallest
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -61,10 +62,13 @@ class Folder:
     def files(self, share: Share | None = None) -> Iterator[tuple[int, str]]:
         """(time of the last change, path) of the files, or of a share of them."""
         files, path, _ = open_folder(self.path)
-        for info in files_below(files, path, self.recursive):
-            if fnmatch.fnmatchcase(info.base_name, TEXT_FILE_GLOB):
-                if share is None or zlib.crc32(info.path.encode()) % share.n == share.k:
-                    yield info.mtime_ns, info.path
+
+        def wanted(path: str) -> bool:
+            own = share is None or zlib.crc32(path.encode()) % share.n == share.k
+            return own and fnmatch.fnmatchcase(path.rsplit("/", 1)[-1], TEXT_FILE_GLOB)
+
+        for info in files_below(files, path, self.recursive, wanted):
+            yield info.mtime_ns, info.path
 
     def rows(self, share: Share) -> Iterator[pa.RecordBatch]:
         files, _, prefix = open_folder(self.path)
@@ -109,14 +113,19 @@ class FolderStream(DataSourceStreamReader):
     def latestOffset(self) -> dict:
         """After a restart the first batch takes all that is new: where it begins is not known here."""
         at = self.at or START
-        new = sorted(x for x in self.folder.files() if not behind(at, *x))
+        new = (x for x in self.folder.files() if not behind(at, *x))
         if self.most and self.at:
-            new = new[: self.most]
-        if not new:
+            new = nsmallest(self.most, new)
+        last, names = START[0], set()  # only the names of the newest time are held
+        for mtime, name in new:
+            if mtime > last:
+                last, names = mtime, set()
+            if mtime == last:
+                names.add(name)
+        if not names:
             return offset_of(at)
-        last = new[-1][0]
         seen = at[1] if last == at[0] else frozenset()
-        self.at = last, seen | {name for mtime, name in new if mtime == last}
+        self.at = last, seen | names
         return offset_of(self.at)
 
     def partitions(self, start: dict, end: dict) -> list[Share]:

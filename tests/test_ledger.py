@@ -427,3 +427,22 @@ def test_combiners_with_and_without_undo(spark, feed, tmp_path):
     want.apply([("u0", "quite another text this time", 999)])
     values.rebuild()
     assert {r.phrase: tuple(r)[1:] for r in values.read().collect()} == expected()
+
+
+def test_buckets_follow_the_size_of_the_state(spark, feed, tmp_path, monkeypatch):
+    """A state too large for its buckets gets more at its compaction; counts and loads after it are the same."""
+    from gramledger.plans import ledger as module
+
+    monkeypatch.setattr(module, "BUCKET_BYTES", 2000)
+    ledger = Ledger.create(spark, str(tmp_path), OPTIONS)
+    ledger.load(feed([(f"u{i}", f"a document that has number {i} and more", 0) for i in range(200)]))
+    before = sorted(map(tuple, ledger.phrase_counts().collect()))
+    ledger.compact()
+    buckets = ledger.position().buckets
+    assert buckets > OPTIONS.buckets
+    assert sorted(map(tuple, ledger.phrase_counts().collect())) == before
+    ledger.load(feed([("u7", "a document that has something else", 1)]))
+    ledger.compact()
+    assert ledger.position().buckets == buckets  # not for every batch anew
+    assert ledger.lookup_one("a document that has") == (200, 200)
+    assert ledger.lookup_one("number 7 and more") == (0, 0)

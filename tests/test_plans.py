@@ -223,7 +223,7 @@ def test_phrases_of_a_document_are_counted_without_a_table_of_all(spark):
     """Only the texts are aggregated (by hash) and the sums (by phrase); no task holds (hash, phrase) of its documents."""
     assert not re.search(r"Aggregate\(keys=\[[^\]]*phrase", plan(Q.doc_phrase_counts(spark, SF)))
     keys = re.findall(r"Aggregate\(keys=\[([^\]]*)\]", plan(Q.phrase_counts(spark, SF)))
-    assert {re.sub(r"#\d+L?", "", k) for k in keys} == {"phrase", "hash"}
+    assert keys and not [k for k in keys if "phrase" in k and "hash" in k]
 
 
 def test_phrases_are_dealt_to_more_tasks_than_the_session_has_partitions(spark):
@@ -231,3 +231,17 @@ def test_phrases_are_dealt_to_more_tasks_than_the_session_has_partitions(spark):
     assert spark.conf.get("spark.sql.shuffle.partitions") == "2"
     assert "hashpartitioning(phrase" in plan(found)
     assert all(int(n) >= 600 for n in re.findall(r"Exchange hashpartitioning\([^\n]*, (\d+)\)", plan(found)))
+
+
+def test_a_write_leaves_no_shuffle_files(spark, tmp_path):
+    """Six deliveries would else lie on disk six times, until the driver collects its garbage."""
+    ledger = Ledger.create(spark, str(tmp_path), LedgerOptions(buckets=2))
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker().shuffleStatuses()
+    before = set(str(k) for k in iter_keys(spark, manager))
+    ledger._write_log("phrase", 0, spark.range(1000).select(
+        F.col("id").cast("string").alias("phrase"), F.lit(1).cast("bigint").alias("d_doc"), F.lit(1).cast("bigint").alias("d_total")).repartition(4, "phrase"))
+    assert set(str(k) for k in iter_keys(spark, manager)) <= before
+
+
+def iter_keys(spark, statuses):
+    return list(spark.sparkContext._jvm.scala.jdk.javaapi.CollectionConverters.asJava(statuses.keySet()))

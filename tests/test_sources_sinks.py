@@ -323,3 +323,30 @@ def test_command_line(spark, tmp_path, capsys, monkeypatch):
     QueryTable(spark, table).recreate()
     main(["publish", ledger, table])
     assert QueryTable(spark, table).scan().count() == 3
+
+
+def test_a_local_folder_is_listed_bit_by_bit(tmp_path, monkeypatch):
+    """No task asks for the whole folder at once, and about files of others not at all."""
+    from gramledger.sources import files as module
+    from gramledger.sources.text_directory import Folder, FolderStream, Share
+
+    for k in range(50):
+        (tmp_path / f"f{k}.txt").write_text("x")
+    (tmp_path / ".hidden.txt").write_text("x")
+    (tmp_path / "other.md").write_text("x")
+    asked = []
+
+    class Local(module.pafs.LocalFileSystem):
+        def get_file_info(self, what):
+            asked.append(len(what))
+            return super().get_file_info(what)
+
+    monkeypatch.setattr(module, "LISTED", 8)
+    names = [i.base_name for i in module.files_below(Local(), str(tmp_path), wanted=lambda p: p.endswith(".txt"))]
+    assert sorted(names) == sorted(f"f{k}.txt" for k in range(50))
+    assert max(asked) <= 8 and sum(asked) == 50
+    folder = Folder({"path": str(tmp_path)})
+    shares = [[path for _, path in folder.files(Share(k, 4))] for k in range(4)]
+    assert sorted(sum(shares, [])) == sorted(path for _, path in folder.files())
+    stream = FolderStream(folder, None)
+    assert stream.latestOffset()["mtime"] == max(mtime for mtime, _ in folder.files())
