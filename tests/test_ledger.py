@@ -433,7 +433,7 @@ def test_buckets_follow_the_size_of_the_state(spark, feed, tmp_path, monkeypatch
     """A state too large for its buckets gets more at its compaction; counts and loads after it are the same."""
     from gramledger.plans import ledger as module
 
-    monkeypatch.setattr(module, "BUCKET_BYTES", 2000)
+    monkeypatch.setattr(module, "BUCKET_ROWS", 100)
     ledger = Ledger.create(spark, str(tmp_path), OPTIONS)
     ledger.load(feed([(f"u{i}", f"a document that has number {i} and more", 0) for i in range(200)]))
     before = sorted(map(tuple, ledger.phrase_counts().collect()))
