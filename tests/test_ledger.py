@@ -446,3 +446,21 @@ def test_buckets_follow_the_size_of_the_state(spark, feed, tmp_path, monkeypatch
     assert ledger.position().buckets == buckets  # not for every batch anew
     assert ledger.lookup_one("a document that has") == (200, 200)
     assert ledger.lookup_one("number 7 and more") == (0, 0)
+
+
+def test_a_phrase_summed_in_several_parts_is_one_everywhere(spark, feed, tmp_path, monkeypatch):
+    """The log of a batch has a phrase once for every part of its texts; readers see one row for it."""
+    monkeypatch.setattr("gramledger.plans.ledger.PART_CHARS", 20)
+    ledger = Ledger.create(spark, str(tmp_path), OPTIONS)
+    ledger.load(feed([(f"u{i}", f"aa bb cc dd only{i}", 0) for i in range(12)]))
+    ledger.load(feed([("u0", "aa bb cc dd ee", 1), ("u1", "nothing of it", 1)]))
+    assert ledger._log("phrase", -1, 0).where("phrase = 'aa bb cc dd'").count() > 1
+    assert [tuple(r) for r in ledger.batch_deltas(0).where("phrase = 'aa bb cc dd'").collect()] == [("aa bb cc dd", 12, 12, 0)]
+    assert {r.batch_id: r.phrases for r in ledger.progress().collect()} == {0: 13, 1: 4}
+    want = {("aa bb cc dd", 1, 11, 11), ("bb cc dd only0", 1, 0, 0), ("bb cc dd only1", 1, 0, 0), ("bb cc dd ee", 1, 1, 1)}
+    for _ in range(2):
+        assert sorted(map(tuple, ledger.changed_values(1).collect())) == sorted(want)
+        assert ledger.lookup_one("aa bb cc dd") == (11, 11)
+        assert ledger.phrase_counts().count() == 12
+        ledger.compact()
+    assert ("aa bb cc dd", 0, 12, 12) in set(map(tuple, ledger.changed_values(0).collect()))

@@ -245,3 +245,27 @@ def test_a_write_leaves_no_shuffle_files(spark, tmp_path):
 
 def iter_keys(spark, statuses):
     return list(spark.sparkContext._jvm.scala.jdk.javaapi.CollectionConverters.asJava(statuses.keySet()))
+
+
+def test_a_load_sums_phrases_where_the_texts_lie(ledger, no_broadcast):
+    moved = ledger._log("doc", 0, 1)
+    signed = ledger._signed_texts(ledger._log("text", 0, 1), moved, 1, ledger._position(), 3)
+    keys = [re.sub(r"#\d+L?", "", k) for k in exchanges(plan(C.signed_counts(signed, "multiplier", 4, "part")))]
+    assert "part" in keys and not [k for k in keys if "phrase" in k]
+
+
+def test_a_first_compaction_moves_the_logs_once(spark, tmp_path):
+    ledger = Ledger.create(spark, str(tmp_path), LedgerOptions(buckets=4))
+    ledger.load(spark.createDataFrame([("u", "aa bb cc dd ee", 1)], "uri string, content string, seq bigint"))
+    keys = exchanges(plan(ledger.phrase_state(buckets=5)))
+    assert len([k for k in keys if "phrase" in k]) <= 2  # the log, and the base that is empty
+    ledger.compact(buckets=5)
+    assert len({f.rsplit("/", 1)[1] for f in ledger._base("phrase", ledger._position()).inputFiles()}) <= 5
+    assert ledger.phrase_counts().count() == 2
+
+
+def test_changed_values_move_the_logs_once(ledger, no_broadcast):
+    """The base and what a compacted batch changed: no look-up of the keys before, and the base stays where it is."""
+    text = plan(ledger.changed_values(0))
+    assert len(exchanges(text)) == 1
+    assert "LeftSemi" not in text
