@@ -48,9 +48,10 @@ def pieces(text: Column, length: int, tokens: int) -> Column:
 def phrases(text: Column, length: int = PHRASE_LENGTH) -> Column:
     """All runs of `length` tokens of a normalized text, in text order.
 
-    One pass of a look-ahead at every token start. Only the first token of a
+    One pass of a look-ahead at every token start: the match itself takes the token and
+    the space behind it, so that nothing is tried within a token. Only the first token of a
     text can be empty. The quantifiers are possessive, so the cost per token is
     the length of its phrase whatever the text looks like.
     """
     run = "[a-z0-9]*+" + " [a-z0-9]++" * (length - 1)
-    return F.regexp_extract_all(text, F.lit(f"(?<![a-z0-9])(?=({run}))"), 1)
+    return F.regexp_extract_all(text, F.lit(f"(?<![a-z0-9])(?=({run}))[a-z0-9]*+ ?"), 1)

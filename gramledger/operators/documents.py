@@ -116,15 +116,25 @@ def text_pieces(texts: DataFrame, length: int = PHRASE_LENGTH, tokens: int = PIE
 def counted(found: Column) -> Column:
     """Each element of an array and how often it is there, as an array of structs (phrase, n).
 
-    Sorted, equal elements stand together and are counted from one start of a run to the next.
+    Most documents repeat no phrase: there is nothing to count then. In others, sorted, equal elements
+    stand together and are counted from one start of a run to the next.
     Arrays bound by transform() are computed once, not once per element.
     """
+    one = F.lit(1).cast("bigint")
+
     def runs(s: Column) -> Column:
         starts = F.filter(F.sequence(F.lit(0), F.size(s) - 1), lambda i: (i == 0) | (F.get(s, i) != F.get(s, i - 1)))
         return F.get(F.transform(F.array(starts), lambda at: F.transform(at, lambda i, k: F.struct(
             F.get(s, i).alias("phrase"), (F.coalesce(F.get(at, k + 1), F.size(s)) - i).cast("bigint").alias("n")))), F.lit(0))
 
-    return F.get(F.transform(F.array(F.sort_array(found)), lambda s: F.when(F.size(s) > 0, runs(s))), F.lit(0))
+    def repeated(found: Column) -> Column:
+        return F.get(F.transform(F.array(F.sort_array(found)), lambda s: F.when(F.size(s) > 0, runs(s))), F.lit(0))
+
+    def of(found: Column) -> Column:
+        once = F.size(F.array_distinct(found)) == F.size(found)
+        return F.when(once, F.transform(found, lambda p: F.struct(p.alias("phrase"), one.alias("n")))).otherwise(repeated(found))
+
+    return F.get(F.transform(F.array(found), of), F.lit(0))
 
 
 def document_phrase_counts(texts: DataFrame, length: int = PHRASE_LENGTH, *keep: str) -> DataFrame:

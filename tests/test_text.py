@@ -132,3 +132,19 @@ def test_texts_in_shares_count_like_the_model(spark, monkeypatch, chars):
     counts = documents.document_phrase_counts(docs)
     want = sorted((str(i), p, n) for i, t in enumerate(texts) for p, n in Counter(model.phrases(t)).items())
     assert sorted(map(tuple, counts.collect())) == want
+
+
+def test_texts_without_repeats_are_not_sorted(spark):
+    """A text's phrases come as they stand in it, once each; only those of texts that repeat some are put in order."""
+    docs = spark.createDataFrame([("1", "z y x w v"), ("2", "b a b a b a b"), ("3", ""), ("4", " one two three")], "hash string, text string")
+    got = documents.document_phrase_counts(docs.coalesce(1)).collect()
+    assert [tuple(r) for r in got] == [
+        ("1", "z y x w", 1), ("1", "y x w v", 1), ("2", "a b a b", 2), ("2", "b a b a", 2), ("4", " one two three", 1)]
+
+
+def test_phrases_of_tokens_of_any_length(spark):
+    """Short and long tokens, an empty first one and an open end, against the model."""
+    rng = random.Random(17)
+    texts = ["".join(rng.choice(["", " "])) + " ".join("x" * rng.choice([1, 2, 9, 500]) for _ in range(rng.randrange(9))) + rng.choice(["", " ", "."]) for _ in range(60)]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", phrases(normalized(F.col("t"))).alias("p")).collect()
+    assert [(r.t, r.p) for r in rows] == [(t, model.phrases(t)) for t in texts]
