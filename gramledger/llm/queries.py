@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from gramledger.llm import (
     decontaminate, filter_audit, html_extract, licenses, lm_score, minhash, mixing, piece_bpe, quality, resampling, toxicity, url_filter, warc,
 )
+from gramledger.llm.text import with_bounded_batches
 
 PIECES = "piece_bpe_32k.model"
 
@@ -17,7 +18,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return with_bounded_batches(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,8 +9,10 @@ model that goes to the tasks is small whatever was learnt from.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from tempfile import TemporaryFile
+from typing import BinaryIO
 
 import numpy as np
 import pyarrow as pa
@@ -87,11 +89,28 @@ class Hashing:
         return (mixed(np.concatenate(found)) >> np.uint64(64 - self.bits)).astype(np.int64)
 
 
-def train(rows: list[tuple[bytes | None, int]], options: Ftrl) -> Model:
-    """Learns from (text, label) in the given order, several times over."""
-    coordinates = Hashing(options.bits)
-    positive = sum(label for _, label in rows)
-    prior = (positive + 0.5) / (len(rows) + 10)
+def train(rows: Iterable[tuple[bytes | None, int]], options: Ftrl) -> Model:
+    """Learns from (text, label) in the given order, several times over.
+
+    Each text is read once; what is learnt from it lies in a temporary file, and the texts are not held.
+    """
+    with TemporaryFile() as file:
+        return fitted(file, *features(rows, file, Hashing(options.bits)), options)
+
+
+def features(rows: Iterable[tuple[bytes | None, int]], file: BinaryIO, coordinates: Hashing) -> tuple[list[int], list[int]]:
+    """Writes the distinct coordinates of every text to the file. Returns how many each has, and the labels."""
+    sizes, labels = [], []
+    for text, label in rows:
+        at = np.unique(coordinates(text)).astype(np.int32)
+        file.write(at.tobytes())
+        sizes.append(len(at))
+        labels.append(label)
+    return sizes, labels
+
+
+def fitted(file: BinaryIO, sizes: list[int], labels: list[int], options: Ftrl) -> Model:
+    prior = (sum(labels) + 0.5) / (len(labels) + 10)
     intercept, seen = float(np.log(prior / (1 - prior))), 0.0
     z, n = np.zeros(1 << options.bits), np.zeros(1 << options.bits)
 
@@ -100,9 +119,10 @@ def train(rows: list[tuple[bytes | None, int]], options: Ftrl) -> Model:
         rate = (options.beta + np.sqrt(n[at])) / options.alpha + options.l2
         return np.where(np.abs(zi) <= options.l1, 0.0, (np.sign(zi) * options.l1 - zi) / rate)
 
-    texts = [np.unique(coordinates(text)).astype(np.int32) for text, _ in rows]
     for _ in range(options.epochs):
-        for at, (_, label) in zip(texts, rows, strict=True):
+        file.seek(0)
+        for size, label in zip(sizes, labels, strict=True):
+            at = np.frombuffer(file.read(4 * size), np.int32)
             w = weights(at)
             error = 1 / (1 + np.exp(-np.clip(w.sum() + intercept, -35, 35))) - label
             square = error * error
@@ -156,7 +176,7 @@ def learn(
     rows = rows.select("text", "label", F.xxhash64("id").alias("hash"), "id").coalesce(1).sortWithinPartitions("hash", "id")
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pairs = [(t.as_py(), min(max(y.as_py(), 0), 1)) for b in batches for t, y in zip(b.column(0), b.column(1), strict=True)]
+        pairs = ((t.as_py(), min(max(y.as_py(), 0), 1)) for b in batches for t, y in zip(b.column(0), b.column(1), strict=True))
         model = train(pairs, options)
         at = [*model.at.tolist(), -1]
         yield batch(pa.schema([("at", pa.int64()), ("w", pa.float64())]), [at, [*model.weights.tolist(), model.intercept]])

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import gzip
 import hashlib
+import io
 import itertools
 import math
 import random
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -15,6 +17,8 @@ import pyarrow as pa
 import pytest
 
 from gramledger.llm import html_extract, lm_score, toxicity, warc
+from gramledger.llm.queries import table
+from gramledger.llm.text import utf8
 from gramledger.session import new_folder
 
 # -- toxicity -------------------------------------------------------------------
@@ -54,6 +58,36 @@ def test_training_equals_the_rule_coordinate_by_coordinate():
     assert dict(zip(model.at.tolist(), model.weights.tolist(), strict=True)) == pytest.approx(weights)
 
 
+def test_training_takes_one_text_at_a_time():
+    """Rows may come from an iterator; neither the texts nor their features are held together."""
+    draw = random.Random(4)
+
+    def rows():
+        for _ in range(400):
+            yield " ".join(f"w{draw.randrange(100_000)}" for _ in range(2000)).encode(), draw.randint(0, 1)
+
+    options = toxicity.Ftrl(epochs=1, bits=10)
+    tracemalloc.start()
+    try:
+        toxicity.train(((b"a b", 0) for _ in range(2)), options)
+        toxicity.features(rows(), io.BytesIO(), lambda text: np.empty(0, np.int64))
+        texts = tracemalloc.get_traced_memory()[1]
+        tracemalloc.reset_peak()
+        listed = [(f"a{k % 7} b c{k % 3}".encode(), k % 2) for k in range(50)]
+        one, other = toxicity.train(iter(listed), options), toxicity.train(listed, options)
+    finally:
+        tracemalloc.stop()
+    assert texts < 2_000_000  # 400 texts are 5 MB
+    assert one.weights.tolist() == other.weights.tolist() and one.intercept == other.intercept
+
+
+def test_batches_are_bounded_by_bytes(spark, tmp_path):
+    spark.createDataFrame([(k, "x" * 1_000_000) for k in range(20)], "k int, text string").coalesce(1).write.parquet(f"{tmp_path}/t.parquet")
+    texts = table(spark, str(tmp_path), "t").select(utf8("text").alias("text"))
+    sizes = texts.mapInArrow(lambda batches: (pa.RecordBatch.from_pydict({"n": [b.nbytes]}) for b in batches), "n bigint").collect()
+    assert max(r.n for r in sizes) < 6_000_000
+
+
 @pytest.fixture(scope="module")
 def toxic(spark):
     draw = random.Random(2)
