@@ -468,16 +468,16 @@ class Ledger:
 
         A table that stands at an earlier batch of which the logs are kept gets the new totals of
         the phrases changed since, and nothing else is written. Others, and those with many
-        changes over them, get a whole version from a compacted base.
+        changes over them, get a whole version: base and logs move once, to their ranges, and are summed there.
         """
         at, since = self._position(), table.version()
         if NOTHING < since <= at.last and since >= at.floor and not files:
             if since == at.last or table.apply(self._changed_since(since, at), at.last):
                 return at.last
-        version = self.compact()
-        base = self._base("phrase", self._position())
-        table.publish(C.as_counts(base), version, files or self._files(base.count()))
-        return version
+        base, log = self._base("phrase", at), self._log("phrase", at.base, at.last)
+        rows = base.unionByName(log.select(base.columns))
+        table.publish(rows, at.last, files or self._files(base.count() + log.count()), lambda ranged: C.as_counts(C.combine(ranged)))
+        return at.last
 
     def _files(self, rows: int) -> int:
         """Files of a published table: for every task of the session one, if there is enough for that, and none too large."""

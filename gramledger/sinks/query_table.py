@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -45,20 +46,19 @@ class QueryTable:
         self._write(self.spark.createDataFrame([], COUNTS_SCHEMA), -1, 0, "overwrite")
         return self
 
-    def publish(self, counts: DataFrame, seq: int, files: int | None = None) -> None:
+    def publish(
+        self, rows: DataFrame, seq: int, files: int | None = None, counted: Callable[[DataFrame], DataFrame] = lambda ranged: ranged
+    ) -> None:
         """Writes a whole version in ranges of phrases, sorted, and switches readers to it.
 
         A seq below the one in force is refused: it would take newer counts back.
-        Sampling for the ranges reads the phrases of `counts` once more, so pass
-        a stored table rather than a long computation.
+        Sampling for the ranges reads the phrases of `rows` once more, so pass
+        a stored table rather than a long computation. `counted` makes the counts of the rows
+        once these lie in ranges, where all rows of a phrase are together: nothing moves for it.
         """
         now = self._checked(seq)
-        ranged = (
-            counts.repartitionByRange(files, "phrase")
-            if files
-            else counts.repartitionByRange("phrase")
-        )
-        self._write(ranged.sortWithinPartitions("phrase"), seq, now.made + 1, "append")
+        ranged = rows.repartitionByRange(files, "phrase") if files else rows.repartitionByRange("phrase")
+        self._write(counted(ranged).sortWithinPartitions("phrase"), seq, now.made + 1, "append")
 
     def apply(self, changes: DataFrame, seq: int) -> bool:
         """Puts the new totals (phrase, doc_count, total_count) of changed phrases, (0, 0) for gone ones, over the version in force.
@@ -91,9 +91,12 @@ class QueryTable:
         folder = f"version-{uuid.uuid4().hex}"
         with one_write(self.spark):
             rows.write.options(**STORED).parquet(f"{self.root}/{folder}")
-        written = self._base(folder).groupBy(F.col("_metadata.file_path").alias("file")).agg(
-            F.min("phrase").alias("low"), F.max("phrase").alias("high"), F.count("*").alias("rows"))
-        written.coalesce(1).write.json(f"{self.root}/{folder}-ranges")
+        # Files are sorted: their first and last rows have their ends.
+        written = self._base(folder).select("phrase", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"))
+        sizes = written.groupBy("file").agg(F.count("*").alias("rows"))
+        ends = written.join(F.broadcast(sizes), "file").where((F.col("at") == 0) | (F.col("at") == F.col("rows") - 1))
+        ends = ends.groupBy("file").agg(F.min("phrase").alias("low"), F.max("phrase").alias("high"), F.first("rows").alias("rows"))
+        ends.coalesce(1).write.json(f"{self.root}/{folder}-ranges")
         total = self.ranges(folder).agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
         self._switch({"made": made, "seq": seq, "folder": folder, "rows": total, "layers": [], "layer_rows": 0}, mode)
 

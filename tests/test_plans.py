@@ -269,3 +269,31 @@ def test_changed_values_move_the_logs_once(ledger, no_broadcast):
     text = plan(ledger.changed_values(0))
     assert len(exchanges(text)) == 1
     assert "LeftSemi" not in text
+
+
+FEED = "uri string, content string, seq bigint"
+
+
+def three_rounds(spark, folder):
+    """A ledger without a base, of which every round writes all URIs anew."""
+    ledger = Ledger.create(spark, str(folder), LedgerOptions(buckets=2))
+    for k in range(3):
+        ledger.load(spark.createDataFrame([(f"u{i}", f"text {i} of round {k} in full", k) for i in range(20)], FEED))
+    return ledger
+
+
+def test_a_version_is_published_with_one_move_and_without_a_base(spark, tmp_path):
+    from gramledger.plans.commits import NOTHING
+    from gramledger.sinks.query_table import QueryTable
+
+    ledger = three_rounds(spark, tmp_path / "ledger")
+    table, plans = QueryTable(spark, str(tmp_path / "table")).recreate(), []
+    write = table._write
+    table._write = lambda rows, *rest: (plans.append(plan(rows)), write(rows, *rest))
+    assert ledger.publish(table, files=3) == 2
+    assert ledger.position().base == NOTHING
+    assert plans[0].count("Exchange rangepartitioning") == 1 and not exchanges(plans[0])
+    assert sorted(map(tuple, table.scan().collect())) == sorted(map(tuple, ledger.phrase_counts().collect()))
+    files = table.ranges().orderBy("low").collect()
+    assert sum(f.rows for f in files) == table.scan().count() and all(f.low <= f.high for f in files)
+    assert all(a.high < b.low for a, b in zip(files, files[1:]))
