@@ -297,3 +297,16 @@ def test_a_version_is_published_with_one_move_and_without_a_base(spark, tmp_path
     files = table.ranges().orderBy("low").collect()
     assert sum(f.rows for f in files) == table.scan().count() and all(f.low <= f.high for f in files)
     assert all(a.high < b.low for a, b in zip(files, files[1:]))
+
+
+def test_changed_values_of_a_large_batch_are_not_looked_up_in_the_logs_before(spark, tmp_path, no_broadcast):
+    ledger = three_rounds(spark, tmp_path)
+    text = plan(ledger.changed_values(2))
+    assert "LeftSemi" not in text
+    assert len([k for k in exchanges(text) if "phrase" in k]) <= 2  # the logs, and the base that is empty
+    want = {r.phrase: (r.doc_count, r.total_count) for r in ledger.phrase_counts().collect()}
+    got = {r.phrase: (r.doc_count, r.total_count) for r in ledger.changed_values(2).collect()}
+    assert {p: c for p, c in got.items() if c != (0, 0)} == {p: want[p] for p in got if p in want}
+    assert set(want) <= set(got) | {r.phrase for r in ledger.batch_deltas(0).collect()}
+    ledger.load(spark.createDataFrame([("u0", "a small change of one text", 9)], FEED))
+    assert "LeftSemi" in plan(ledger.changed_values(3))  # few rows: those before are cut down to its phrases
