@@ -310,3 +310,17 @@ def test_changed_values_of_a_large_batch_are_not_looked_up_in_the_logs_before(sp
     assert set(want) <= set(got) | {r.phrase for r in ledger.batch_deltas(0).collect()}
     ledger.load(spark.createDataFrame([("u0", "a small change of one text", 9)], FEED))
     assert "LeftSemi" in plan(ledger.changed_values(3))  # few rows: those before are cut down to its phrases
+
+
+def test_many_layers_over_a_table_move_each_row_once(spark, tmp_path, no_broadcast):
+    from gramledger.sinks.query_table import QueryTable
+
+    ledger, table = Ledger.create(spark, str(tmp_path / "ledger"), LedgerOptions(buckets=2)), QueryTable(spark, str(tmp_path / "table")).recreate()
+    table.LAYER_SHARE = 0
+    for k in range(3):
+        ledger.load(spark.createDataFrame([(f"u{i}", f"text {i} of round {k} in full", k) for i in range(20)], FEED))
+        ledger.publish(table)
+    assert len(table._newest().layers) == 2 and not list((tmp_path / "table").glob("changes-*"))
+    assert len(exchanges(plan(table.scan()))) == 1
+    assert sorted(map(tuple, table.scan().collect())) == sorted(map(tuple, ledger.phrase_counts().collect()))
+    assert [r.phrase for r in table.scan_ordered().collect()] == sorted(r.phrase for r in ledger.phrase_counts().collect())
