@@ -324,3 +324,22 @@ def test_many_layers_over_a_table_move_each_row_once(spark, tmp_path, no_broadca
     assert len(exchanges(plan(table.scan()))) == 1
     assert sorted(map(tuple, table.scan().collect())) == sorted(map(tuple, ledger.phrase_counts().collect()))
     assert [r.phrase for r in table.scan_ordered().collect()] == sorted(r.phrase for r in ledger.phrase_counts().collect())
+
+
+def test_combined_values_move_phrases_once(spark, tmp_path, no_broadcast):
+    """What came and went is dealt to the table's buckets once, live texts once more; the table and what lies beside it stay."""
+    from gramledger.plans.combined import CombinedTable, most, sketched, summed
+
+    ledger, plans = Ledger.create(spark, str(tmp_path / "ledger"), LedgerOptions(buckets=2)), []
+    values = CombinedTable(ledger, str(tmp_path / "values"), [
+        summed("total", lambda: F.col("n")), most("longest", lambda: F.col("n")), sketched("about", lambda: F.col("hash"))])
+    store = values._store
+    values._store = lambda rows, *rest: (plans.append(plan(rows)), store(rows, *rest))[1]
+    for k in range(2):
+        ledger.load(spark.createDataFrame([(f"u{i}", f"text {i} of round {k} in full and in full and in", k) for i in range(20)] + [(f"k{k}", "a b c d", 0)], FEED))
+        values.advance()
+    moves = [[k for k in exchanges(text) if "phrase" in k] for text in plans]
+    assert [len(m) for m in moves] == [1, 1, 1]  # built; what moved; the table after it
+    got = {r.phrase: (r.documents, r.total, r.longest, r.about) for r in values.read().collect()}
+    assert got["a b c d"] == (1, 1, 1, 1) and got["in full and in"] == (20, 40, 2, 20)
+    assert {p: v[:2] for p, v in got.items()} == {r.phrase: (r.doc_count, r.total_count) for r in ledger.phrase_counts().collect()}
