@@ -343,3 +343,30 @@ def test_combined_values_move_phrases_once(spark, tmp_path, no_broadcast):
     got = {r.phrase: (r.documents, r.total, r.longest, r.about) for r in values.read().collect()}
     assert got["a b c d"] == (1, 1, 1, 1) and got["in full and in"] == (20, 40, 2, 20)
     assert {p: v[:2] for p, v in got.items()} == {r.phrase: (r.doc_count, r.total_count) for r in ledger.phrase_counts().collect()}
+
+
+def test_exports_in_buckets_are_not_moved(spark, tmp_path, no_broadcast):
+    """Deliveries, folds and reads leave a ledger's changed values in its buckets, and see what a sink without buckets sees."""
+    from gramledger.sinks.query_table import ExportSink
+
+    ledger = three_rounds(spark, tmp_path / "ledger")
+    ledger.compact(buckets=3)
+    ledger.load(spark.createDataFrame([(f"u{i}", f"text {i} of a fourth round", 9) for i in range(5)], FEED))
+    sink, other, plans = ExportSink(spark, str(tmp_path / "it's here"), 3), ExportSink(spark, str(tmp_path / "other")), []
+    assert sink.scan().count() == 0
+    for n, seq in enumerate([3, 2, 1, 0, 2, 3, 1, 0]):
+        values = ledger.changed_values(seq)
+        if seq == 3:
+            assert len([k for k in exchanges(plan(values.repartition(3, "phrase"))) if "phrase" in k]) == 1  # the logs
+        for s in (sink, ExportSink(spark, sink.root), other):
+            s.apply(values, seq)
+        if n in (1, 4, 6):
+            plans.append(plan(sink.newest()))
+            sink.fold()
+            other.fold()
+        plans.append(plan(sink.scan()))
+        got = sorted(map(tuple, sink.newest().collect()))
+        assert got == sorted(map(tuple, other.newest().collect())) and len({r[0] for r in got}) == len(got)
+    assert not [p for p in plans if "Exchange" in p]
+    assert sorted(map(tuple, sink.scan().collect())) == sorted(map(tuple, ledger.phrase_counts().collect()))
+    assert len(list((tmp_path / "it's here" / "deliveries").glob("fold=*"))) <= 2
