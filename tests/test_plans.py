@@ -370,3 +370,21 @@ def test_exports_in_buckets_are_not_moved(spark, tmp_path, no_broadcast):
     assert not [p for p in plans if "Exchange" in p]
     assert sorted(map(tuple, sink.scan().collect())) == sorted(map(tuple, ledger.phrase_counts().collect()))
     assert len(list((tmp_path / "it's here" / "deliveries").glob("fold=*"))) <= 2
+
+
+def test_deliveries_outside_are_sorted_once_and_stored_by_difference(spark, tmp_path, no_broadcast):
+    import pyarrow.parquet as pq
+
+    from gramledger.sinks.outside import OutsideStore
+
+    ledger, store = three_rounds(spark, tmp_path / "ledger"), OutsideStore(spark, str(tmp_path / "store"))
+    for seq in (2, 0, 1):
+        store.apply(ledger.changed_values(seq), seq)
+    for file in (tmp_path / "store" / "parts").glob("*.parquet"):
+        part = pq.ParquetFile(file)
+        assert "DELTA_BYTE_ARRAY" in part.metadata.row_group(0).column(0).encodings if part.metadata.num_row_groups else True
+        found = [r["phrase"].encode() for r in part.read().to_pylist()]
+        assert found == sorted(found)
+    text = plan(store.newest())
+    assert len(exchanges(text)) == 1 and "Aggregate" not in text[text.index("Exchange"):]  # not before rows move as well
+    assert sorted(map(tuple, store.scan().collect())) == sorted(map(tuple, ledger.phrase_counts().collect()))
