@@ -388,3 +388,11 @@ def test_deliveries_outside_are_sorted_once_and_stored_by_difference(spark, tmp_
     text = plan(store.newest())
     assert len(exchanges(text)) == 1 and "Aggregate" not in text[text.index("Exchange"):]  # not before rows move as well
     assert sorted(map(tuple, store.scan().collect())) == sorted(map(tuple, ledger.phrase_counts().collect()))
+
+
+def test_stored_values_are_sorted(spark, tmp_path):
+    ledger = three_rounds(spark, tmp_path)
+    ledger.store_values(2)
+    found = [r.phrase for r in ledger._log("value", 1, 2).coalesce(1).collect()]
+    files = len(ledger._log("value", 1, 2).inputFiles())
+    assert sum(b < a for a, b in zip(found, found[1:])) < files
